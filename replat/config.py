@@ -118,7 +118,7 @@ class Rules:
     prompt_version: int = 2
     model: str = ""
     # Records of one parcel held in one row; parcels above it take the distributed path.
-    records_per_row: int = 2_000
+    records_per_row: int = 20_000
 
     stale_after_hours: int = 96
 

@@ -11,6 +11,7 @@ from replat.functions import scalars
 from replat.functions.scalars import column_or_null
 from replat.functions.text import strip
 from replat.operators.cases import POST_FIELDS
+from replat.operators.combine import with_one_row
 
 
 def pre_state(parcels: DataFrame, rules: Rules = DEFAULT_RULES) -> Column:
@@ -75,8 +76,7 @@ def match_counts(joined: DataFrame, orphans: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("orphan_keys"),
         F.coalesce(F.sum("case_count"), F.lit(0)).alias("orphan_cases"),
     )
-    # one row each
-    return left.withColumn("one", F.lit(1)).join(right.withColumn("one", F.lit(1)), "one").drop("one")
+    return with_one_row(left, right)
 
 
 def parcel_analysis(
