@@ -58,16 +58,37 @@ def count_columns() -> list[Column]:
     return [F.count_if(conditions[n]).cast("bigint").alias(n) for n in COUNT_FIELDS]
 
 
+def count_cells(assigned: DataFrame, layers: list[str]) -> DataFrame:
+    """All counts per combination of assigned regions: the one pass every total is added up from.
+
+    There are about as many cells as regions of the finest layer; parcels outside every region share
+    the cell of nulls.
+    """
+    return assigned.groupBy(*layers).agg(*count_columns())
+
+
+def _added_up() -> list[Column]:
+    return [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in COUNT_FIELDS]
+
+
 def summary_counts(results: DataFrame) -> DataFrame:
     """One row with the 26 counts of the whole area."""
     return results.agg(*count_columns())
 
 
+def summary_of(cells: DataFrame) -> DataFrame:
+    """The same row, added up from :func:`count_cells`."""
+    return cells.agg(*_added_up())
+
+
 def region_counts(
-    results: DataFrame, regions: DataFrame, key: str, assigned: str, id_fields: list[str]
+    cells: DataFrame, regions: DataFrame, key: str, assigned: str, id_fields: list[str]
 ) -> DataFrame:
-    """One row per region, zero-filled; ``assigned`` is the result column naming each parcel's region."""
-    per_key = results.filter(F.col(assigned).isNotNull()).groupBy(assigned).agg(*count_columns())
+    """One row per region, zero-filled; ``assigned`` is the cell column naming the region.
+
+    Region rows that share a key receive the same counts.
+    """
+    per_key = cells.filter(F.col(assigned).isNotNull()).groupBy(assigned).agg(*_added_up())
     kept = [c for c in ("region_idx", "geometry") if c in regions.columns]
     ids = [F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f.lower()) for f in id_fields]
     framed = regions.select(*ids, *kept, F.col(key).cast("string").alias("_key"))

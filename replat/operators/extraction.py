@@ -216,12 +216,16 @@ def prune_cache(cache: DataFrame, parcels: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- comparison and override
 
 
+def _of_kind(kinds: tuple[str, ...]):
+    return lambda s: s["struct_type"].isin(*kinds)
+
+
 def _model_post(structures: Column) -> dict[str, Column]:
     """Counts and areas per dwelling type; the junior unit counts as an accessory unit here."""
     out = {}
     for label in config.DWELLING_TYPES:
         kinds = ("adu", "jadu") if label == "adu" else (label,)
-        mine = F.filter(structures, lambda s, k=kinds: s["struct_type"].isin(*k))
+        mine = F.filter(structures, _of_kind(kinds))
         areas = F.filter(F.transform(mine, lambda s: s["sqft"]), lambda a: a.isNotNull())
         total = F.aggregate(areas, F.lit(0).cast("bigint"), lambda acc, a: acc + a)
         out[f"{label}_count"] = F.size(mine).cast("bigint")

@@ -72,29 +72,21 @@ def _parcel_warnings(rules: Rules) -> list[Column]:
     ]
 
 
-def warnings(
-    assigned: DataFrame,
-    layer: str | None = None,
-    rules: Rules = DEFAULT_RULES,
-    disabled_reason: str | None = None,
+def with_warnings(
+    assigned: DataFrame, layer: str | None = None, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """All warnings, one row each, from one pass over the assigned parcel rows.
+    """Adds ``warnings``, the list of a parcel row's warnings, without leaving the row.
 
-    ``layer`` is the region column whose absence is worth a warning. Model warnings are included when
-    the rows carry ``model_issues``. ``disabled_reason`` adds the run-wide notice that the model step
-    was switched off.
+    ``layer`` is the region column whose absence is worth a warning. Model warnings come first when the
+    rows carry ``model_issues``.
     """
     items = _parcel_warnings(rules)
     if layer is not None:
-        items.append(
-            F.when(
-                F.col(layer).isNull(),
-                _warning(
-                    "spatial", 0, "parcel_outside_census_tracts", "data",
-                    F.lit("parcel centroid did not fall inside any fetched census tract"),
-                ),
-            )
+        lost = _warning(
+            "spatial", 0, "parcel_outside_census_tracts", "data",
+            F.lit("parcel centroid did not fall inside any fetched census tract"),
         )
+        items.append(F.when(F.col(layer).isNull(), lost))
     found = F.filter(F.array(*items), lambda w: w.isNotNull())
     if "model_issues" in assigned.columns:
         found = F.concat(
@@ -110,14 +102,17 @@ def warnings(
             ),
             found,
         )
-    out = assigned.select("ain", "parcel_seq", F.inline(found))
+    return assigned.withColumn("warnings", found)
+
+
+def warnings(warned: DataFrame, disabled_reason: str | None = None) -> DataFrame:
+    """All warnings, one row each. ``disabled_reason`` adds the notice that the model step was off."""
+    out = warned.select("ain", "parcel_seq", F.inline("warnings"))
     if disabled_reason is not None:
-        notice = assigned.sparkSession.range(1).select(
+        notice = warned.sparkSession.range(1).select(
             F.lit("*").alias("ain"),
             F.lit(None).cast("bigint").alias("parcel_seq"),
-            F.inline(
-                F.array(_warning("run", 0, "llm_disabled", "info", F.lit(disabled_reason)))
-            ),
+            F.inline(F.array(_warning("run", 0, "llm_disabled", "info", F.lit(disabled_reason)))),
         )
         out = out.unionByName(notice)
     return out
@@ -148,20 +143,21 @@ def _ratio(hits: Column, total: Column) -> Column:
     return F.coalesce(hits.cast("double") / F.nullif(total, F.lit(0)).cast("double"), F.lit(1.0))
 
 
-def parcel_checks(assigned: DataFrame, warning_rows: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The four gates on parcels, cases and warnings. The case tallies are weighted by parcel rows."""
-    totals = assigned.agg(
+def parcel_checks(warned: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The four gates on parcels, cases and warnings, from one aggregation over the parcel rows.
+
+    The case tallies sit on the parcel rows, so a key that two parcels share counts twice.
+    """
+    has_data = F.exists("warnings", lambda w: w["severity"] == "data")
+    one = warned.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("rebuild_progress_num") == 7).alias("completed"),
+        F.countDistinct(F.when(has_data, F.col("ain"))).alias("flagged"),
         *[
             F.coalesce(F.sum(c), F.lit(0)).alias(c)
             for c in ("parse_candidates", "parse_hits", "area_candidates", "area_hits")
         ],
     )
-    flagged = warning_rows.filter(F.col("severity") == "data").agg(
-        F.countDistinct("ain").alias("flagged")
-    )
-    one = with_one_row(totals, flagged)
     parse = _ratio(F.col("parse_hits"), F.col("parse_candidates"))
     area = _ratio(F.col("area_hits"), F.col("area_candidates"))
     total = F.greatest(F.col("total"), F.lit(1))
@@ -203,10 +199,12 @@ def parcel_checks(assigned: DataFrame, warning_rows: DataFrame, rules: Rules = D
     return one.select(F.inline(F.array(*[F.struct(*c) for c in checks])))
 
 
-def region_total_check(assigned: DataFrame, layer: str, region_rows: DataFrame) -> DataFrame:
+def region_total_check(cells: DataFrame, layer: str, region_rows: DataFrame) -> DataFrame:
     """Parcels in regions plus unassigned ones must be all parcels."""
-    parcels = assigned.agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col(layer).isNull()).alias("unassigned")
+    lost = F.when(F.col(layer).isNull(), F.col("total_parcels"))
+    parcels = cells.agg(
+        F.coalesce(F.sum("total_parcels"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(lost), F.lit(0)).alias("unassigned"),
     )
     regions = region_rows.agg(F.coalesce(F.sum("total_parcels"), F.lit(0)).alias("in_regions"))
     one = with_one_row(parcels, regions)
@@ -255,17 +253,17 @@ def partition_check(parents: DataFrame, children: DataFrame, key: str = "ct20")
 
 
 def quality_checks(
-    assigned: DataFrame,
-    warning_rows: DataFrame,
+    warned: DataFrame,
     layer: str | None = None,
+    cells: DataFrame | None = None,
     region_rows: DataFrame | None = None,
     subregion_rows: DataFrame | None = None,
     rules: Rules = DEFAULT_RULES,
 ) -> DataFrame:
     """Every gate, one row each. Region gates need the region counts and are left out without them."""
-    checks = [parcel_checks(assigned, warning_rows, rules)]
-    if layer is not None and region_rows is not None:
-        checks.append(region_total_check(assigned, layer, region_rows))
+    checks = [parcel_checks(warned, rules)]
+    if layer is not None and cells is not None and region_rows is not None:
+        checks.append(region_total_check(cells, layer, region_rows))
         if subregion_rows is not None:
             checks.append(partition_check(region_rows, subregion_rows))
     return reduce(DataFrame.unionByName, checks)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,102 +23,137 @@ RULES = dataclasses.replace(DEFAULT_RULES, model=MODEL)
 
 
 class _Frames:
-    """The shared steps of one run, built lazily from the tables in one folder."""
+    """The shared steps of one run, built once per folder. Only plans are kept, never rows."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
+    @cached_property
     def parcels(self) -> DataFrame:
         return adapters.parcels(self.spark, self.sf_dir)
 
+    @cached_property
     def cases(self) -> DataFrame:
         return adapters.cases(self.spark, self.sf_dir)
 
+    @cached_property
     def facts(self) -> DataFrame:
-        return cases.case_facts(self.cases(), RULES)
+        return cases.case_facts(self.cases, RULES)
 
+    @cached_property
     def rollup(self) -> DataFrame:
-        return cases.case_rollup(self.facts())
+        return cases.case_rollup(self.facts)
 
+    @cached_property
     def analysis(self) -> DataFrame:
-        return parcels.parcel_analysis(self.parcels(), self.rollup(), RULES)
+        return parcels.parcel_analysis(self.parcels, self.rollup, RULES)
 
+    @cached_property
     def regions(self) -> DataFrame:
         return adapters.regions(self.spark, self.sf_dir)
 
+    @cached_property
     def subregions(self) -> DataFrame:
         return adapters.subregions(self.spark, self.sf_dir)
 
+    @cached_property
     def assignment(self) -> DataFrame:
-        layers = {"tract": (self.regions(), "ct20"), "block_group": (self.subregions(), "bg20")}
-        return spatial.assign_regions(self.parcels(), layers)
+        layers = {"tract": (self.regions, "ct20"), "block_group": (self.subregions, "bg20")}
+        return spatial.assign_regions(self.parcels, layers)
 
+    @cached_property
     def assigned(self) -> DataFrame:
-        return spatial.with_regions(self.analysis(), self.assignment())
+        return spatial.with_regions(self.analysis, self.assignment)
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        return counts.count_cells(self.assigned, ["tract", "block_group"])
+
+    @cached_property
     def region_rows(self) -> DataFrame:
-        return counts.region_counts(self.assigned(), self.regions(), "ct20", "tract", ["CT20", "LABEL"])
+        return counts.region_counts(self.cells, self.regions, "ct20", "tract", ["CT20", "LABEL"])
 
+    @cached_property
     def subregion_rows(self) -> DataFrame:
-        return counts.region_counts(
-            self.assigned(), self.subregions(), "bg20", "block_group", ["BG20", "CT20", "LABEL"]
-        )
+        ids = ["BG20", "CT20", "LABEL"]
+        return counts.region_counts(self.cells, self.subregions, "bg20", "block_group", ids)
+
+    @cached_property
+    def warned(self) -> DataFrame:
+        return quality.with_warnings(self.assigned, "tract", RULES)
 
+    @cached_property
     def warnings(self) -> DataFrame:
-        return quality.warnings(self.assigned(), "tract", RULES)
+        return quality.warnings(self.warned)
 
+    @cached_property
     def summary(self) -> DataFrame:
-        return counts.summary_counts(self.analysis())
+        return counts.summary_counts(self.analysis)
 
+    @cached_property
     def records(self) -> DataFrame:
-        return extraction.qualifying_records(self.cases(), RULES)
+        return extraction.qualifying_records(self.cases, RULES)
 
+    @cached_property
     def keys(self) -> DataFrame:
-        return extraction.content_keys(self.records(), RULES)
+        return extraction.content_keys(self.records, RULES)
 
+    @cached_property
     def replies(self) -> DataFrame:
         return adapters.replies(self.spark, self.sf_dir)
 
+    @cached_property
     def keyed_replies(self) -> DataFrame:
         """Replies under the content key of their parcel, as they come back from a model run."""
-        r, k = self.replies(), self.keys()
+        r, k = self.replies, self.keys
         return r.join(k, r["ain"] == k["main_ain"]).select(
             "key", "form", "ain", "content", "input_tokens", "output_tokens"
         )
 
+    @cached_property
     def stored(self) -> DataFrame:
         """Cache of an earlier run: the parcels whose replies have form 0 or 1."""
-        return self.keyed_replies().filter(F.col("form").isin(0, 1)).select("key", "ain")
+        return self.keyed_replies.filter(F.col("form").isin(0, 1)).select("key", "ain")
 
+    @cached_property
     def misses(self) -> DataFrame:
-        return extraction.cache_misses(self.keys(), self.stored())
+        return extraction.cache_misses(self.keys, self.stored)
 
+    @cached_property
     def parsed_replies(self) -> DataFrame:
-        return extraction.parse_replies(self.replies())
+        return extraction.parse_replies(self.replies)
 
+    @cached_property
     def overlaid(self) -> DataFrame:
-        return extraction.apply_extractions(self.assigned(), self.parsed_replies().filter("ok"), RULES)
+        return extraction.apply_extractions(self.assigned, self.parsed_replies.filter("ok"), RULES)
 
+    @cached_property
     def perimeter(self) -> DataFrame:
-        return self.parcels().filter(F.col("cx") + F.col("cy") < 5)
+        return self.parcels.filter(F.col("cx") + F.col("cy") < 5)
 
+    @cached_property
     def near_regions(self) -> DataFrame:
-        return perimeter.regions_in_envelope(self.regions(), self.perimeter())
+        return perimeter.regions_in_envelope(self.regions, self.perimeter)
+
+
+@lru_cache(maxsize=8)
+def _frames_of(spark: SparkSession, sf_dir: str) -> _Frames:
+    return _Frames(spark, sf_dir)
 
 
 def _keyed(column: str) -> Query:
-    return lambda spark, sf: _Frames(spark, sf).rollup().select("main_ain", column)
+    return lambda spark, sf: _frames_of(spark, sf).rollup.select("main_ain", column)
 
 
 def _extraction_metrics(f: _Frames) -> DataFrame:
     new = extraction.new_extractions(
-        f.misses(), f.keyed_replies().drop("ain", "form"), "2026-01-01T00:00:00Z", RULES
+        f.misses, f.keyed_replies.drop("ain", "form"), "2026-01-01T00:00:00Z", RULES
     )
     # orphan keys are hashed too but belong to no parcel row
-    new = extraction.prune_cache(new, f.parcels())
-    overlaid = f.overlaid()
+    new = extraction.prune_cache(new, f.parcels)
+    overlaid = f.overlaid
     info = extraction.run_info(overlaid, new, RULES)
-    return extraction.extraction_metrics(info, quality.warnings(overlaid, "tract", RULES))
+    return extraction.extraction_metrics(info, quality.warnings(quality.with_warnings(overlaid, "tract", RULES)))
 
 
 def _feature_fields(features: DataFrame, paths: dict[str, str]) -> list[Column]:
@@ -125,7 +161,7 @@ def _feature_fields(features: DataFrame, paths: dict[str, str]) -> list[Column]:
 
 
 def _parcel_features(f: _Frames) -> DataFrame:
-    out = tables.parcel_features(f.analysis())
+    out = tables.parcel_features(f.analysis)
     prop = "$.properties."
     named = {n: prop + n for n in ("damage", "post_sfr_sqft", "lfl_conflict", "address")}
     west = F.get_json_object("value", "$.geometry.coordinates[0][0][0]").cast("double").alias("west")
@@ -137,7 +173,7 @@ def _parcel_features(f: _Frames) -> DataFrame:
 
 
 def _region_features(f: _Frames) -> DataFrame:
-    out = tables.region_features(f.region_rows(), ["CT20", "LABEL"])
+    out = tables.region_features(f.region_rows, ["CT20", "LABEL"])
     corner = "$.geometry.coordinates[0][0]"
     paths = {
         "kind": "$.type",
@@ -230,7 +266,7 @@ def _document_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pre_state(f: _Frames) -> DataFrame:
-    rows = f.parcels().withColumn("pre", parcels.pre_state(f.parcels(), RULES))
+    rows = f.parcels.withColumn("pre", parcels.pre_state(f.parcels, RULES))
     pre = {n: F.col(f"pre.{n}").cast("bigint") for n in cases.POST_FIELDS}
     summary = scalars.pre_state_text(
         {t: pre[f"{t}_count"] for t in config.DWELLING_TYPES},
@@ -242,13 +278,13 @@ def _pre_state(f: _Frames) -> DataFrame:
 
 
 def _post_state(f: _Frames) -> DataFrame:
-    rows = f.rollup().filter(F.col("post").isNotNull())
+    rows = f.rollup.filter(F.col("post").isNotNull())
     return rows.select("main_ain", *[F.col(f"post.{n}").try_cast("bigint").alias(n) for n in cases.POST_FIELDS])
 
 
 def _nearest(f: _Frames) -> DataFrame:
     wedges = adapters.wedges(f.spark, f.sf_dir)
-    return spatial.assign_regions(f.parcels(), {"wedge": (wedges, "ct20")}).select(
+    return spatial.assign_regions(f.parcels, {"wedge": (wedges, "ct20")}).select(
         "parcel_seq",
         "wedge",
         F.col("wedge_by_distance").alias("by_distance"),
@@ -257,11 +293,11 @@ def _nearest(f: _Frames) -> DataFrame:
 
 
 def _structures(f: _Frames) -> DataFrame:
-    return cases.case_structures(f.cases()).drop("raw_segment")
+    return cases.case_structures(f.cases).drop("raw_segment")
 
 
 def _reply_structures(f: _Frames) -> DataFrame:
-    rows = f.parsed_replies().select("ain", F.posexplode("structures").alias("pos", "s"))
+    rows = f.parsed_replies.select("ain", F.posexplode("structures").alias("pos", "s"))
     return rows.select(
         "ain", "pos", "s.struct_type", "s.sqft", "s.confidence", "s.notes",
         F.size("s.evidence_case_numbers").alias("evidence"),
@@ -269,39 +305,37 @@ def _reply_structures(f: _Frames) -> DataFrame:
 
 
 def _issues(f: _Frames) -> DataFrame:
-    return f.overlaid().select("parcel_seq", "ain", F.inline("model_issues"))
+    return f.overlaid.select("parcel_seq", "ain", F.inline("model_issues"))
 
 
 def _override(f: _Frames) -> DataFrame:
-    return f.overlaid().select(
+    return f.overlaid.select(
         "parcel_seq", "model_status", *[f"post_{n}" for n in cases.POST_FIELDS], "added_adu_count",
         "sfr_size_comparison",
     )
 
 
 def _quality(f: _Frames) -> DataFrame:
-    return quality.quality_checks(
-        f.assigned(), f.warnings(), "tract", f.region_rows(), f.subregion_rows(), RULES
-    )
+    return quality.quality_checks(f.warned, "tract", f.cells, f.region_rows, f.subregion_rows, RULES)
 
 
 def _flagged(f: _Frames) -> DataFrame:
-    flagged = f.warnings().filter(F.col("severity") == "data").agg(F.countDistinct("ain").alias("flagged"))
-    total = f.parcels().agg(F.count(F.lit(1)).alias("total"))
+    flagged = f.warnings.filter(F.col("severity") == "data").agg(F.countDistinct("ain").alias("flagged"))
+    total = f.parcels.agg(F.count(F.lit(1)).alias("total"))
     return flagged.withColumn("total", total.scalar())
 
 
 def _match_counts(f: _Frames) -> DataFrame:
-    joined = parcels.join_rollup(f.parcels(), f.rollup())
-    return parcels.match_counts(joined, parcels.orphan_keys(f.parcels(), f.cases()))
+    joined = parcels.join_rollup(f.parcels, f.rollup)
+    return parcels.match_counts(joined, parcels.orphan_keys(f.parcels, f.cases))
 
 
 def _case_days(f: _Frames) -> DataFrame:
-    return f.cases().select("seq", scalars.epoch_ms_date(F.col("apply_date")).alias("apply_day"))
+    return f.cases.select("seq", scalars.epoch_ms_date(F.col("apply_date")).alias("apply_day"))
 
 
 def _frames(build: Callable[[_Frames], DataFrame]) -> Query:
-    return lambda spark, sf: build(_Frames(spark, sf))
+    return lambda spark, sf: build(_frames_of(spark, sf))
 
 
 def registered() -> dict[str, Query]:
@@ -311,26 +345,26 @@ def registered() -> dict[str, Query]:
     ]
     return {
         "join_cases_left": _frames(
-            lambda f: parcels.join_rollup(f.parcels(), f.rollup()).select(
+            lambda f: parcels.join_rollup(f.parcels, f.rollup).select(
                 F.col("seq").alias("parcel_seq"), F.col("ain_1").alias("ain"), "case_count"
             )
         ),
-        "orphan_keys": _frames(lambda f: parcels.orphan_keys(f.parcels(), f.cases())),
+        "orphan_keys": _frames(lambda f: parcels.orphan_keys(f.parcels, f.cases)),
         "match_counts": _frames(_match_counts),
-        "case_flags": _frames(lambda f: f.facts().select(*flags)),
+        "case_flags": _frames(lambda f: f.facts.select(*flags)),
         "case_dates": _frames(_case_days),
         "max_progress": _keyed("max_progress"),
         "primary_pick": _frames(
-            lambda f: f.rollup().filter("primary_seq is not null").select("main_ain", "primary_seq")
+            lambda f: f.rollup.filter("primary_seq is not null").select("main_ain", "primary_seq")
         ),
-        "latest_claim": _frames(lambda f: f.rollup().filter("claim is not null").select("main_ain", "claim")),
+        "latest_claim": _frames(lambda f: f.rollup.filter("claim is not null").select("main_ain", "claim")),
         "claim_conflict": _keyed("claim_conflict"),
         "pathway_mentions": _keyed("mentions_pathway"),
         "qualifying_keys": _frames(
-            lambda f: f.rollup().select("main_ain", "has_qualifying", "has_qualifying_permit")
+            lambda f: f.rollup.select("main_ain", "has_qualifying", "has_qualifying_permit")
         ),
         "first_unit_permit": _frames(
-            lambda f: f.rollup().filter("units_unknown is not null").select("main_ain", "units_unknown")
+            lambda f: f.rollup.filter("units_unknown is not null").select("main_ain", "units_unknown")
         ),
         "case_structures": _frames(_structures),
         "structure_totals": _frames(
@@ -344,42 +378,43 @@ def registered() -> dict[str, Query]:
         ),
         "parcel_post_state": _frames(_post_state),
         "pre_state": _frames(_pre_state),
-        "parcel_result": _frames(lambda f: parcels.results(f.analysis())),
-        "parcel_csv_rows": _frames(lambda f: tables.parcel_rows(f.analysis())),
-        "summary_counts": _frames(lambda f: f.summary()),
-        "region_assignment": _frames(lambda f: f.assigned().select("parcel_seq", "tract", "block_group")),
-        "region_counts": _frames(lambda f: f.region_rows().drop("region_idx", "geometry")),
-        "subregion_counts": _frames(lambda f: f.subregion_rows().drop("region_idx", "geometry")),
-        "unassigned": _frames(lambda f: spatial.unassigned(f.assigned(), "tract")),
+        "parcel_result": _frames(lambda f: parcels.results(f.analysis)),
+        "parcel_csv_rows": _frames(lambda f: tables.parcel_rows(f.analysis)),
+        "summary_counts": _frames(lambda f: f.summary),
+        "region_assignment": _frames(lambda f: f.assigned.select("parcel_seq", "tract", "block_group")),
+        "region_counts": _frames(lambda f: f.region_rows.drop("region_idx", "geometry")),
+        "subregion_counts": _frames(lambda f: f.subregion_rows.drop("region_idx", "geometry")),
+        "summary_from_cells": _frames(lambda f: counts.summary_of(f.cells)),
+        "unassigned": _frames(lambda f: spatial.unassigned(f.assigned, "tract")),
         "nearest_region": _frames(_nearest),
         "parcel_features": _frames(_parcel_features),
         "region_features": _frames(_region_features),
-        "warnings": _frames(lambda f: quality.report_order(f.warnings())),
-        "warning_rollup": _frames(lambda f: reports.warning_rollup(f.warnings())),
-        "warning_table": _frames(lambda f: reports.warning_table(f.warnings(), "data", "ain")),
+        "warnings": _frames(lambda f: quality.report_order(f.warnings)),
+        "warning_rollup": _frames(lambda f: reports.warning_rollup(f.warnings)),
+        "warning_table": _frames(lambda f: reports.warning_table(f.warnings, "data", "ain")),
         "flagged_rate": _frames(_flagged),
         "partition_mismatches": _frames(
-            lambda f: quality.partition_mismatches(f.region_rows(), f.subregion_rows()).drop("region_idx")
+            lambda f: quality.partition_mismatches(f.region_rows, f.subregion_rows).drop("region_idx")
         ),
         "quality_checks": _frames(_quality),
-        "content_keys": _frames(lambda f: f.keys()),
-        "extraction_inputs": _frames(lambda f: extraction.extraction_inputs(f.records(), f.keys())),
-        "user_prompts": _frames(lambda f: prompts.user_prompts(f.parcels(), f.records(), RULES)),
-        "cache_misses": _frames(lambda f: f.misses().select("main_ain", "key")),
+        "content_keys": _frames(lambda f: f.keys),
+        "extraction_inputs": _frames(lambda f: extraction.extraction_inputs(f.records, f.keys)),
+        "user_prompts": _frames(lambda f: prompts.user_prompts(f.parcels, f.records, RULES)),
+        "cache_misses": _frames(lambda f: f.misses.select("main_ain", "key")),
         "cache_prune": _frames(
-            lambda f: extraction.prune_cache(f.keys().withColumnRenamed("main_ain", "ain"), f.parcels())
+            lambda f: extraction.prune_cache(f.keys.withColumnRenamed("main_ain", "ain"), f.parcels)
         ),
-        "reply_status": _frames(lambda f: f.parsed_replies().select("ain", "ok", "reasoning")),
+        "reply_status": _frames(lambda f: f.parsed_replies.select("ain", "ok", "reasoning")),
         "reply_structures": _frames(_reply_structures),
         "extraction_issues": _frames(_issues),
         "extraction_override": _frames(_override),
         "extraction_metrics": _frames(_extraction_metrics),
-        "bucket_shares": _frames(lambda f: reports.bucket_shares(f.summary())),
-        "claim_shares": _frames(lambda f: reports.claim_shares(f.summary())),
-        "envelope": _frames(lambda f: perimeter.envelope(f.perimeter())),
-        "regions_in_envelope": _frames(lambda f: f.near_regions().select("ct20", "label")),
+        "bucket_shares": _frames(lambda f: reports.bucket_shares(f.summary)),
+        "claim_shares": _frames(lambda f: reports.claim_shares(f.summary)),
+        "envelope": _frames(lambda f: perimeter.envelope(f.perimeter)),
+        "regions_in_envelope": _frames(lambda f: f.near_regions.select("ct20", "label")),
         "subregions_of": _frames(
-            lambda f: perimeter.children_of(f.subregions(), f.near_regions()).select("bg20", "ct20")
+            lambda f: perimeter.children_of(f.subregions, f.near_regions).select("bg20", "ct20")
         ),
         "page_flatten": _page_flatten,
         "record_problems": _record_problems,

@@ -432,6 +432,7 @@ from structures group by 1""",
         "parcel_result": _with("analysis") + f"select {_RESULT} from analysis",
         "parcel_csv_rows": _with("analysis") + f"select {_csv_fields()} from analysis",
         "summary_counts": _with("analysis") + f"select {_COUNT_SQL} from analysis",
+        "summary_from_cells": _with("analysis") + f"select {_COUNT_SQL} from analysis",
         "region_assignment": _with("assigned") + "select parcel_seq, tract, block_group from assigned",
         "region_counts": _with("assigned") + _regional("tract", "regions", "r.ct20, r.label", "ct20"),
         "subregion_counts": _with("assigned")

@@ -59,6 +59,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
