@@ -221,16 +221,16 @@ def region_total_check(cells: DataFrame, layer: str, region_rows: DataFrame) ->
     )
 
 
-def partition_mismatches(parents: DataFrame, children: DataFrame, key: str = "ct20") -> DataFrame:
-    """Parent regions whose total differs from the sum of their children's."""
+def partition_totals(parents: DataFrame, children: DataFrame, key: str = "ct20") -> DataFrame:
+    """Every parent region's total beside the sum of its children's; a parent without any gets 0."""
     sums = children.groupBy(key).agg(F.sum("total_parcels").alias("child_sum"))
-    joined = parents.select(key, "region_idx", "total_parcels").join(sums, key, "left").fillna(0, ["child_sum"])
-    return joined.filter(F.col("total_parcels") != F.col("child_sum"))
+    totals = parents.select(key, "region_idx", "total_parcels")
+    return totals.join(sums, key, "left").fillna(0, ["child_sum"])
 
 
 def partition_check(parents: DataFrame, children: DataFrame, key: str = "ct20") -> DataFrame:
-    """Gate on :func:`partition_mismatches`, naming the first three."""
-    bad = partition_mismatches(parents, children, key)
+    """Gate on :func:`partition_totals`: no parent may differ; the first three that do are named."""
+    bad = partition_totals(parents, children, key).filter(F.col("total_parcels") != F.col("child_sum"))
     count = bad.agg(F.count(F.lit(1)).alias("bad"))
     text = F.concat(
         F.lit(f"{key}="), F.col(key), F.lit(" tract="), F.col("total_parcels"),

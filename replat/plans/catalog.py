@@ -393,8 +393,8 @@ def registered() -> dict[str, Query]:
         "warning_rollup": _frames(lambda f: reports.warning_rollup(f.warnings)),
         "warning_table": _frames(lambda f: reports.warning_table(f.warnings, "data", "ain")),
         "flagged_rate": _frames(_flagged),
-        "partition_mismatches": _frames(
-            lambda f: quality.partition_mismatches(f.region_rows, f.subregion_rows).drop("region_idx")
+        "partition_totals": _frames(
+            lambda f: quality.partition_totals(f.region_rows, f.subregion_rows).drop("region_idx")
         ),
         "quality_checks": _frames(_quality),
         "content_keys": _frames(lambda f: f.keys),

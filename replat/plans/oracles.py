@@ -457,8 +457,9 @@ select ct20, 'Feature' as kind, label, cast(total_parcels as varchar) as total_p
         "flagged_rate": _with("parcel_warnings")
         + """select count(distinct w.ain) as flagged, (select count(*) from assigned) as total
 from parcel_warnings w where w.severity = 'data'""",
-        "partition_mismatches": _with("assigned", "regions", "subregions").rstrip()
-        + f", {_TRACT_TOTALS}\nselect ct20, total_parcels, child_sum from mismatches",
+        "partition_totals": _with("assigned", "regions", "subregions").rstrip()
+        + f""", {_TRACT_TOTALS}\nselect t.ct20, t.total as total_parcels, coalesce(c.total, 0) as child_sum
+from tract_totals t left join child_totals c on t.ct20 = c.ct20""",
         "quality_checks": _with("parcel_warnings", "regions", "subregions").rstrip()
         + f""", {_TRACT_TOTALS},
  t as (select count(*) as total, count(*) filter (where rebuild_progress_num = 7) as done,
