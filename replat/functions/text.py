@@ -55,67 +55,84 @@ def segments(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
-def _first_start(text: Column, pattern: str) -> Column:
-    """Characters before the first match; the full length when there is none."""
-    return F.length(F.regexp_replace(text, f"(?isU)(?:{pattern}).*", ""))
+# Marks put around matches so that one pattern pass yields texts and positions. The scanned copy of a
+# segment never holds them: both stand for "neither letter, digit nor blank", like the mark they give way to.
+_CUT, _PAIR, _PLAIN = "\x00", "\x02", "\x01"
 
 
-def _earliest(text: Column, tier: tuple[tuple[str, str], ...]) -> Column:
-    starts = F.array(
-        *[
-            F.struct(_first_start(text, rx).alias("start"), F.lit(label).alias("label"))
-            for label, rx in tier
-        ]
-    )
-    return F.array_min(F.filter(starts, lambda h: h["start"] < F.length(text)))
+def _scannable(segment: Column) -> Column:
+    marked = segment.contains(_CUT) | segment.contains(_PAIR)
+    clean = F.translate(segment, _CUT + _PAIR, _PLAIN + _PLAIN)
+    return F.when(marked, clean).otherwise(segment)
 
 
-def _areas(text: Column) -> Column:
-    """Every area figure with the length of the gap before it and of the match itself."""
-    rx = f"(?isU)(.*?)({config.AREA})"
-    piece = [F.regexp_extract_all(text, F.lit(rx), F.lit(group)) for group in (1, 2, 3)]
-    return F.transform(
-        F.arrays_zip(piece[0].alias("gap"), piece[1].alias("full"), piece[2].alias("value")),
-        lambda a: F.struct(
-            F.length(a["gap"]).alias("gap"),
-            F.length(a["full"]).alias("full"),
-            F.regexp_replace(a["value"], ",", "").try_cast("double").alias("value"),
-        ),
-    )
+def _earliest(segment: Column, tier: tuple[tuple[str, str], ...]) -> Column:
+    """``struct<start, label>`` of the tier's earliest match, null without one.
+
+    The tier runs as one alternation in label order, so that of two labels at one place the smaller wins.
+    Everything from the match on is replaced by its groups; the text before them gives the start. Every
+    pattern starts at a word boundary: testing it once in front skips most positions at once.
+    """
+    tier = tuple(sorted(tier))
+    pattern = r"(?isU)\b(?:" + "|".join(f"({rx})" for _, rx in tier) + ").*"
+    groups = "".join(f"{_CUT}${i + 1}" for i in range(len(tier)))
+    pieces = F.split(F.regexp_replace(segment, pattern, groups), _CUT)
+
+    def found(p: Column) -> Column:
+        label = F.coalesce(
+            *[F.when(F.get(p, F.lit(i + 1)) != "", F.lit(label)) for i, (label, _) in enumerate(tier)]
+        )
+        return F.struct(F.length(F.get(p, F.lit(0))).alias("start"), label.alias("label"))
+
+    hit = F.get(F.transform(F.array(pieces), found), F.lit(0))
+    return F.filter(F.array(hit), lambda h: h["label"].isNotNull())
 
 
-def _nearest_area(areas: Column, anchor: Column) -> Column:
-    """Figure whose start is closest to the anchor, first on ties; without an anchor the first one."""
+def _nearest_area(segment: Column, anchor: Column) -> Column:
+    """Area figure starting closest to the anchor, first on ties; without an anchor the first one.
+
+    The marked text is cut into gaps and figures by turns; the fold keeps the running position.
+    """
+    marked = F.regexp_replace(segment, f"(?iU){config.AREA}", f"{_CUT}$1{_PAIR}$0{_CUT}")
     zero = F.struct(
         F.lit(0).alias("pos"),
+        F.lit(False).alias("is_figure"),
         F.lit(None).cast("int").alias("dist"),
-        F.lit(None).cast("double").alias("value"),
+        F.lit(None).cast("string").alias("value"),
     )
 
-    def step(acc: Column, area: Column) -> Column:
-        dist = F.coalesce(F.abs(acc["pos"] + area["gap"] - anchor), F.lit(0))
-        closer = acc["dist"].isNull() | (dist < acc["dist"])
+    def step(acc: Column, piece: Column) -> Column:
+        value = F.substring_index(piece, _PAIR, 1)
+        dist = F.coalesce(F.abs(acc["pos"] - anchor), F.lit(0))
+        closer = acc["is_figure"] & (acc["dist"].isNull() | (dist < acc["dist"]))
+        figure_length = F.length(piece) - F.length(value) - 1
         return F.struct(
-            (acc["pos"] + area["gap"] + area["full"]).alias("pos"),
+            (acc["pos"] + F.when(acc["is_figure"], figure_length).otherwise(F.length(piece))).alias("pos"),
+            (~acc["is_figure"]).alias("is_figure"),
             F.when(closer, dist).otherwise(acc["dist"]).alias("dist"),
-            F.when(closer, area["value"]).otherwise(acc["value"]).alias("value"),
+            F.when(closer, value).otherwise(acc["value"]).alias("value"),
         )
 
-    return F.aggregate(areas, zero, step, lambda acc: acc["value"])
+    return F.aggregate(
+        F.split(marked, _CUT),
+        zero,
+        step,
+        lambda acc: F.replace(acc["value"], F.lit(","), F.lit("")).try_cast("double"),
+    )
 
 
 def structures(text: Column) -> Column:
     """Typed structures of a description: ``array<struct<seg_idx, struct_type, sqft, raw_segment>>``.
 
-    Two stacked ``transform`` calls bind each intermediate once, so no pattern runs twice on a segment.
+    Stacked ``transform`` calls bind each intermediate once, so no pattern runs twice on a segment.
     """
     scanned = F.transform(
-        segments(text),
-        lambda s, i: F.struct(
+        F.transform(segments(text), lambda s: F.struct(s.alias("raw"), _scannable(s).alias("scan"))),
+        lambda x, i: F.struct(
             i.alias("idx"),
-            s.alias("raw"),
-            F.coalesce(*[_earliest(s, tier) for tier in config.TYPE_TIERS]).alias("hit"),
-            _areas(s).alias("areas"),
+            x["raw"].alias("raw"),
+            x["scan"].alias("scan"),
+            F.coalesce(*[F.get(_earliest(x["scan"], tier), F.lit(0)) for tier in config.TYPE_TIERS]).alias("hit"),
         ),
     )
     return F.transform(
@@ -123,7 +140,7 @@ def structures(text: Column) -> Column:
         lambda x: F.struct(
             x["idx"].alias("seg_idx"),
             F.coalesce(x["hit"]["label"], F.lit("unknown")).alias("struct_type"),
-            _nearest_area(x["areas"], x["hit"]["start"]).alias("sqft"),
+            _nearest_area(x["scan"], x["hit"]["start"]).alias("sqft"),
             x["raw"].alias("raw_segment"),
         ),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
+from replat.checkpoints import cut_lineage
 from replat.config import DEFAULT_RULES
 from replat.functions import scalars, text
 from replat.operators import cases, counts, extraction, parcels, prompts, quality, reports, spatial
@@ -146,14 +147,14 @@ def _keyed(column: str) -> Query:
 
 
 def _extraction_metrics(f: _Frames) -> DataFrame:
+    overlaid = cut_lineage(quality.with_warnings(f.overlaid, "tract", RULES))
     new = extraction.new_extractions(
         f.misses, f.keyed_replies.drop("ain", "form"), "2026-01-01T00:00:00Z", RULES
     )
     # orphan keys are hashed too but belong to no parcel row
     new = extraction.prune_cache(new, f.parcels)
-    overlaid = f.overlaid
     info = extraction.run_info(overlaid, new, RULES)
-    return extraction.extraction_metrics(info, quality.warnings(quality.with_warnings(overlaid, "tract", RULES)))
+    return extraction.extraction_metrics(info, quality.warnings(overlaid))
 
 
 def _feature_fields(features: DataFrame, paths: dict[str, str]) -> list[Column]:
@@ -316,7 +317,14 @@ def _override(f: _Frames) -> DataFrame:
 
 
 def _quality(f: _Frames) -> DataFrame:
-    return quality.quality_checks(f.warned, "tract", f.cells, f.region_rows, f.subregion_rows, RULES)
+    # six gates read the same parcel rows: computed once, as in a full run
+    warned = cut_lineage(f.warned)
+    cells = counts.count_cells(warned, ["tract", "block_group"])
+    regions = counts.region_counts(cells, f.regions, "ct20", "tract", ["CT20", "LABEL"])
+    subregions = counts.region_counts(
+        cells, f.subregions, "bg20", "block_group", ["BG20", "CT20", "LABEL"]
+    )
+    return quality.quality_checks(warned, "tract", cells, regions, subregions, RULES)
 
 
 def _flagged(f: _Frames) -> DataFrame:
