@@ -50,13 +50,15 @@ def case_facts(cases: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     desc, name = F.col("description"), column_or_null(cases, "project_name", "string")
     other_name = column_or_null(cases, "projectname", "string")
     progress = F.col("rebuild_progress_num").try_cast("double")
-    base = cases.select(
+    return cases.select(
         F.col("seq").cast("bigint").alias("seq"),
         "main_ain",
         is_event_case(cases, rules).alias("is_event"),
         is_permit(rules).alias("is_permit"),
         is_primary_candidate(cases, rules).alias("is_primary"),
         is_qualifying(cases, rules).alias("is_qualifying"),
+        column_or_null(cases, "casenumber", "string").alias("casenumber"),
+        F.sha2(F.coalesce(desc, F.lit("")), 256).alias("digest"),
         (F.length(desc) > 0).alias("has_text"),
         progress.alias("progress"),
         column_or_null(cases, "apply_date", "double").cast("double").alias("apply_date"),
@@ -71,7 +73,6 @@ def case_facts(cases: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         ).alias("names_sfr_area"),
         F.when(is_permit(rules), text.structure_totals(text.structures(desc))).alias("parsed"),
     )
-    return base
 
 
 def case_rollup(facts: DataFrame) -> DataFrame:

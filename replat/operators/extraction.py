@@ -32,22 +32,32 @@ def qualifying_records(cases: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFr
     return cases.filter(is_event_case(cases, rules) & is_qualifying(cases, rules))
 
 
+def qualifying_facts(facts: DataFrame) -> DataFrame:
+    """The same records from the case facts, whose text digests stand in for the texts."""
+    return facts.filter(F.col("is_event") & F.col("is_qualifying"))
+
+
 # ---------------------------------------------------------------- content keys
 
 
 def content_keys(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """(main_ain, key): a hash over the parcel key, model, prompt version and the sorted records.
 
+    Takes qualifying records or qualifying facts.
     Copies of a record are counted, not repeated, before the shuffle. A parcel with more than
     ``rules.records_per_row`` different records is hashed in two levels (blocks of records, then the
     block digests), so no row ever holds an unbounded list. The key is order-free either way.
     """
     limit = rules.records_per_row
+    if "digest" in records.columns:
+        digest = F.col("digest")
+    else:
+        digest = F.sha2(F.coalesce(F.col("description"), F.lit("")), 256)
     distinct = (
         records.select(
             "main_ain",
             F.coalesce(F.col("casenumber"), F.lit("")).alias("case"),
-            F.sha2(F.coalesce(F.col("description"), F.lit("")), 256).alias("digest"),
+            digest.alias("digest"),
         )
         .groupBy("main_ain", "case", "digest")
         .agg(F.count(F.lit(1)).alias("copies"))
@@ -194,8 +204,7 @@ def new_extractions(
 ) -> DataFrame:
     """Usable replies for the missing keys, in the cache's shape. ``replies`` is keyed by ``key``."""
     parsed = parse_replies(replies.join(misses, "key")).filter("ok")
-    return parsed.select(
-        "key",
+    entry = F.struct(
         F.col("main_ain").alias("ain"),
         F.lit(extracted_at).alias("extracted_at"),
         F.lit(rules.model).alias("model"),
@@ -205,6 +214,8 @@ def new_extractions(
         F.col("input_tokens").cast("bigint").alias("input_tokens"),
         F.col("output_tokens").cast("bigint").alias("output_tokens"),
     )
+    # a key answered more than once gives one entry
+    return parsed.groupBy("key").agg(F.min_by(entry, "content").alias("entry")).select("key", "entry.*")
 
 
 def prune_cache(cache: DataFrame, parcels: DataFrame) -> DataFrame:

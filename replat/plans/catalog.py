@@ -97,7 +97,7 @@ class _Frames:
 
     @cached_property
     def keys(self) -> DataFrame:
-        return extraction.content_keys(self.records, RULES)
+        return extraction.content_keys(extraction.qualifying_facts(self.facts), RULES)
 
     @cached_property
     def replies(self) -> DataFrame:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replat import config
+from replat import config, session
 from replat.config import DEFAULT_RULES, Rules
 from replat.operators import cases, counts, extraction, parcels, prompts, quality, spatial
 from replat.sinks import tables
@@ -51,10 +51,10 @@ class Run:
 
 
 def extract(
-    src: Sources, analysis: DataFrame, run: Run, rules: Rules
+    src: Sources, facts: DataFrame, analysis: DataFrame, run: Run, rules: Rules
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with the model's results laid over, new cache entries). Writes the next cache version."""
-    records = extraction.qualifying_records(src.cases, rules)
+    records = extraction.qualifying_facts(facts)
     keys = run.write(extraction.content_keys(records, rules), "content_keys")
     misses = extraction.cache_misses(keys, src.cache)
     new = extraction.new_extractions(misses, src.replies, run.generated_at, rules)
@@ -70,7 +70,7 @@ def pending_prompts(src: Sources, run: Run, rules: Rules = DEFAULT_RULES) -> Dat
     """Prompts of the parcels whose content key is not in the cache: what to send to a model."""
     records = extraction.qualifying_records(src.cases, rules)
     misses = extraction.cache_misses(extraction.content_keys(records, rules), src.cache)
-    wanted = records.join(misses.select("main_ain"), "main_ain", "left_semi")
+    wanted = run.write(records.join(misses.select("main_ain"), "main_ain", "left_semi"), "prompt_records")
     texts = prompts.user_prompts(src.parcels, wanted, rules)
     return run.write(
         texts.join(misses, texts["ain"] == misses["main_ain"]).drop("main_ain"), "prompts"
@@ -78,12 +78,19 @@ def pending_prompts(src: Sources, run: Run, rules: Rules = DEFAULT_RULES) -> Dat
 
 
 def stage(src: Sources, run: Run, rules: Rules = DEFAULT_RULES) -> tuple[DataFrame, DataFrame | None]:
-    """Compute and write the parcel table with regions and warnings; also the model run's counters."""
-    rollup = cases.case_rollup(cases.case_facts(src.cases, rules))
-    analysis = parcels.parcel_analysis(src.parcels, rollup, rules)
+    """Compute and write the parcel table with regions and warnings; also the model run's counters.
+
+    The case texts are scanned and parsed once: with the model step on, the narrow fact rows are written
+    first, since both the roll-up and the content keys read them.
+    """
+    model_on = src.replies is not None and src.cache is not None
+    facts = cases.case_facts(src.cases, rules)
+    if model_on:
+        facts = run.write(facts, "case_facts")
+    analysis = parcels.parcel_analysis(src.parcels, cases.case_rollup(facts), rules)
     new = None
-    if src.replies is not None and src.cache is not None:
-        analysis, new = extract(src, analysis, run, rules)
+    if model_on:
+        analysis, new = extract(src, facts, analysis, run, rules)
     layers = {"tract": (src.regions, "ct20"), "block_group": (src.subregions, "bg20")}
     assigned = spatial.with_regions(analysis, spatial.assign_regions(src.parcels, layers))
     staged = run.write(quality.with_warnings(assigned, "tract", rules), "staged_parcels")
@@ -112,6 +119,7 @@ def run_all(
 
     ``disabled_reason`` says that the model step was switched off on purpose, and why.
     """
+    session.configure(spark)
     staged, info = stage(src, run, rules)
     cells = run.write(counts.count_cells(staged, list(LAYERS)), "cells")
     regions = counts.region_counts(cells, src.regions, "ct20", "tract", REGION_IDS)

@@ -79,7 +79,7 @@ def with_generated_at(summary: DataFrame, generated_at: str) -> DataFrame:
 
 
 def write_summary(summary: DataFrame, path: str, generated_at: str) -> None:
-    with_generated_at(summary, generated_at).coalesce(1).write.mode("overwrite").json(path)
+    with_generated_at(summary, generated_at).write.mode("overwrite").json(path)
 
 
 def report_head(checks: DataFrame, total_parcels: int, generated_at: str) -> DataFrame:
