@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from replat import config
+from replat.checkpoints import cut_lineage
 from replat.config import DEFAULT_RULES, Rules
 from replat.functions import scalars
 from replat.functions.scalars import json_string
@@ -40,6 +41,42 @@ def qualifying_facts(facts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- content keys
 
 
+def _pair(a: Column, b: Column) -> Column:
+    return F.concat(F.lit("["), json_string(a), F.lit(", "), json_string(b), F.lit("]"))
+
+
+def _sorted_items(*fields: str) -> Column:
+    return F.sort_array(F.collect_list(F.struct(*fields)))
+
+
+def _whole_lists(distinct: DataFrame) -> DataFrame:
+    """(main_ain, parts): every record of a parcel as JSON, copies repeated."""
+    rows = distinct.groupBy("main_ain").agg(_sorted_items("case", "digest", "copies").alias("items"))
+    repeated = F.transform(
+        "items", lambda r: F.array_repeat(_pair(r["case"], r["digest"]), r["copies"].cast("int"))
+    )
+    return rows.select("main_ain", F.flatten(repeated).alias("parts"))
+
+
+def _block_lists(distinct: DataFrame) -> DataFrame:
+    """The same for very large parcels, with one digest per block of records in place of the records."""
+    block = F.pmod(F.xxhash64("case", "digest"), F.col("blocks"))
+    rows = (
+        distinct.withColumn("block", F.lpad(block.cast("string"), 19, "0"))
+        .groupBy("main_ain", "block")
+        .agg(_sorted_items("case", "digest", "copies").alias("items"))
+    )
+    counted = F.transform(
+        "items", lambda r: F.concat(_pair(r["case"], r["digest"]), F.lit("x"), r["copies"])
+    )
+    return (
+        rows.select("main_ain", "block", F.sha2(F.array_join(counted, ", "), 256).alias("digest"))
+        .groupBy("main_ain")
+        .agg(_sorted_items("block", "digest").alias("items"))
+        .select("main_ain", F.transform("items", lambda r: _pair(r["block"], r["digest"])).alias("parts"))
+    )
+
+
 def content_keys(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """(main_ain, key): a hash over the parcel key, model, prompt version and the sorted records.
 
@@ -53,12 +90,9 @@ def content_keys(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         digest = F.col("digest")
     else:
         digest = F.sha2(F.coalesce(F.col("description"), F.lit("")), 256)
-    distinct = (
-        records.select(
-            "main_ain",
-            F.coalesce(F.col("casenumber"), F.lit("")).alias("case"),
-            digest.alias("digest"),
-        )
+    # written once: the size check and the lists read the same narrow rows, not the texts again
+    distinct = cut_lineage(
+        records.select("main_ain", F.coalesce(F.col("casenumber"), F.lit("")).alias("case"), digest.alias("digest"))
         .groupBy("main_ain", "case", "digest")
         .agg(F.count(F.lit(1)).alias("copies"))
     )
@@ -68,40 +102,17 @@ def content_keys(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
         .filter(F.col("copies") > limit)
         .select("main_ain", F.ceil(F.col("records") / limit).cast("bigint").alias("blocks"))
     )
-    # `large` is normally empty or tiny; AQE broadcasts it once its size is known.
-    block = F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("case", "digest"), F.col("blocks")))
-    rows = (
-        distinct.join(large, "main_ain", "left")
-        .withColumn("block", block)
-        .groupBy("main_ain", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("case", "digest", "copies"))).alias("items"))
-    )
-
-    def pair(a: Column, b: Column) -> Column:
-        return F.concat(F.lit("["), json_string(a), F.lit(", "), json_string(b), F.lit("]"))
-
-    repeated = F.flatten(
-        F.transform("items", lambda r: F.array_repeat(pair(r["case"], r["digest"]), r["copies"].cast("int")))
-    )
-    small = rows.filter(F.col("block").isNull()).select("main_ain", repeated.alias("parts"))
-    counted = F.transform("items", lambda r: F.concat(pair(r["case"], r["digest"]), F.lit("x"), r["copies"]))
-    blocks = rows.filter(F.col("block").isNotNull()).select(
-        "main_ain",
-        F.lpad(F.col("block").cast("string"), 19, "0").alias("block"),
-        F.sha2(F.array_join(counted, ", "), 256).alias("digest"),
-    )
-    folded = (
-        blocks.groupBy("main_ain")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "digest"))).alias("b"))
-        .select("main_ain", F.transform("b", lambda r: pair(r["block"], r["digest"])).alias("parts"))
-    )
+    parts = _whole_lists(distinct)
+    if not large.isEmpty():
+        small = distinct.join(large, "main_ain", "left_anti")
+        parts = _whole_lists(small).unionByName(_block_lists(distinct.join(large, "main_ain")))
     body = F.concat(
         F.lit('{"ain": '), json_string(F.col("main_ain")),
         F.lit(', "model": '), json_string(F.lit(rules.model)),
         F.lit(f', "prompt_version": {rules.prompt_version}, "records": ['),
         F.array_join("parts", ", "), F.lit("]}"),
     )
-    return small.unionByName(folded).select(
+    return parts.select(
         "main_ain", F.concat(F.lit("sha256:"), F.sha2(body, 256)).alias("key")
     )
 

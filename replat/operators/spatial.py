@@ -18,14 +18,18 @@ _CELL_BASE = 16.0
 _SMALLEST_LEVEL = -6
 
 
-def with_centroid(parcels: DataFrame) -> DataFrame:
-    """Adds ``px``/``py``, the centroid of the largest ring; null without a usable geometry."""
-    point = geo.centroid(F.col("geometry.rings"))
-    return (
-        parcels.withColumn("_centroid", point)
-        .withColumns({"px": F.col("_centroid.cx"), "py": F.col("_centroid.cy")})
-        .drop("_centroid")
+def centroids(parcels: DataFrame) -> DataFrame:
+    """(parcel_seq, px, py): centroid of the largest ring; rows without a usable geometry drop out.
+
+    The point comes out of a generator, so the join's null checks on it stay above and the ring sums
+    are computed once per row.
+    """
+    point = F.array(geo.centroid(F.col("geometry.rings")))
+    found = F.transform(
+        F.filter(point, lambda c: c.isNotNull()),
+        lambda c: F.struct(c["cx"].alias("px"), c["cy"].alias("py")),
     )
+    return parcels.select(F.col("seq").alias("parcel_seq"), F.inline(found))
 
 
 def region_shapes(regions: DataFrame, key: str) -> DataFrame:
@@ -82,8 +86,7 @@ def assign_regions(parcels: DataFrame, layers: dict[str, tuple[DataFrame, str]])
         )
     )
     points = (
-        with_centroid(parcels)
-        .select(F.col("seq").alias("parcel_seq"), "px", "py")
+        centroids(parcels)
         .withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
         .withColumn("cell_x", _cell(F.col("px"), lvl))
         .withColumn("cell_y", _cell(F.col("py"), lvl))

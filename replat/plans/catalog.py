@@ -346,6 +346,11 @@ def _frames(build: Callable[[_Frames], DataFrame]) -> Query:
     return lambda spark, sf: build(_frames_of(spark, sf))
 
 
+def _fresh(build: Callable[[_Frames], DataFrame]) -> Query:
+    """For queries that write intermediate rows on the way: every call computes them anew."""
+    return lambda spark, sf: build(_Frames(spark, sf))
+
+
 def registered() -> dict[str, Query]:
     flags = [
         "seq", "is_event", "is_permit", "is_primary", "is_qualifying", "desc_signal", "name_signal",
@@ -405,18 +410,18 @@ def registered() -> dict[str, Query]:
             lambda f: quality.partition_totals(f.region_rows, f.subregion_rows).drop("region_idx")
         ),
         "quality_checks": _frames(_quality),
-        "content_keys": _frames(lambda f: f.keys),
-        "extraction_inputs": _frames(lambda f: extraction.extraction_inputs(f.records, f.keys)),
+        "content_keys": _fresh(lambda f: f.keys),
+        "extraction_inputs": _fresh(lambda f: extraction.extraction_inputs(f.records, f.keys)),
         "user_prompts": _frames(lambda f: prompts.user_prompts(f.parcels, f.records, RULES)),
-        "cache_misses": _frames(lambda f: f.misses.select("main_ain", "key")),
-        "cache_prune": _frames(
+        "cache_misses": _fresh(lambda f: f.misses.select("main_ain", "key")),
+        "cache_prune": _fresh(
             lambda f: extraction.prune_cache(f.keys.withColumnRenamed("main_ain", "ain"), f.parcels)
         ),
         "reply_status": _frames(lambda f: f.parsed_replies.select("ain", "ok", "reasoning")),
         "reply_structures": _frames(_reply_structures),
         "extraction_issues": _frames(_issues),
         "extraction_override": _frames(_override),
-        "extraction_metrics": _frames(_extraction_metrics),
+        "extraction_metrics": _fresh(_extraction_metrics),
         "bucket_shares": _frames(lambda f: reports.bucket_shares(f.summary)),
         "claim_shares": _frames(lambda f: reports.claim_shares(f.summary)),
         "envelope": _frames(lambda f: perimeter.envelope(f.perimeter)),

@@ -68,7 +68,7 @@ def test_degenerate_geometry(spark):
 
 def test_centroid_keeps_digits_far_from_the_origin(spark):
     p = frame(spark, PARCEL, [at(0, -118.123456, 34.654321, 0.0001)])
-    row = spatial.with_centroid(p).first()
+    row = spatial.centroids(p).first()
     assert row["px"] == pytest.approx(-118.123456, abs=1e-12)
     assert row["py"] == pytest.approx(34.654321, abs=1e-12)
 
