@@ -17,7 +17,7 @@ from replat.operators import cases, counts, extraction, parcels, prompts, qualit
 from replat.plans import adapters
 from replat.plans.oracles import MODEL
 from replat.sinks import tables
-from replat.sources import perimeter, snapshots, validation
+from replat.sources import cache, perimeter, snapshots, validation
 
 Query = Callable[[SparkSession, str], DataFrame]
 RULES = dataclasses.replace(DEFAULT_RULES, model=MODEL)
@@ -242,6 +242,33 @@ def _record_problems(spark: SparkSession, sf: str) -> DataFrame:
     return validation.record_problems(rows, validation.PARCEL_CONTRACT).select("seq", "field", "problem")
 
 
+def _cache_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Cache entries derived from customers: good ones, broken ones, and two versions of one key."""
+    k = F.col("c_custkey")
+    key = F.when(k % 10 == 9, k - 1).otherwise(k).cast("string")
+    area = (
+        F.when(k % 10 == 1, F.lit('"abc"'))
+        .when(k % 10 == 2, F.lit('"640"'))
+        .when(k % 10 == 3, F.lit("null"))
+        .otherwise(F.concat(k.cast("string"), F.lit(".5")))
+    )
+    kind = F.when(k % 10 == 4, F.lit('"kind"')).otherwise(F.lit('"struct_type"'))
+    listed = F.when(k % 10 == 5, F.lit('"none"')).when(k % 10 == 6, F.lit("null"))
+    item = F.concat(F.lit("[{"), kind, F.lit(':"sfr","sqft":'), area, F.lit(',"notes":""}]'))
+    body = F.concat(
+        F.lit('{"key":"k'), key, F.lit('","ain":"'), k.cast("string"), F.lit('","input_tokens":7,"structures":'),
+        F.coalesce(listed, item), F.lit("}"),
+    )
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(
+        k.alias("pos"), F.parse_json(body).alias("entry")
+    )
+    first = F.get(F.col("structures"), F.lit(0))
+    return cache.cache_entries(rows, RULES).select(
+        "key", "ain", "prompt_version", "input_tokens", first["sqft"].alias("sqft"),
+        first["confidence"].alias("confidence"), F.size("structures").alias("structures"),
+    )
+
+
 def _freshness(spark: SparkSession, sf: str) -> DataFrame:
     runs = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.col("ts").alias("generated_at"))
     as_of = F.lit("2024-01-15 00:00:00").cast("timestamp")
@@ -417,6 +444,7 @@ def registered() -> dict[str, Query]:
         "cache_prune": _fresh(
             lambda f: extraction.prune_cache(f.keys.withColumnRenamed("main_ain", "ain"), f.parcels)
         ),
+        "cache_entries": _cache_entries,
         "reply_status": _frames(lambda f: f.parsed_replies.select("ain", "ok", "reasoning")),
         "reply_structures": _frames(_reply_structures),
         "extraction_issues": _frames(_issues),

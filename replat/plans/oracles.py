@@ -498,6 +498,13 @@ from analysis p join bodies b on p.ain = b.main_ain""",
 where r.form is null or r.form not in (0, 1)""",
         "cache_prune": _with("keys", "parcels")
         + "select k.main_ain as ain, k.key from keys k join parcels p on k.main_ain = p.ain_1",
+        "cache_entries": """select 'k' || c_custkey - cast(c_custkey % 10 = 9 as int) as key, cast(c_custkey as varchar) as ain,
+ 2 as prompt_version, 7 as input_tokens,
+ case c_custkey % 10 when 2 then 640 when 3 then null when 6 then null else c_custkey end as sqft,
+ case when c_custkey % 10 <> 6 then 'low' end as confidence,
+ case when c_custkey % 10 = 6 then 0 else 1 end as structures
+from customer c where c_custkey % 10 not in (1, 4, 5)
+ and not (c_custkey % 10 = 8 and exists (select 1 from customer d where d.c_custkey = c.c_custkey + 1))""",
         "reply_status": _with("replies", "usable_replies")
         + """select r.ain, u.ain is not null as ok, u.reasoning from replies r left join usable_replies u on r.ain = u.ain""",
         "reply_structures": _with("reply_structures")

@@ -12,7 +12,7 @@ from replat.config import DEFAULT_RULES
 from replat.operators import extraction, quality
 from replat.plans import rebuild
 from replat.sinks import tables
-from replat.sources import snapshots, validation
+from replat.sources import cache, snapshots, validation
 from replat.streaming import intake
 
 RULES = dataclasses.replace(
@@ -139,6 +139,24 @@ def test_streams_read_each_file_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "replies")).count() == 1
 
 
+def test_cache_file_drops_bad_entries(spark, tmp_path):
+    good = {"key": "k1", "ain": "A", "structures": [{"struct_type": "sfr", "sqft": 10}], "reasoning": "r", "prompt_version": 3}
+    entries = [
+        good, {"key": "k2", "ain": "B"}, {"ain": "C"}, {"key": "k3"}, dict(good, reasoning="later"),
+        {"key": "k4", "ain": "D", "structures": [{"sqft": 1}]}, {"key": "k5", "ain": "E", "structures": [{"struct_type": "x", "sqft": "z"}]},
+        {"key": "k6", "ain": "F", "structures": ["x"]}, {"key": "k7", "ain": "G", "input_tokens": "many"}, 5,
+    ]
+    path = tmp_path / "cache.json"
+    path.write_text(json.dumps({"prompt_version": 2, "entries": entries}, indent=1))
+    got = {r["key"]: r for r in cache.read_cache(spark, str(path)).collect()}
+    assert sorted(got) == ["k1", "k2"]
+    assert (got["k1"]["reasoning"], got["k1"]["prompt_version"], got["k1"]["structures"][0]["confidence"]) == ("later", 3, "low")
+    assert (got["k2"]["prompt_version"], got["k2"]["structures"], got["k2"]["input_tokens"]) == (2, [], 0)
+    path.write_text("{not json")
+    assert cache.read_cache(spark, str(path)).count() == 0
+    assert cache.read_cache(spark, str(tmp_path / "absent.json")).count() == 0
+
+
 def sources(spark, tmp_path, case_rows, **model):
     parcels = [parcel("A", 1, 1), parcel("B", 5, 5), parcel("C", 99, 99), parcel("D", 1.5, 1)]
     tracts = [{"CT20": "1", "LABEL": "T1", "_geometry": {"rings": ring(1, 1, 2)}}, {"CT20": "2", "_geometry": {"rings": ring(5, 5, 2)}}]
