@@ -95,31 +95,10 @@ class _Frames:
     def records(self) -> DataFrame:
         return extraction.qualifying_records(self.cases, RULES)
 
-    @cached_property
-    def keys(self) -> DataFrame:
-        return extraction.content_keys(extraction.qualifying_facts(self.facts), RULES)
-
     @cached_property
     def replies(self) -> DataFrame:
         return adapters.replies(self.spark, self.sf_dir)
 
-    @cached_property
-    def keyed_replies(self) -> DataFrame:
-        """Replies under the content key of their parcel, as they come back from a model run."""
-        r, k = self.replies, self.keys
-        return r.join(k, r["ain"] == k["main_ain"]).select(
-            "key", "form", "ain", "content", "input_tokens", "output_tokens"
-        )
-
-    @cached_property
-    def stored(self) -> DataFrame:
-        """Cache of an earlier run: the parcels whose replies have form 0 or 1."""
-        return self.keyed_replies.filter(F.col("form").isin(0, 1)).select("key", "ain")
-
-    @cached_property
-    def misses(self) -> DataFrame:
-        return extraction.cache_misses(self.keys, self.stored)
-
     @cached_property
     def parsed_replies(self) -> DataFrame:
         return extraction.parse_replies(self.replies)
@@ -137,6 +116,31 @@ class _Frames:
         return perimeter.regions_in_envelope(self.regions, self.perimeter)
 
 
+class _Keyed:
+    """Steps on content keys. The keys write intermediate rows, so each query makes its own."""
+
+    def __init__(self, frames: _Frames) -> None:
+        self.frames = frames
+        self.keys = extraction.content_keys(extraction.qualifying_facts(frames.facts), RULES)
+
+    @cached_property
+    def replies(self) -> DataFrame:
+        """Replies under the content key of their parcel, as they come back from a model run."""
+        r, k = self.frames.replies, self.keys
+        return r.join(k, r["ain"] == k["main_ain"]).select(
+            "key", "form", "ain", "content", "input_tokens", "output_tokens"
+        )
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """Cache of an earlier run: the parcels whose replies have form 0 or 1."""
+        return self.replies.filter(F.col("form").isin(0, 1)).select("key", "ain")
+
+    @cached_property
+    def misses(self) -> DataFrame:
+        return extraction.cache_misses(self.keys, self.stored)
+
+
 @lru_cache(maxsize=8)
 def _frames_of(spark: SparkSession, sf_dir: str) -> _Frames:
     return _Frames(spark, sf_dir)
@@ -146,13 +150,12 @@ def _keyed(column: str) -> Query:
     return lambda spark, sf: _frames_of(spark, sf).rollup.select("main_ain", column)
 
 
-def _extraction_metrics(f: _Frames) -> DataFrame:
-    overlaid = cut_lineage(quality.with_warnings(f.overlaid, "tract", RULES))
-    new = extraction.new_extractions(
-        f.misses, f.keyed_replies.drop("ain", "form"), "2026-01-01T00:00:00Z", RULES
-    )
+def _extraction_metrics(k: _Keyed) -> DataFrame:
+    overlaid = cut_lineage(quality.with_warnings(k.frames.overlaid, "tract", RULES))
+    replies = k.replies.drop("ain", "form")
+    new = extraction.new_extractions(k.misses, replies, "2026-01-01T00:00:00Z", RULES)
     # orphan keys are hashed too but belong to no parcel row
-    new = extraction.prune_cache(new, f.parcels)
+    new = extraction.prune_cache(new, k.frames.parcels)
     info = extraction.run_info(overlaid, new, RULES)
     return extraction.extraction_metrics(info, quality.warnings(overlaid))
 
@@ -373,9 +376,8 @@ def _frames(build: Callable[[_Frames], DataFrame]) -> Query:
     return lambda spark, sf: build(_frames_of(spark, sf))
 
 
-def _fresh(build: Callable[[_Frames], DataFrame]) -> Query:
-    """For queries that write intermediate rows on the way: every call computes them anew."""
-    return lambda spark, sf: build(_Frames(spark, sf))
+def _on_keys(build: Callable[[_Keyed], DataFrame]) -> Query:
+    return lambda spark, sf: build(_Keyed(_frames_of(spark, sf)))
 
 
 def registered() -> dict[str, Query]:
@@ -437,19 +439,21 @@ def registered() -> dict[str, Query]:
             lambda f: quality.partition_totals(f.region_rows, f.subregion_rows).drop("region_idx")
         ),
         "quality_checks": _frames(_quality),
-        "content_keys": _fresh(lambda f: f.keys),
-        "extraction_inputs": _fresh(lambda f: extraction.extraction_inputs(f.records, f.keys)),
+        "content_keys": _on_keys(lambda k: k.keys),
+        "extraction_inputs": _on_keys(
+            lambda k: extraction.extraction_inputs(k.frames.records, k.keys)
+        ),
         "user_prompts": _frames(lambda f: prompts.user_prompts(f.parcels, f.records, RULES)),
-        "cache_misses": _fresh(lambda f: f.misses.select("main_ain", "key")),
-        "cache_prune": _fresh(
-            lambda f: extraction.prune_cache(f.keys.withColumnRenamed("main_ain", "ain"), f.parcels)
+        "cache_misses": _on_keys(lambda k: k.misses.select("main_ain", "key")),
+        "cache_prune": _on_keys(
+            lambda k: extraction.prune_cache(k.keys.withColumnRenamed("main_ain", "ain"), k.frames.parcels)
         ),
         "cache_entries": _cache_entries,
         "reply_status": _frames(lambda f: f.parsed_replies.select("ain", "ok", "reasoning")),
         "reply_structures": _frames(_reply_structures),
         "extraction_issues": _frames(_issues),
         "extraction_override": _frames(_override),
-        "extraction_metrics": _fresh(_extraction_metrics),
+        "extraction_metrics": _on_keys(_extraction_metrics),
         "bucket_shares": _frames(lambda f: reports.bucket_shares(f.summary)),
         "claim_shares": _frames(lambda f: reports.claim_shares(f.summary)),
         "envelope": _frames(lambda f: perimeter.envelope(f.perimeter)),
