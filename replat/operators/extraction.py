@@ -6,7 +6,7 @@ a table of (key, content, token counts), into extractions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
@@ -379,6 +379,20 @@ def run_info(overlaid: DataFrame, new_entries: DataFrame, rules: Rules = DEFAULT
     )
 
 
+def no_run_info(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The counters' row of a run without the model step."""
+    zeros = (
+        "parcels_attempted", "parcels_extracted", "parcels_failed", "plan_only_parcels", "cache_hits",
+        "cache_misses",
+    )
+    return spark.range(1).select(
+        F.lit(False).alias("enabled"),
+        F.lit("").alias("model"),
+        F.lit(rules.prompt_version).cast("bigint").alias("prompt_version"),
+        *[F.lit(0).cast("bigint").alias(n) for n in zeros],
+    )
+
+
 def extraction_metrics(info: DataFrame, warnings: DataFrame) -> DataFrame:
     """Run counters plus distinct parcels per warning code and the agreement rate."""
 

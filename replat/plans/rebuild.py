@@ -131,8 +131,9 @@ def run_all(
     )
     total = cells.agg(F.sum("total_parcels")).first()[0] or 0
     run.write(tables.report_head(checks, total, run.generated_at), "report")
-    if info is not None:
-        run.write(extraction.extraction_metrics(info, warning_rows), "extraction_metrics")
+    if info is None:
+        info = extraction.no_run_info(spark, rules)
+    run.write(extraction.extraction_metrics(info, warning_rows), "extraction_metrics")
 
     quality.enforce(checks)
     publish(run, staged, cells, regions, subregions)

@@ -49,7 +49,7 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str, page_rows: int = 1_000_000) -> DataFrame:
-    """Feature pages, one JSON file each; file names in order give the page order.
+    """Feature pages, one JSON file each; the number in the file name gives the page order.
 
     Pages are parsed in parallel, one task per file. ``seq`` is (page number, position in page).
     """
@@ -57,12 +57,13 @@ def read_pages(spark: SparkSession, path: str, page_rows: int = 1_000_000) -> Da
         spark.read.option("multiLine", True)
         .schema(_PAGE)
         .json(path)
-        .select(F.col("_metadata.file_name").alias("page"), "features")
+        .select(page_number(F.col("_metadata.file_name")).alias("page_no"), "features")
     )
-    return flatten_pages(raw.withColumn("page_no", _number_in(F.col("page"))), page_rows)
+    return flatten_pages(raw, page_rows)
 
 
-def _number_in(name: Column) -> Column:
+def page_number(name: Column) -> Column:
+    """Last number in a file name; null without one."""
     return F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replat.sources.snapshots import flatten_pages, has_geometry
+from replat.sources.snapshots import flatten_pages, has_geometry, page_number
 
 _PAGE = "features array<struct<attributes:variant,geometry:variant>>"
 _REPLY = "key string, content string, input_tokens bigint, output_tokens bigint"
@@ -17,14 +17,13 @@ _REPLY = "key string, content string, input_tokens bigint, output_tokens bigint"
 def land_new_pages(spark: SparkSession, pages: str, bronze: str, checkpoint: str) -> None:
     """Append the features of page files that are new since the last call; others are not read again.
 
-    ``bronze`` receives (seq, attributes, geometry, landed_from). Features without geometry are dropped.
+    ``bronze`` receives (seq, attributes, geometry). Features without geometry are dropped.
     """
     raw = (
         spark.readStream.option("multiLine", True)
         .schema(_PAGE)
         .json(pages)
-        .select(F.col("_metadata.file_name").alias("landed_from"), "features")
-        .withColumn("page_no", F.regexp_extract("landed_from", r"(\d+)\D*$", 1).try_cast("bigint"))
+        .select(page_number(F.col("_metadata.file_name")).alias("page_no"), "features")
     )
     rows = flatten_pages(raw).filter(has_geometry(F.col("geometry")))
     _drain(rows, bronze, checkpoint)

@@ -218,6 +218,8 @@ def test_whole_run_from_files_to_files(spark, tmp_path):
     }
     head = spark.read.parquet(run.path("report")).first()
     assert (head["passed"], head["total_parcels"]) == (True, 4)
+    metrics = spark.read.parquet(run.path("extraction_metrics")).first()
+    assert (metrics["enabled"], metrics["model"], metrics["agreement_rate"], metrics["cache_hits"]) == (False, "", 1.0, 0)
     assert tables.latest(spark, str(tmp_path / "out" / "parcels")).count() == 4
 
 
