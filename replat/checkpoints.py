@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import DataFrame
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder, so that later reads see the same rows.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session may fall back to a
-    temporary folder; on a cluster the setting is required.
+    Where it is unset (tests, small local sessions) a folder below the warehouse takes its place; that
+    one is shared wherever tables are.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder, so that later reads see the same rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
