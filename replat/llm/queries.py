@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replat.llm import piece_bpe, quality_classifier, quality_rules, token_counts, url_rules
+from replat.llm import line_runs, packing, piece_bpe, quality_classifier, quality_rules, token_counts, url_rules
 from replat.llm.common import table
 
 #: How many tokens a document may have before it counts as over the limit.
@@ -34,6 +34,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.selectExpr("*", f"n_tokens > {TOKEN_LIMIT} as over_limit")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_runs.line_dedup(table(spark, sf_dir, "documents"))
+    return made.select("row.doc_id", "n_lines", "n_removed", "n_runs", "kept_sha256")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged_urls(table(spark, sf_dir, "pages"))
 
@@ -48,7 +57,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_quality_rules, op2_token_counts, op8_url_filters, op9_quality_classifier, op10_byte_bpe)
+    own = (
+        op1_quality_rules, op2_token_counts, op5_best_fit_packing, op7_line_dedup,
+        op8_url_filters, op9_quality_classifier, op10_byte_bpe,
+    )
     return {f.__name__: f for f in own}
 
 
