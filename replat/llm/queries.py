@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from replat.llm import line_runs, packing, piece_bpe, quality_classifier, quality_rules, token_counts, url_rules
+from replat.llm import (
+    jaccard_join,
+    line_runs,
+    packing,
+    piece_bpe,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    url_rules,
+)
 from replat.llm.common import table
 
 #: How many tokens a document may have before it counts as over the limit.
@@ -34,10 +44,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.selectExpr("*", f"n_tokens > {TOKEN_LIMIT} as over_limit")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), whole_characters=False)
+    return made.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = line_runs.line_dedup(table(spark, sf_dir, "documents"))
     return made.select("row.doc_id", "n_lines", "n_removed", "n_runs", "kept_sha256")
@@ -58,8 +77,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        op1_quality_rules, op2_token_counts, op5_best_fit_packing, op7_line_dedup,
-        op8_url_filters, op9_quality_classifier, op10_byte_bpe,
+        op1_quality_rules, op2_token_counts, op3_ngram_jaccard, op5_best_fit_packing, op6_suffix_dedup,
+        op7_line_dedup, op8_url_filters, op9_quality_classifier, op10_byte_bpe,
     )
     return {f.__name__: f for f in own}
 
