@@ -150,7 +150,8 @@ def trained(rows: list[tuple[bytes, int]], fit: Fit) -> Model:
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, score`` of every row; whole texts are compressed, a null text counts as empty."""
+    """Each row as column ``row`` with its ``score``; whole texts are compressed, a null text is empty."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model) if model.constant is None else None
@@ -160,9 +161,16 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             for i in range(0, batch.num_rows, 500):
                 texts = [(t or "").encode() for t in batch.column("text").slice(i, 500).to_pylist()]
                 score += logistic(sizes.features(texts), weights).tolist() if sizes else [model.constant] * len(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score, pa.float64())], ["row", "score"])
 
-    return keyed_text(docs, key, text).mapInArrow(run, "doc_id long, score double")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+
+
+def fitted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit: Fit | None = None) -> DataFrame:
+    """``row`` (all columns of the input), ``score``, ``predicted``, by a model learned from the labelled rows."""
+    fit = fit or Fit()
+    model = trained(sample(keyed_text(docs), labels, fit), fit)
+    return scored(docs, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit: Fit | None = None) -> DataFrame:
@@ -172,12 +180,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, f
     language, source or key enter a score. Without eight usable texts of each class every score is the
     smoothed share of good labels. A null key is never held out. Repeated rows give repeated rows.
     """
-    fit = fit or Fit()
-    narrow = keyed_text(docs)
-    model = trained(sample(narrow, labels, fit), fit)
-    return scored(narrow, model).select(
-        "doc_id",
-        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-        "score",
-        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    return fitted(keyed_text(docs), labels, threshold, fit).select(
+        "row.doc_id", F.coalesce(held_out(F.col("row.doc_id")), F.lit(False)).alias("held_out"), "score", "predicted"
     )

@@ -16,6 +16,7 @@ from replat.llm import (
     suffix_dedup,
     token_counts,
     url_rules,
+    vector_links,
 )
 from replat.llm.common import table
 
@@ -48,6 +49,10 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -75,10 +80,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.coded_digests(documents, tokenizer("byte_bpe_50k.tiktoken"), pattern())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        op1_quality_rules, op2_token_counts, op3_ngram_jaccard, op5_best_fit_packing, op6_suffix_dedup,
-        op7_line_dedup, op8_url_filters, op9_quality_classifier, op10_byte_bpe,
+        op1_quality_rules, op2_token_counts, op3_ngram_jaccard, op4_embedding_links, op5_best_fit_packing, op6_suffix_dedup,
+        op7_line_dedup, op8_url_filters, op9_quality_classifier, op10_byte_bpe, pipeline,
     )
     return {f.__name__: f for f in own}
 
