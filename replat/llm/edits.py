@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,25 @@ def identity(key: Column, text: Column) -> list[Column]:
     return [F.coalesce(key.cast("long"), F.lit(FIRST_KEY)).alias("doc"), F.xxhash64(whole).alias("version")]
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` as compressed bytes: for shuffles of whole texts, which are most of what moves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = [None if t is None else compress(t.encode()) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, "text", pa.array(texts, pa.binary()))
+
+    fields = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in rows.schema]
+    return rows.mapInArrow(run, ", ".join(fields))
+
+
+def unpacked(column: pa.Array) -> list[str | None]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [None if t is None else expand(t).decode() for t in column.to_pylist()]
+
+
 def edited(
     docs: DataFrame,
     marks: DataFrame,
@@ -40,19 +60,23 @@ def edited(
     ``marks`` has ``doc, version, marks array<long>``, at most one row for each document; a document
     without one is edited with no marks. ``schema`` names the columns that ``edit`` returns.
     """
-    rows = docs.select(*identity(F.col(key), F.col(text)), F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
-    joined = rows.join(marks, KEY, "left").select("row", "text", "marks")
+    columns = docs.columns
+    rest = F.struct(*[c for c in columns if c != text])
+    rows = packed(docs.select(*identity(F.col(key), F.col(text)), rest.alias("rest"), F.col(text).cast("string").alias("text")))
+    joined = rows.join(marks, KEY, "left").select("rest", "text", "marks")
+    kinds = {name: {"long": pa.int64(), "string": pa.string()}[kind] for name, kind in (x.split() for x in schema.split(", "))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column("text").to_pylist(), batch.column("marks").to_pylist()
+            texts, found = unpacked(batch.column("text")), batch.column("marks").to_pylist()
             made = [edit(t or "", m or []) for t, m in zip(texts, found, strict=True)]
-            columns = [pa.array([m[name] for m in made], kinds[name]) for name in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], ["row", *kinds])
+            others = batch.column("rest")
+            fields = [pa.array(texts, pa.string()) if c == text else others.field(c) for c in columns]
+            row = pa.StructArray.from_arrays(fields, columns)
+            yield pa.RecordBatch.from_arrays([row, *(pa.array([m[n] for m in made], kinds[n]) for n in kinds)], ["row", *kinds])
 
-    kinds = {name: {"long": pa.int64(), "string": pa.string()}[kind] for name, kind in (x.split() for x in schema.split(", "))}
-    row_type = rows.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(run, f"row {row_type}, {schema}")
+    row_type = docs.select(F.struct(*[F.col(c).cast("string").alias(c) if c == text else c for c in columns]).alias("row")).schema["row"].dataType
+    return joined.mapInArrow(run, f"row {row_type.simpleString()}, {schema}")
 
 
 def replaced(made: DataFrame, columns: list[str]) -> DataFrame:

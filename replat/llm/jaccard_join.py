@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from replat.llm.common import in_blocks, once, partitions, staged
 from replat.llm.components import components
-from replat.llm.edits import FIRST_KEY, KEY, keyed
-from replat.llm.shared_tokens import SENT, _in_other_content, mix, sent
+from replat.llm.edits import FIRST_KEY, KEY, keyed, packed, unpacked
+from replat.llm.shared_tokens import SENT, found_elsewhere, mix, sent
 
 WORDS = 5
 #: A pair links if PARTS * |intersection| >= SHARE * |union|.
@@ -25,7 +25,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD1B54A32D192ED03)
 INFO = 5  # doc, version, two fingerprints of the set, its size
 FIRST_PASS = SENT + ", info binary"
-BY_DOC = "part int, docs binary, versions binary, hits binary, info binary"
+BY_SET = "part int, sets binary, hits binary, info binary"
 DOCUMENTS = "doc long, version long, set1 long, set2 long, n_shingles long, candidate boolean"
 SIGNED = "bucket int, docs binary, labels binary, sizes binary, signatures binary"
 
@@ -100,27 +100,26 @@ def _first_pass(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             owners.append(who + np.int32(a))
             tokens.append(found)
         every = np.concatenate(info)
-        rows += sent(docs, versions, every[:, 2].view(np.uint64) if len(every) else docs.view(np.uint64), np.concatenate(owners), np.concatenate(tokens), buckets)
+        rows += sent(np.ascontiguousarray(every[:, 2]), np.concatenate(owners), np.concatenate(tokens), buckets)
         if len(every):
             rows.append({"bucket": int(every[0, 0] % buckets), "info": every.tobytes()})
         yield _record(rows, names_of(FIRST_PASS))
 
 
-def _by_doc(parts: int):
-    """What a bucket found, dealt by document: how many of its shingles other sets have."""
+def _by_set(parts: int):
+    """What a bucket found, dealt by set: how many of its shingles other sets have."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         info = np.frombuffer(b"".join(rows["info"]), np.int64).reshape(-1, INFO)
-        held = rows[rows["tokens"].str.len() > 0]
-        hits = _in_other_content(held) if len(held) else pd.DataFrame({"doc": [], "version": [], "tokens": []})
-        docs, versions = hits["doc"].to_numpy(np.int64), hits["version"].to_numpy(np.int64)
-        counts = (hits["tokens"].str.len() // 4).to_numpy(np.int32) if len(hits) else np.empty(0, np.int32)
+        sets, hits, _, _ = found_elsewhere(rows)
+        sets, once = np.unique(sets, return_index=True)
+        hits = hits[once]
         out = []
-        of_hit, of_info = (mix(x.view(np.uint64)) % np.uint64(parts) for x in (docs, np.ascontiguousarray(info[:, 0])))
+        of_hit, of_info = (mix(x.view(np.uint64)) % np.uint64(parts) for x in (sets, np.ascontiguousarray(info[:, 2])))
         for p in np.union1d(of_hit, of_info):
             a, b = of_hit == p, of_info == p
-            out.append((int(p), docs[a].tobytes(), versions[a].tobytes(), counts[a].tobytes(), info[b].tobytes()))
-        return pd.DataFrame(out, columns=names_of(BY_DOC))
+            out.append((int(p), sets[a].tobytes(), hits[a].astype(np.int32).tobytes(), info[b].tobytes()))
+        return pd.DataFrame(out, columns=names_of(BY_SET))
 
     return run
 
@@ -128,13 +127,13 @@ def _by_doc(parts: int):
 def _documents(rows: pd.DataFrame) -> pd.DataFrame:
     """One row for each document; a candidate has enough of its shingles in other sets to link with one."""
     info = pd.DataFrame(np.frombuffer(b"".join(rows["info"]), np.int64).reshape(-1, INFO), columns=["doc", "version", "set1", "set2", "n_shingles"])
-    hits = pd.DataFrame({
-        "doc": np.frombuffer(b"".join(rows["docs"]), np.int64), "version": np.frombuffer(b"".join(rows["versions"]), np.int64),
-        "hits": np.frombuffer(b"".join(rows["hits"]), np.int32).astype(np.int64),
-    })
-    found = info.merge(hits.groupby(["doc", "version"], as_index=False)["hits"].sum(), on=["doc", "version"], how="left")
-    found["candidate"] = (PARTS * found.pop("hits").fillna(0) >= SHARE * found["n_shingles"]) & (found["n_shingles"] > 0)
-    return found
+    sets, hits = np.frombuffer(b"".join(rows["sets"]), np.int64), np.frombuffer(b"".join(rows["hits"]), np.int32)
+    every, which = np.unique(sets, return_inverse=True)
+    total = np.bincount(which, weights=hits, minlength=len(every)) if len(every) else np.zeros(0)
+    at = np.minimum(np.searchsorted(every, info["set1"]), max(0, len(every) - 1))
+    of_set = np.where(every[at] == info["set1"], total[at], 0) if len(every) else np.zeros(len(info))
+    info["candidate"] = (PARTS * of_set >= SHARE * info["n_shingles"]) & (info["n_shingles"] > 0)
+    return info
 
 
 def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,13 +148,13 @@ def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
         return _first_pass(buckets, batches)
 
     rows = keyed(docs, key, text).mapInArrow(first_pass, FIRST_PASS)
-    dealt = rows.groupBy("bucket").applyInPandas(_by_doc(buckets), BY_DOC)
+    dealt = rows.groupBy("bucket").applyInPandas(_by_set(buckets), BY_SET)
     return staged(dealt.groupBy("part").applyInPandas(_documents, DOCUMENTS))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").to_pylist()
+        texts = [t or "" for t in unpacked(batch.column("text"))]
         out = []
         for a, b in in_blocks(texts, 4_000_000):
             who, tokens = shingles(texts[a:b])
@@ -311,7 +310,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     every = documents(docs, key, text)
     nodes = every.filter("candidate").groupBy("set1", "set2").agg(F.min("doc").alias("doc")).select("doc").distinct()
     versions = every.filter("candidate").join(nodes, "doc", "left_semi").select(*KEY).distinct()
-    sets = staged(keyed(docs, key, text).join(versions, KEY).select("doc", "text").mapInArrow(_sets, "doc long, tokens binary").distinct())
+    sets = staged(packed(keyed(docs, key, text)).join(versions, KEY).select("doc", "text").mapInArrow(_sets, "doc long, tokens binary").distinct())
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _signed(buckets, batches)

@@ -109,14 +109,15 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> list[tuple[bytes, in
     usable = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= fit.longest) & ~held_out(F.col("doc_id")))
     hashed = usable.select("doc_id", F.xxhash64("text").alias("hash"))
     distinct = hashed.join(known, "doc_id").groupBy("hash").agg(F.min(F.struct("doc_id", "quality")).alias("row"))
-    order = distinct.select(F.xxhash64("hash").alias("at"), "row.doc_id", "row.quality")
-    chosen: dict[int, tuple[int, int]] = {}
+    order = distinct.select(F.xxhash64("hash").alias("at"), "hash", "row.doc_id", "row.quality")
+    chosen: dict[tuple[int, int], tuple[int, int]] = {}
     for part, n in ((order.filter("quality = 1"), fit.per_class), (order.filter("quality = 0"), fit.per_class), (order, fit.calibration + 2 * fit.per_class)):
         for r in part.orderBy("at", "doc_id").limit(n).collect():
-            chosen.setdefault(r["doc_id"], (r["at"], r["quality"]))
+            chosen.setdefault((r["doc_id"], r["hash"]), (r["at"], r["quality"]))
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in chosen], "doc_id long")  # bounded by the fit
-    texts = {r["doc_id"]: r["text"] for r in usable.join(F.broadcast(ids), "doc_id").select("doc_id", "text").collect()}
+    ids = spark.createDataFrame(list(chosen), "doc_id long, hash long")  # bounded by the fit
+    found = usable.withColumn("hash", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "hash"])
+    texts = {(r["doc_id"], r["hash"]): r["text"] for r in found.collect()}
     rows = sorted((at, i, q) for i, (at, q) in chosen.items() if i in texts)
     return [(texts[i].encode(), q) for _, i, q in rows]
 

@@ -13,8 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-SENT = "bucket int, docs binary, versions binary, contents binary, sizes binary, tokens binary"
-FOUND = "doc long, version long, tokens binary"
+SENT = "bucket int, contents binary, sizes binary, tokens binary"
+FOUND = "content long, tokens binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,55 +29,56 @@ def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
     return ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
 
 
-def sent(
-    docs: np.ndarray, versions: np.ndarray, contents: np.ndarray, owner: np.ndarray, tokens: np.ndarray, buckets: int
-) -> Iterator[dict[str, object]]:
+def sent(contents: np.ndarray, owner: np.ndarray, tokens: np.ndarray, buckets: int) -> Iterator[dict[str, object]]:
     """Rows for the shuffle: one for each bucket, with the tokens of all given documents in it.
 
-    ``owner`` has the index of each token's document. Every document sends each of its tokens once.
+    ``contents`` has a 64-bit name of each document's content, ``owner`` the index of each token's document. A
+    document's tokens are distinct and stand together.
     """
     bucket = bucket_of(tokens, buckets)
-    short = (tokens & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    order = np.lexsort((short, owner, bucket))
-    bucket, short, owner = bucket[order], short[order], owner[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1]) | (short[1:] != short[:-1])
-    bucket, short, owner = bucket[fresh], short[fresh], owner[fresh]
+    order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+    short = (tokens[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    bucket, owner = bucket[order], owner[order]
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
     for a, b in zip(starts, [*starts[1:], len(bucket)], strict=False):
         own = owner[a:b]
         firsts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        who, sizes = own[firsts], np.diff(np.append(firsts, len(own))).astype(np.uint32)
-        yield {
-            "bucket": int(bucket[a]), "docs": docs[who].tobytes(), "versions": versions[who].tobytes(),
-            "contents": contents[who].tobytes(), "sizes": sizes.tobytes(), "tokens": short[a:b].tobytes(),
-        }
+        sizes = np.diff(np.append(firsts, len(own))).astype(np.uint32)
+        yield {"bucket": int(bucket[a]), "contents": contents[own[firsts]].tobytes(), "sizes": sizes.tobytes(), "tokens": short[a:b].tobytes()}
 
 
 def _joined(parts: pd.Series, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(parts), dtype=kind)
 
 
-def _in_other_content(rows: pd.DataFrame) -> pd.DataFrame:
-    docs, versions = _joined(rows["docs"], np.int64), _joined(rows["versions"], np.int64)
-    contents, sizes = _joined(rows["contents"], np.uint64), _joined(rows["sizes"], np.uint32).astype(np.int64)
+def found_elsewhere(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contents of a bucket that hold tokens of others, how many, and these tokens in the contents' order."""
+    contents, sizes = _joined(rows["contents"], np.int64), _joined(rows["sizes"], np.uint32).astype(np.int64)
     tokens = _joined(rows["tokens"], np.uint32)
-    owner = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
-    order = np.argsort(tokens, kind="stable")
+    if not len(tokens):
+        return contents, sizes, sizes, tokens
+    owner = np.repeat(np.arange(len(contents), dtype=np.int32), sizes)
+    order = np.argsort(tokens)
     ordered, content = tokens[order], contents[owner[order]]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     several = np.minimum.reduceat(content, starts) != np.maximum.reduceat(content, starts)
     flag = np.empty(len(tokens), bool)
     flag[order] = np.repeat(several, np.diff(np.append(starts, len(tokens))))
     hits = np.add.reduceat(flag, np.cumsum(sizes) - sizes, dtype=np.int64)
-    kept, who = tokens[flag], np.flatnonzero(hits)
-    ends = np.cumsum(hits[who])
-    parts = [kept[e - n : e].tobytes() for e, n in zip(ends.tolist(), hits[who].tolist(), strict=True)]
-    return pd.DataFrame({"doc": docs[who], "version": versions[who], "tokens": parts})
+    who = np.flatnonzero(hits)
+    return contents[who], hits[who], np.cumsum(hits[who]), tokens[flag]
+
+
+def _in_other_content(rows: pd.DataFrame) -> pd.DataFrame:
+    contents, hits, ends, tokens = found_elsewhere(rows)
+    parts = [tokens[e - n : e].tobytes() for e, n in zip(ends.tolist(), hits.tolist(), strict=True)]
+    # copies of one content have the same tokens
+    _, once = np.unique(contents, return_index=True)
+    return pd.DataFrame({"content": contents[once], "tokens": pd.Series([parts[i] for i in once], dtype=object)})
 
 
 def in_other_content(rows: DataFrame) -> DataFrame:
-    """``doc, version, tokens``: for each document and bucket, its tokens that other contents hold.
+    """``content, tokens``: for each content and bucket, its tokens that other contents hold.
 
     ``rows`` are those of ``sent``. Documents with one content (exact copies) don't count for each other.
     A bucket holds a share of all tokens that the caller keeps small by their number.

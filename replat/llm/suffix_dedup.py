@@ -10,11 +10,12 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from replat.llm.common import partitions, staged
-from replat.llm.edits import KEY, edited, keyed
+from replat.llm.edits import KEY, edited, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, bucket_of, in_other_content, mix, sent
 
 #: Bytes of the strings that mark a place within a longer repeat.
@@ -23,7 +24,9 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Its inverse modulo 2 ** 64.
 UNBASE = np.uint64(pow(int(BASE), -1, 2**64))
 BYTES_AT_ONCE = 2_000_000
-SNIPPETS = "bucket int, docs binary, counts binary, versions binary, firsts binary, sizes binary, marks binary, shifts binary, content binary, sure binary"
+#: Columns of a bucket of surroundings with their kinds; each travels as one compressed array.
+ARRAYS = {"docs": "<i8", "counts": "<u4", "versions": "<i8", "firsts": "<i8", "sizes": "<u2", "shifts": "<u2", "content": "<u1", "sure": "<i8"}
+SNIPPETS = "bucket int, " + ", ".join(f"{name} binary" for name in ARRAYS)
 RANGES = "doc long, version long, ranges array<long>"
 
 
@@ -105,6 +108,16 @@ def anchored(texts: list[bytes], length: int) -> Anchored:
     return Anchored(who, first - base, last - base, place[first] - base, value[first])
 
 
+def mark_of(content: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hashes of the pieces at these places, as ``anchored`` has them; read in slices to bound memory."""
+    out = np.empty(len(places), np.uint64)
+    for i in range(0, len(places), 20_000):
+        some = places[i : i + 20_000]
+        low, high = int(some.min()), int(some.max()) + GRAM
+        out[i : i + 20_000] = mix(Prefixes(content[low:high]).pieces(some - low, GRAM))
+    return out
+
+
 def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``BYTES_AT_ONCE`` together."""
     start = size = 0
@@ -118,15 +131,18 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 def _fingerprints(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sends each document's anchor hashes to their buckets."""
     for batch in batches:
-        docs, versions = (np.array(batch.column(c).to_pylist(), np.int64) for c in KEY)
+        versions = np.array(batch.column("version").to_pylist(), np.int64)
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         owner, tokens = [np.empty(0, np.int32)], [np.empty(0, np.uint64)]
         for a, b in blocks(texts):
             found = anchored(texts[a:b], length)
-            owner.append(found.owner + a)
-            tokens.append(found.mark)
-        rows = sent(docs, versions, versions.view(np.uint64), np.concatenate(owner), np.concatenate(tokens), buckets)
-        yield table_of(list(rows), SENT)
+            order = np.lexsort((found.mark, found.owner))
+            who, mark = found.owner[order], found.mark[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (who[1:] != who[:-1]) | (mark[1:] != mark[:-1])
+            owner.append(who[fresh] + a)
+            tokens.append(mark[fresh])
+        yield table_of(list(sent(versions, np.concatenate(owner), np.concatenate(tokens), buckets)), SENT)
 
 
 def table_of(rows: list[dict[str, object]], schema: str) -> pa.RecordBatch:
@@ -145,9 +161,9 @@ def _snippets(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> I
         docs, versions = (np.array(batch.column(c).to_pylist(), np.int64) for c in KEY)
         order = np.argsort(docs, kind="stable")
         docs, versions = docs[order], versions[order]
-        columns = [batch.column(c).to_pylist() for c in ("text", "tokens")]
-        texts = [columns[0][i].encode() for i in order.tolist()]
-        wanted = [columns[1][i] for i in order.tolist()]
+        columns = unpacked(batch.column("text")), batch.column("tokens").to_pylist()
+        texts, wanted = ([column[i] for i in order.tolist()] for column in columns)
+        texts = [t.encode() for t in texts]
         snippets: dict[tuple[int, int, bytes], int] = {}
         owners: list[int] = []
         places: list[tuple[int, int, int]] = []
@@ -179,19 +195,28 @@ def _snippets(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> I
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 held = np.concatenate([np.arange(begin[p], begin[p] + counts[p]) for p in part])
-                rows.append({
-                    "bucket": int(bucket[part[0]]), "docs": np.array(owners, np.int64)[part].tobytes(),
-                    "counts": counts[part].tobytes(), "versions": by_snippet[held, 1].tobytes(), "firsts": by_snippet[held, 2].tobytes(),
-                    "sizes": np.array([len(keys[p][2]) for p in part], np.int64).tobytes(), "marks": marks[part].tobytes(),
-                    "shifts": np.array([keys[p][1] for p in part], np.int64).tobytes(), "content": b"".join([keys[p][2] for p in part]),
-                    "sure": b"",
-                })
+                rows.append(squeezed({
+                    "docs": np.array(owners, np.int64)[part], "counts": counts[part], "versions": by_snippet[held, 1],
+                    "firsts": by_snippet[held, 2], "sizes": [len(keys[p][2]) for p in part], "shifts": [keys[p][1] for p in part],
+                    "content": np.frombuffer(b"".join([keys[p][2] for p in part]), np.uint8),
+                }, int(bucket[part[0]])))
         for i in range(0, len(sure), 100_000):
             some = np.array(sure[i : i + 100_000], np.int64)
-            rows.append(dict.fromkeys(("docs", "counts", "versions", "firsts", "sizes", "marks", "shifts", "content"), b"") | {"bucket": int(some[0, 0] % buckets), "sure": some.tobytes()})
+            rows.append(squeezed({"sure": some.ravel()}, int(some[0, 0] % buckets)))
         yield table_of(rows, SNIPPETS)
 
 
+def squeezed(arrays: dict[str, Any], bucket: int) -> dict[str, object]:
+    compress = zstandard.ZstdCompressor(level=1).compress
+    return {"bucket": bucket} | {n: compress(np.asarray(arrays.get(n, ()), kind).tobytes()) for n, kind in ARRAYS.items()}
+
+
+def expanded(rows: pd.DataFrame, name: str) -> np.ndarray:
+    expand = zstandard.ZstdDecompressor().decompress
+    found = np.frombuffer(b"".join(map(expand, rows[name])), ARRAYS[name])
+    return found if name == "content" else found.astype(np.int64)
+
+
 def merge_sorted(order: np.ndarray, group: np.ndarray, less: Any) -> np.ndarray:
     """Stable mergesort of ``order`` within runs of equal ``group``, all merges of a level at once.
 
@@ -266,13 +291,11 @@ def suffix_classes(content: np.ndarray, at: np.ndarray, group: np.ndarray, lengt
 
 def _copies(length: int) -> Any:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = [np.frombuffer(b"".join(rows["sure"]), np.int64).reshape(-1, 4)]
-        docs, counts, versions, firsts, sizes, shifts = (
-            np.frombuffer(b"".join(rows[c]), np.int64) for c in ("docs", "counts", "versions", "firsts", "sizes", "shifts")
-        )
-        marks = np.frombuffer(b"".join(rows["marks"]), np.uint64)
-        content = np.frombuffer(b"".join(rows["content"]), np.uint8)
+        found = [expanded(rows, "sure").reshape(-1, 4)]
+        docs, counts, versions, firsts, sizes, shifts = (expanded(rows, c) for c in ("docs", "counts", "versions", "firsts", "sizes", "shifts"))
+        content = expanded(rows, "content")
         begin, places = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+        marks = mark_of(content, begin + shifts)
         # a slice of whole anchors at a time
         order = np.argsort(marks, kind="stable")
         starts = np.flatnonzero(np.append(True, np.diff(marks[order]) != 0)) if len(order) else np.empty(0, np.int64)
@@ -311,7 +334,7 @@ def _copies(length: int) -> Any:
         every = every[np.lexsort((every[:, 2], every[:, 1], every[:, 0]))]
         starts = np.flatnonzero(np.append(True, (np.diff(every[:, :2], axis=0) != 0).any(axis=1))) if len(every) else np.empty(0, np.int64)
         ranges = [x.ravel() for x in np.split(every[:, 2:], starts[1:])] if len(starts) else []
-        return pd.DataFrame({"doc": every[starts, 0], "version": every[starts, 1], "ranges": ranges})
+        return pd.DataFrame({"doc": every[starts, 0], "version": every[starts, 1], "ranges": pd.Series(ranges, dtype=object)})
 
     return run
 
@@ -323,24 +346,25 @@ def repeated_strings(docs: DataFrame, length: int = 50, key: str = "doc_id", tex
     2. What stands around the others is brought together by anchor, and its strings are sorted.
     3. A document whose whole text a smaller key has is one run; it takes no part in the steps before.
     """
-    spark = docs.sparkSession
-    buckets = 2 * partitions(spark)
+    buckets = max(1, partitions(docs.sparkSession) // 2)
     rows = keyed(docs, key, text).filter(F.octet_length("text") >= length)
     content = rows.select(*KEY, F.md5(F.col("text").cast("binary")).alias("content"), F.octet_length("text").cast("long").alias("size"))
-    firsts = content.groupBy("content").agg(F.min("doc").alias("first"))
-    copies = staged(content.join(firsts, "content").filter("doc > first").select(*KEY, "size").distinct())
+    firsts = staged(content.groupBy("version", "content").agg(F.min("doc").alias("first")))
+    copies = staged(content.join(firsts, ["version", "content"]).filter("doc > first").select(*KEY, "size").distinct())
 
     def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _fingerprints(buckets, length, batches)
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _snippets(buckets, length, batches)
-
-    shared = staged(in_other_content(rows.mapInArrow(fingerprints, SENT)))
-    wanted = shared.join(copies.select(*KEY), KEY, "left_anti")
-    wanted = wanted.groupBy(*KEY).agg(F.array_join(F.collect_list(F.hex("tokens")), "").alias("tokens"))
-    wanted = wanted.select(*KEY, F.unhex("tokens").alias("tokens"))
-    runs = rows.join(wanted, KEY).mapInArrow(snippets, SNIPPETS).groupBy("bucket").applyInPandas(_copies(length), RANGES)
+        return _snippets(2 * buckets, length, batches)
+
+    shared = staged(in_other_content(rows.select("version", "text").mapInArrow(fingerprints, SENT)))
+    # the tokens of one content, for the first document that has it
+    wanted = shared.groupBy("content").agg(F.array_join(F.collect_list(F.hex("tokens")), "").alias("tokens"))
+    wanted = wanted.select(F.col("content").alias("version"), F.unhex("tokens").alias("tokens"))
+    wanted = wanted.join(firsts.select("version", F.col("first").alias("doc")), "version")
+    around = packed(rows).join(wanted, KEY).select(*KEY, "text", "tokens")
+    runs = around.mapInArrow(snippets, SNIPPETS).groupBy("bucket").applyInPandas(_copies(length), RANGES)
     whole = copies.select(*KEY, F.array(F.lit(0).cast("long"), F.col("size") - length).alias("ranges"))
     return runs.union(whole).groupBy(*KEY).agg(F.flatten(F.collect_list("ranges")).alias("marks"))
 
