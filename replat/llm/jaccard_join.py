@@ -26,8 +26,8 @@ SALT = np.uint64(0xD1B54A32D192ED03)
 INFO = 5  # doc, version, two fingerprints of the set, its size
 FIRST_PASS = SENT + ", info binary"
 BY_SET = "part int, sets binary, hits binary, info binary"
-DOCUMENTS = "doc long, version long, set1 long, set2 long, n_shingles long, candidate boolean"
-SIGNED = "bucket int, docs binary, labels binary, sizes binary, signatures binary"
+DOCUMENTS = "doc long, version long, set1 long, set2 long, n_shingles long, reach long, candidate boolean"
+SIGNED = "bucket int, docs binary, labels binary, sizes binary, reaches binary, signatures binary"
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,19 +125,24 @@ def _by_set(parts: int):
 
 
 def _documents(rows: pd.DataFrame) -> pd.DataFrame:
-    """One row for each document; a candidate has enough of its shingles in other sets to link with one."""
+    """One row for each document; a candidate has enough of its shingles in other sets to link with one.
+
+    Its ``reach`` is the size of the largest set it can link with: a pair has at most the shared shingles s of
+    either in common, and s / (size + other - s) must reach the threshold.
+    """
     info = pd.DataFrame(np.frombuffer(b"".join(rows["info"]), np.int64).reshape(-1, INFO), columns=["doc", "version", "set1", "set2", "n_shingles"])
     sets, hits = np.frombuffer(b"".join(rows["sets"]), np.int64), np.frombuffer(b"".join(rows["hits"]), np.int32)
     every, which = np.unique(sets, return_inverse=True)
     total = np.bincount(which, weights=hits, minlength=len(every)) if len(every) else np.zeros(0)
     at = np.minimum(np.searchsorted(every, info["set1"]), max(0, len(every) - 1))
     of_set = np.where(every[at] == info["set1"], total[at], 0) if len(every) else np.zeros(len(info))
+    info["reach"] = (PARTS + SHARE) * of_set.astype(np.int64) // SHARE - info["n_shingles"]
     info["candidate"] = (PARTS * of_set >= SHARE * info["n_shingles"]) & (info["n_shingles"] > 0)
     return info
 
 
 def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, version, set1, set2, n_shingles, candidate`` of every row.
+    """``doc, version, set1, set2, n_shingles, reach, candidate`` of every row.
 
     A linked pair shares three quarters of either set, so a document with fewer of its shingles in sets
     other than its own can't have a link to one. This leaves near copies, whose sets are made again.
@@ -160,7 +165,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             who, tokens = shingles(texts[a:b])
             ends = np.searchsorted(who, np.arange(b - a + 1))
             out += [tokens[ends[i] : ends[i + 1]].tobytes() for i in range(b - a)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, pa.binary())], ["doc", "tokens"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("reach"), pa.array(out, pa.binary())], ["doc", "reach", "tokens"])
 
 
 @lru_cache(maxsize=None)
@@ -225,7 +230,7 @@ def signatures(tokens: np.ndarray) -> np.ndarray:
 
 def _signed(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs, labels = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc", "label"))
+        docs, labels, reaches = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc", "label", "reach"))
         sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
         rows = []
         if sets:
@@ -236,36 +241,52 @@ def _signed(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 who = owner[part]
-                rows.append({"bucket": int(bucket[part[0]]), "docs": docs[who].tobytes(), "labels": labels[who].tobytes(), "sizes": sizes[who].tobytes(), "signatures": every[part].tobytes()})
+                rows.append({"bucket": int(bucket[part[0]]), "docs": docs[who].tobytes(), "labels": labels[who].tobytes(), "sizes": sizes[who].tobytes(), "reaches": reaches[who].tobytes(), "signatures": every[part].tobytes()})
         yield _record(rows, names_of(SIGNED))
 
 
+def fits(size: np.ndarray, reach: np.ndarray, other: np.ndarray, its_reach: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can link, given the largest partner either can have."""
+    alike = SHARE * np.maximum(size, other) <= PARTS * np.minimum(size, other)
+    return alike & (other <= reach) & (size <= its_reach)
+
+
 def _pairs(across: bool):
     """Pairs with a signature in common. First each document with the smallest one that has the
     signature; once components are known, all pairs ``across`` two of them."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs, labels, sizes = (np.frombuffer(b"".join(rows[c]), np.int64) for c in ("docs", "labels", "sizes"))
+        held = [np.frombuffer(b"".join(rows[c]), np.int64) for c in ("docs", "labels", "sizes", "reaches")]
         marks = np.frombuffer(b"".join(rows["signatures"]), np.uint64)
-        order = np.lexsort((docs, labels, marks))
-        docs, labels, sizes, marks = docs[order], labels[order], sizes[order], marks[order]
-        starts = np.flatnonzero(np.append(True, marks[1:] != marks[:-1]))
-        counts = np.diff(np.append(starts, len(marks)))
-        found: set[tuple[int, int]] = set()
-        if not across:
-            least = np.minimum.reduceat(docs, starts)
-            pivot = np.repeat(least, counts)
-            other = docs != pivot
-            pairs = np.unique(np.stack([pivot[other], docs[other]], axis=1), axis=0)
+        order = np.lexsort((held[0], held[1], marks))
+        docs, labels, sizes, reaches, marks = *(x[order] for x in held), marks[order]
+
+        def groups() -> tuple[np.ndarray, np.ndarray]:
+            starts = np.flatnonzero(np.append(True, marks[1:] != marks[:-1])) if len(marks) else np.empty(0, np.int64)
+            return starts, np.diff(np.append(starts, len(marks)))
+
+        starts, counts = groups()
+        if across and len(marks):
+            # out with those that reach no size in their group: most copies too far from the others
+            least = np.repeat(np.minimum.reduceat(sizes, starts), counts)
+            near = reaches >= least
+            docs, labels, sizes, reaches, marks = (x[near] for x in (docs, labels, sizes, reaches, marks))
+            starts, counts = groups()
+        if not len(marks):
+            pairs = np.empty((0, 2), np.int64)
+        elif not across:
+            first = np.repeat(starts, counts)  # the smallest key, as rows of a signature stand in order of keys
+            other = (docs != docs[first]) & fits(sizes, reaches, sizes[first], reaches[first])
+            pairs = np.unique(np.stack([docs[first][other], docs[other]], axis=1), axis=0)
         else:
             several = np.flatnonzero((counts > 1) & (labels[starts] != labels[starts + counts - 1]))
             parts = [np.empty((0, 2), np.int64)]
             for s, n in zip(starts[several].tolist(), counts[several].tolist(), strict=True):
-                d, lab, z = docs[s : s + n], labels[s : s + n], sizes[s : s + n]
+                d, lab, z, r = (x[s : s + n] for x in (docs, labels, sizes, reaches))
                 ends = np.searchsorted(lab, lab, side="right")  # partners are those with a later label
                 for i in range(n):
                     j = np.arange(ends[i], n)
-                    j = j[(SHARE * np.maximum(z[j], z[i]) <= PARTS * np.minimum(z[j], z[i]))]
+                    j = j[fits(z[j], r[j], z[i], r[i])]
                     if len(j):
                         low, high = np.minimum(d[j], d[i]), np.maximum(d[j], d[i])
                         parts.append(np.stack([low, high], axis=1))
@@ -309,14 +330,15 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     buckets = 2 * partitions(spark)
     every = documents(docs, key, text)
     nodes = every.filter("candidate").groupBy("set1", "set2").agg(F.min("doc").alias("doc")).select("doc").distinct()
-    versions = every.filter("candidate").join(nodes, "doc", "left_semi").select(*KEY).distinct()
-    sets = staged(packed(keyed(docs, key, text)).join(versions, KEY).select("doc", "text").mapInArrow(_sets, "doc long, tokens binary").distinct())
+    versions = every.filter("candidate").join(nodes, "doc", "left_semi").select(*KEY, "reach").distinct()
+    texts = packed(keyed(docs, key, text)).join(versions, KEY).select("doc", "reach", "text")
+    sets = staged(texts.mapInArrow(_sets, "doc long, reach long, tokens binary").distinct())
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _signed(buckets, batches)
 
     def pairs(labelled: DataFrame, across: bool) -> DataFrame:
-        rows = labelled.select("doc", "label", "tokens").mapInArrow(signed, SIGNED)
+        rows = labelled.select("doc", "label", "reach", "tokens").mapInArrow(signed, SIGNED)
         return staged(rows.groupBy("bucket").applyInPandas(_pairs(across), "a long, b long").distinct())
 
     tried = pairs(sets.withColumn("label", F.col("doc")), across=False)
