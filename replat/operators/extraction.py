@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
-from replat.checkpoints import cut_lineage
 from replat.config import DEFAULT_RULES, Rules
 from replat.functions import scalars
 from replat.functions.scalars import json_string
@@ -45,76 +44,39 @@ def _pair(a: Column, b: Column) -> Column:
     return F.concat(F.lit("["), json_string(a), F.lit(", "), json_string(b), F.lit("]"))
 
 
-def _sorted_items(*fields: str) -> Column:
-    return F.sort_array(F.collect_list(F.struct(*fields)))
-
-
-def _whole_lists(distinct: DataFrame) -> DataFrame:
-    """(main_ain, parts): every record of a parcel as JSON, copies repeated."""
-    rows = distinct.groupBy("main_ain").agg(_sorted_items("case", "digest", "copies").alias("items"))
-    repeated = F.transform(
-        "items", lambda r: F.array_repeat(_pair(r["case"], r["digest"]), r["copies"].cast("int"))
-    )
-    return rows.select("main_ain", F.flatten(repeated).alias("parts"))
-
-
-def _block_lists(distinct: DataFrame) -> DataFrame:
-    """The same for very large parcels, with one digest per block of records in place of the records."""
-    block = F.pmod(F.xxhash64("case", "digest"), F.col("blocks"))
-    rows = (
-        distinct.withColumn("block", F.lpad(block.cast("string"), 19, "0"))
-        .groupBy("main_ain", "block")
-        .agg(_sorted_items("case", "digest", "copies").alias("items"))
-    )
-    counted = F.transform(
-        "items", lambda r: F.concat(_pair(r["case"], r["digest"]), F.lit("x"), r["copies"])
-    )
-    return (
-        rows.select("main_ain", "block", F.sha2(F.array_join(counted, ", "), 256).alias("digest"))
-        .groupBy("main_ain")
-        .agg(_sorted_items("block", "digest").alias("items"))
-        .select("main_ain", F.transform("items", lambda r: _pair(r["block"], r["digest"])).alias("parts"))
-    )
+#: Hex digits of a record's digest that go into each sum: 60 bits, so that a DECIMAL holds any number of them.
+_LANE = 15
+_LANES = 4
 
 
 def content_keys(records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """(main_ain, key): a hash over the parcel key, model, prompt version and the sorted records.
+    """(main_ain, key): a hash over the parcel key, model, prompt version and the records as a multiset.
 
-    Takes qualifying records or qualifying facts.
-    Copies of a record are counted, not repeated, before the shuffle. A parcel with more than
-    ``rules.records_per_row`` different records is hashed in two levels (blocks of records, then the
-    block digests), so no row ever holds an unbounded list. The key is order-free either way.
+    Takes qualifying records or qualifying facts. Each record's number and text digest are hashed; the
+    hashes are added up, four sums of 60 bits each, and the sums are hashed with the rest. So the key is the
+    same for any order of the records, copies count, and a parcel of any size is summed map-side.
     """
-    limit = rules.records_per_row
     if "digest" in records.columns:
         digest = F.col("digest")
     else:
         digest = F.sha2(F.coalesce(F.col("description"), F.lit("")), 256)
-    # written once: the size check and the lists read the same narrow rows, not the texts again
-    distinct = cut_lineage(
-        records.select("main_ain", F.coalesce(F.col("casenumber"), F.lit("")).alias("case"), digest.alias("digest"))
-        .groupBy("main_ain", "case", "digest")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    large = (
-        distinct.groupBy("main_ain")
-        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("records"))
-        .filter(F.col("copies") > limit)
-        .select("main_ain", F.ceil(F.col("records") / limit).cast("bigint").alias("blocks"))
+    record = F.sha2(_pair(F.coalesce(F.col("casenumber"), F.lit("")), digest), 256)
+    lanes = [
+        F.conv(F.substring("record", 1 + _LANE * i, _LANE), 16, 10).cast("decimal(20,0)") for i in range(_LANES)
+    ]
+    sums = (
+        records.select("main_ain", record.alias("record"))
+        .groupBy("main_ain")
+        .agg(F.count(F.lit(1)).alias("records"), *[F.sum(c).alias(f"sum{i}") for i, c in enumerate(lanes)])
     )
-    parts = _whole_lists(distinct)
-    if not large.isEmpty():
-        small = distinct.join(large, "main_ain", "left_anti")
-        parts = _whole_lists(small).unionByName(_block_lists(distinct.join(large, "main_ain")))
+    listed = F.concat_ws(", ", *[F.col(f"sum{i}").cast("string") for i in range(_LANES)])
     body = F.concat(
         F.lit('{"ain": '), json_string(F.col("main_ain")),
         F.lit(', "model": '), json_string(F.lit(rules.model)),
-        F.lit(f', "prompt_version": {rules.prompt_version}, "records": ['),
-        F.array_join("parts", ", "), F.lit("]}"),
+        F.lit(f', "prompt_version": {rules.prompt_version}, "records": '), F.col("records").cast("string"),
+        F.lit(', "sums": ['), listed, F.lit("]}"),
     )
-    return parts.select(
-        "main_ain", F.concat(F.lit("sha256:"), F.sha2(body, 256)).alias("key")
-    )
+    return sums.select("main_ain", F.concat(F.lit("sha256:"), F.sha2(body, 256)).alias("key"))
 
 
 def extraction_inputs(records: DataFrame, keys: DataFrame) -> DataFrame:
@@ -213,7 +175,10 @@ def cache_misses(keys: DataFrame, cache: DataFrame) -> DataFrame:
 def new_extractions(
     misses: DataFrame, replies: DataFrame, extracted_at: str, rules: Rules = DEFAULT_RULES
 ) -> DataFrame:
-    """Usable replies for the missing keys, in the cache's shape. ``replies`` is keyed by ``key``."""
+    """Usable replies for the missing keys, in the cache's shape. ``replies`` is keyed by ``key``.
+
+    A column ``arrived`` orders the replies to one key.
+    """
     parsed = parse_replies(replies.join(misses, "key")).filter("ok")
     entry = F.struct(
         F.col("main_ain").alias("ain"),
@@ -225,8 +190,14 @@ def new_extractions(
         F.col("input_tokens").cast("bigint").alias("input_tokens"),
         F.col("output_tokens").cast("bigint").alias("output_tokens"),
     )
-    # a key answered more than once gives one entry
-    return parsed.groupBy("key").agg(F.min_by(entry, "content").alias("entry")).select("key", "entry.*")
+    # of several usable answers to a key the first to arrive counts; without an order, the smallest text
+    order = F.struct(*[F.col(c) for c in ("arrived",) if c in parsed.columns], "content")
+    return parsed.groupBy("key").agg(F.min_by(entry, order).alias("entry")).select("key", "entry.*")
+
+
+def next_cache(cache: DataFrame, added: DataFrame, parcels: DataFrame) -> DataFrame:
+    """The cache of the next run: entries whose parcel still exists, and the new ones."""
+    return prune_cache(cache.select(*EXTRACTION_COLUMNS), parcels).unionByName(added.select(*EXTRACTION_COLUMNS))
 
 
 def prune_cache(cache: DataFrame, parcels: DataFrame) -> DataFrame:
@@ -235,6 +206,12 @@ def prune_cache(cache: DataFrame, parcels: DataFrame) -> DataFrame:
     return cache.join(known, "ain", "left_semi")
 
 
+def pruned_entries(cache: DataFrame, parcels: DataFrame) -> DataFrame:
+    """One row: how many entries belong to parcels that are gone."""
+    known = parcels.select(F.col("ain_1").alias("ain")).distinct()
+    return cache.join(known, "ain", "left_anti").agg(F.count(F.lit(1)).alias("pruned"))
+
+
 # ---------------------------------------------------------------- comparison and override
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +14,6 @@ from replat.operators.cases import POST_FIELDS
 from replat.operators.parcels import pre_state
 from replat.operators.ranking import position_in_group
 
-_RANK_ORDER = ["sort_date", "seq"]
-
-
 def _or(value: Column, fallback: str) -> Column:
     return F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit(fallback))
 
@@ -68,55 +63,15 @@ def _numbered(index: Column, block: Column) -> Column:
     return F.concat(F.lit("["), index.cast("string"), F.lit("] "), block)
 
 
-def _joined_blocks(sizes: DataFrame, blocks: DataFrame, rules: Rules) -> list[DataFrame]:
-    """(main_ain, part, records, body) frames: whole parcels, and parts of the very large ones."""
-    limit = rules.records_per_row
-    large = sizes.filter(F.col("records") > limit)
-    has_large = not large.isEmpty()
-    small = blocks
-    if has_large:
-        small = blocks.join(large.select("main_ain"), "main_ain", "left_anti")
-    whole = (
-        small.groupBy("main_ain")
-        .agg(F.sort_array(F.collect_list(F.struct(*_RANK_ORDER, "block"))).alias("items"))
-        .select(
-            "main_ain",
-            F.lit(0).cast("bigint").alias("part"),
-            F.size("items").cast("bigint").alias("records"),
-            F.array_join(
-                F.transform("items", lambda r, i: _numbered(i + 1, r["block"])), "\n"
-            ).alias("body"),
-        )
-    )
-    if not has_large:
-        return [whole]
-    ranked = position_in_group(
-        blocks.join(large, "main_ain"), "main_ain", _RANK_ORDER
-    ).withColumn("part", F.floor((F.col("position") - 1) / limit))
-    parts = (
-        ranked.groupBy("main_ain", "part", "records")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "block"))).alias("items"))
-        .select(
-            "main_ain",
-            "part",
-            "records",
-            F.array_join(
-                F.transform("items", lambda r: _numbered(r["position"], r["block"])), "\n"
-            ).alias("body"),
-        )
-    )
-    return [whole, parts]
-
-
 def user_prompts(parcels: DataFrame, records: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """(parcel_seq, ain, part, user_prompt) for every parcel row with a qualifying record.
 
-    A parcel has one part, number 0. One with more than ``rules.records_per_row`` records is given in
-    several; its parts in order, joined by line breaks, are the prompt.
+    Part 0 is the context with the number of records, part i the i-th record; the parts in order, joined by
+    line breaks, are the prompt. So a row holds one record however many a parcel has.
     """
-    blocks = record_blocks(records)
-    sizes = blocks.groupBy("main_ain").agg(F.count(F.lit(1)).alias("records"))
-    bodies = reduce(DataFrame.unionByName, _joined_blocks(sizes, blocks, rules))
+    ranked = position_in_group(record_blocks(records), "main_ain", "sort_date", "seq", "part")
+    bodies = ranked.select("main_ain", F.col("part").cast("bigint").alias("part"), _numbered(F.col("part"), F.col("block")).alias("body"))
+    sizes = records.groupBy("main_ain").agg(F.count(F.lit(1)).alias("records"))
 
     pre = {f: F.col(f"pre.{f}").try_cast("bigint") for f in POST_FIELDS}
     summary = scalars.pre_state_text(
@@ -134,7 +89,6 @@ def user_prompts(parcels: DataFrame, records: DataFrame, rules: Rules = DEFAULT_
         scalars.damage_level(F.col("damage_1")).alias("damage"),
         summary.alias("summary"),
     )
-    joined = context.join(bodies, context["ain"] == bodies["main_ain"])
     header = F.concat_ws(
         "\n",
         F.lit("PARCEL CONTEXT"),
@@ -145,11 +99,10 @@ def user_prompts(parcels: DataFrame, records: DataFrame, rules: Rules = DEFAULT_
         F.lit(""),
         F.concat(F.lit("RECORDS ("), F.col("records"), F.lit(" qualifying, sorted by APPLY_DATE):")),
         F.lit(""),
-        F.col("body"),
     )
-    return joined.select(
-        "parcel_seq",
-        "ain",
-        "part",
-        F.when(F.col("part") == 0, header).otherwise(F.col("body")).alias("user_prompt"),
+    same = F.col("ain") == F.col("main_ain")
+    first = context.join(sizes, same).select(
+        "parcel_seq", "ain", F.lit(0).cast("bigint").alias("part"), header.alias("user_prompt")
     )
+    others = context.select("parcel_seq", "ain").join(bodies, same)
+    return first.union(others.select("parcel_seq", "ain", "part", F.col("body").alias("user_prompt")))

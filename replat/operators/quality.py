@@ -277,8 +277,12 @@ class QualityGateError(RuntimeError):
         super().__init__("quality gate(s) failed: " + ", ".join(failed))
 
 
+def failed_checks(checks: DataFrame) -> DataFrame:
+    return checks.filter(~F.col("passed")).select("name")
+
+
 def enforce(checks: DataFrame) -> None:
     """Raise when a gate failed. The check table has a handful of rows."""
-    failed = [r["name"] for r in checks.filter(~F.col("passed")).select("name").collect()]
+    failed = [r["name"] for r in failed_checks(checks).collect()]
     if failed:
         raise QualityGateError(failed)

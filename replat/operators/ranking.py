@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from replat.checkpoints import cut_lineage
+DAY_MS = 86_400_000
+BLOCK = 4096
 
 
-def position_in_group(df: DataFrame, key: str, order: list[str], name: str = "position") -> DataFrame:
-    """Adds the 1-based position of each row among the rows with its key, in ``order``.
+def position_in_group(df: DataFrame, key: str, date: str, seq: str, name: str = "position") -> DataFrame:
+    """Adds the 1-based position of each row among the rows with its key, by ``date`` and then ``seq``.
 
-    A window function would sort a whole group in one task. Here the rows are range-partitioned by
-    (key, order), so a large group spreads over many partitions; a row's position is its offset inside
-    its partition plus the rows the group has in earlier partitions. The sorted rows are written once
-    to the checkpoint folder: both reads must see the same partition borders.
+    A window over a group would sort all of it in one task. Here rows are counted by nested buckets of the
+    order (day, exact date, block of ``seq``); running sums over these counts give each bucket's offset, level by
+    level, and only the rows of one block, at most ``BLOCK`` as ``seq`` is unique, are sorted together.
     """
-    columns = df.columns
-    spread = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
-    placed = cut_lineage(spread.withColumn("_id", F.monotonically_increasing_id()))
-    part = F.shiftright("_id", 33)
-    per_part = placed.groupBy(key, part.alias("_part")).agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        key, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
-    )
-    ranked = placed.withColumn("_part", part).join(offsets, [key, "_part"])
-    return ranked.select(*columns, (F.col("_id") + F.col("_shift") + 1).alias(name))
+    levels: dict[str, Column] = {
+        "_day": F.floor(F.col(date) / DAY_MS),
+        "_date": F.col(date),
+        "_block": F.floor(F.col(seq) / BLOCK),
+    }
+    rows = df.withColumns(levels)
+    within = [key]
+    counts = rows.groupBy(key, *levels).agg(F.count(F.lit(1)).alias("_rows"))
+    offset = F.lit(0)
+    placed = counts
+    for level in levels:
+        own = counts.groupBy(*within, level).agg(F.sum("_rows").alias("_n"))
+        earlier = Window.partitionBy(*within).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+        before = own.select(*within, level, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(f"_before{level}"))
+        within = [*within, level]
+        placed = placed.join(before, within)
+        offset = offset + F.col(f"_before{level}")
+    inside = F.row_number().over(Window.partitionBy(*within).orderBy(seq))
+    ranked = rows.withColumn("_inside", inside).join(placed.select(*within, offset.alias("_offset")), within)
+    return ranked.select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(name))

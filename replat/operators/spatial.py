@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from replat.functions import geometry as geo
 
-# A cell is 16 ** level wide: a few levels cover every region size that occurs together.
-_CELL_BASE = 16.0
-_SMALLEST_LEVEL = -6
+# A cell is 4 ** level wide and a region lies in cells of its own size, at most two in each direction, so a
+# point meets the regions around it and not a whole city's.
+_CELL_BASE = 4.0
+_SMALLEST_LEVEL = -12
 
 
 def centroids(parcels: DataFrame) -> DataFrame:
@@ -73,8 +74,8 @@ def assign_regions(parcels: DataFrame, layers: dict[str, tuple[DataFrame, str]])
     for name, (regions, key) in layers.items():
         part = region_shapes(regions, key).withColumn("layer", F.lit(name))
         shapes = part if shapes is None else shapes.unionByName(part)
-    # A handful of integers, whatever the number of regions.
-    levels = sorted(r["level"] for r in shapes.select("level").distinct().collect())
+    # A handful of integers, whatever the number of regions; found when the query runs.
+    levels = shapes.agg(F.collect_set("level").alias("levels")).scalar()
 
     lvl = F.col("level")
     spread = (
@@ -87,7 +88,7 @@ def assign_regions(parcels: DataFrame, layers: dict[str, tuple[DataFrame, str]])
     )
     points = (
         centroids(parcels)
-        .withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
+        .withColumn("level", F.explode(levels))
         .withColumn("cell_x", _cell(F.col("px"), lvl))
         .withColumn("cell_y", _cell(F.col("py"), lvl))
     )

@@ -115,19 +115,8 @@ from (select c_custkey, cast(700 + c_custkey % 2500 as string) as a, cast(300 +
       from {customer}) t
 """
 
-def _read(spark: SparkSession, sf_dir: str, table: str, key: str | None = None) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return table if key is None else spread_small(table, key)
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give a source that fills fewer read tasks than there are cores to all of them.
-
-    Parsing is the costly part, and a file of one row group is one task however many cores wait. A
-    source that already splits into enough tasks (any large one) is returned as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -142,7 +131,7 @@ def _geometry(points: list[Column]) -> Column:
 
 def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcel rows with a square of side 0.008 around (cx, cy) as geometry."""
-    df = spark.sql(PARCELS, customer=_read(spark, sf_dir, "customer", "c_custkey"))
+    df = spark.sql(PARCELS, customer=_read(spark, sf_dir, "customer"))
     cx, cy = F.col("cx"), F.col("cy")
     return df.withColumn(
         "geometry", rectangle(cx - 0.004, cy - 0.004, cx + 0.004, cy + 0.004)
@@ -151,7 +140,7 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = CASES.replace("{days}", SPARK_DAYS)
-    return spark.sql(sql, orders=_read(spark, sf_dir, "orders", "o_orderkey"))
+    return spark.sql(sql, orders=_read(spark, sf_dir, "orders"))
 
 
 def _boxed(df: DataFrame) -> DataFrame:
@@ -167,6 +156,12 @@ def subregions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boxed(spark.sql(SUBREGIONS, nation=_read(spark, sf_dir, "nation")))
 
 
+def stretched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions at twice their place and size: some lie beyond the box of all parcels."""
+    r = spark.sql(REGIONS, nation=_read(spark, sf_dir, "nation"))
+    return _boxed(r.withColumns({c: 2 * F.col(c) for c in ("x0", "y0", "x1", "y1")}))
+
+
 def wedges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-left half of every region's rectangle: its box is larger than the polygon itself."""
     r = regions(spark, sf_dir)
@@ -177,4 +172,4 @@ def wedges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(REPLIES, customer=_read(spark, sf_dir, "customer", "c_custkey"))
+    return spark.sql(REPLIES, customer=_read(spark, sf_dir, "customer"))

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
-from functools import cached_property, lru_cache
+from functools import cached_property, lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
-from replat.checkpoints import cut_lineage
 from replat.config import DEFAULT_RULES
 from replat.functions import scalars, text
+from replat.functions.geometry import to_geojson
 from replat.operators import cases, counts, extraction, parcels, prompts, quality, reports, spatial
 from replat.plans import adapters
 from replat.plans.oracles import MODEL
@@ -20,6 +20,7 @@ from replat.sinks import tables
 from replat.sources import cache, perimeter, snapshots, validation
 
 Query = Callable[[SparkSession, str], DataFrame]
+STAMP = "2026-01-01T00:00:00+00:00"
 RULES = dataclasses.replace(DEFAULT_RULES, model=MODEL)
 
 
@@ -107,17 +108,14 @@ class _Frames:
     def overlaid(self) -> DataFrame:
         return extraction.apply_extractions(self.assigned, self.parsed_replies.filter("ok"), RULES)
 
-    @cached_property
-    def perimeter(self) -> DataFrame:
-        return self.parcels.filter(F.col("cx") + F.col("cy") < 5)
-
     @cached_property
     def near_regions(self) -> DataFrame:
-        return perimeter.regions_in_envelope(self.regions, self.perimeter)
+        """Of regions stretched to twice their place and size, those that the box of all parcels meets."""
+        return perimeter.regions_in_envelope(adapters.stretched(self.spark, self.sf_dir), self.parcels)
 
 
 class _Keyed:
-    """Steps on content keys. The keys write intermediate rows, so each query makes its own."""
+    """Steps on content keys."""
 
     def __init__(self, frames: _Frames) -> None:
         self.frames = frames
@@ -140,6 +138,19 @@ class _Keyed:
     def misses(self) -> DataFrame:
         return extraction.cache_misses(self.keys, self.stored)
 
+    @cached_property
+    def next_cache(self) -> DataFrame:
+        """The stored entries, typed as a cache, and those the other replies add."""
+        none = F.array().cast(f"array<{extraction.STRUCTURE_TYPE}>")
+        entries = self.stored.select(
+            "key", "ain", F.lit("old").alias("extracted_at"), F.lit(MODEL).alias("model"),
+            F.lit(2).cast("bigint").alias("prompt_version"), none.alias("structures"), F.lit("").alias("reasoning"),
+            F.lit(0).cast("bigint").alias("input_tokens"), F.lit(0).cast("bigint").alias("output_tokens"),
+        )
+        new = extraction.new_extractions(self.misses, self.replies.drop("ain", "form"), "new", RULES)
+        added = extraction.prune_cache(new, self.frames.parcels)
+        return extraction.next_cache(entries, added, self.frames.parcels)
+
 
 @lru_cache(maxsize=8)
 def _frames_of(spark: SparkSession, sf_dir: str) -> _Frames:
@@ -151,7 +162,7 @@ def _keyed(column: str) -> Query:
 
 
 def _extraction_metrics(k: _Keyed) -> DataFrame:
-    overlaid = cut_lineage(quality.with_warnings(k.frames.overlaid, "tract", RULES))
+    overlaid = quality.with_warnings(k.frames.overlaid, "tract", RULES)
     replies = k.replies.drop("ain", "form")
     new = extraction.new_extractions(k.misses, replies, "2026-01-01T00:00:00Z", RULES)
     # orphan keys are hashed too but belong to no parcel row
@@ -160,38 +171,58 @@ def _extraction_metrics(k: _Keyed) -> DataFrame:
     return extraction.extraction_metrics(info, quality.warnings(overlaid))
 
 
-def _feature_fields(features: DataFrame, paths: dict[str, str]) -> list[Column]:
-    return [F.get_json_object("value", p).alias(n) for n, p in paths.items()]
+def _feature_fields(value: Column, names: tuple[str, ...], corners: int) -> list[Column]:
+    """Every property of a feature text, and every ordinate of its one ring."""
+    fields = [F.get_json_object(value, f"$.properties.{n}").alias(n) for n in names]
+    ring = "$.geometry.coordinates[0]"
+    ordinates = [
+        F.get_json_object(value, f"{ring}[{i}][{j}]").cast("double").alias(f"{axis}{i}")
+        for i in range(corners)
+        for j, axis in enumerate("xy")
+    ]
+    kinds = [F.get_json_object(value, "$.type").alias("kind"), F.get_json_object(value, "$.geometry.type").alias("shape")]
+    return [*kinds, *fields, *ordinates]
 
 
 def _parcel_features(f: _Frames) -> DataFrame:
     out = tables.parcel_features(f.analysis)
-    prop = "$.properties."
-    named = {n: prop + n for n in ("damage", "post_sfr_sqft", "lfl_conflict", "address")}
-    west = F.get_json_object("value", "$.geometry.coordinates[0][0][0]").cast("double").alias("west")
-    return out.select(
-        "ain",
-        *_feature_fields(out, {"kind": "$.type", "shape": "$.geometry.type", **named}),
-        west,
-    )
+    return out.select(*_feature_fields(F.col("value"), config.RESULT_FIELDS, 5))
 
 
 def _region_features(f: _Frames) -> DataFrame:
     out = tables.region_features(f.region_rows, ["CT20", "LABEL"])
-    corner = "$.geometry.coordinates[0][0]"
-    paths = {
-        "kind": "$.type",
-        "shape": "$.geometry.type",
-        "label": "$.properties.label",
-        "total_parcels": "$.properties.total_parcels",
-        "sb9_count": "$.properties.sb9_count",
-    }
-    return out.select(
-        "ct20",
-        *_feature_fields(out, paths),
-        F.get_json_object("value", f"{corner}[0]").cast("double").alias("west"),
-        F.get_json_object("value", f"{corner}[1]").cast("double").alias("south"),
+    return out.select(*_feature_fields(F.col("value"), ("ct20", "label", *counts.COUNT_FIELDS), 5))
+
+
+def _shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as geometries of every kind the conversion knows."""
+    k = F.col("c_custkey")
+    x = k.cast("double")
+
+    def square(side: int, at: int) -> str:
+        a, b = f"(c_custkey + {at})", f"(c_custkey + {at + side})"
+        points = ((a, at), (b, at), (b, at + side), (a, at + side), (a, at))
+        return "array(" + ", ".join(f"array(cast({p} as double), cast({q} as double))" for p, q in points) + ")"
+
+    rings = (
+        F.when(k % 6 == 0, F.expr(f"array({square(4, 0)}, {square(1, 1)})"))  # nested
+        .when(k % 6 == 1, F.expr(f"array({square(2, 5)}, {square(2, 0)})"))  # two of one area
+        .when(k % 6 == 2, F.expr(f"array({square(1, 9)}, {square(3, 0)})"))
     )
+    line = F.when(k % 6 == 4, F.array(F.array(F.array(x, x), F.array(x + 1, x))))
+    point = F.when(k % 6 == 3, x)
+    shape = F.struct(rings.alias("rings"), point.alias("x"), point.alias("y"), line.alias("paths"))
+    rows = spark.read.parquet(f"{sf}/customer.parquet")
+    return rows.select(k.alias("seq"), F.when(k % 6 != 5, shape).alias("geometry"))
+
+
+def _geometry_texts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _shapes(spark, sf)
+    value = F.coalesce(to_geojson(tables.full_geometry(rows)), F.lit("null"))
+    return rows.select(
+        "seq", F.get_json_object(value, "$.type").alias("kind"),
+        F.size(F.from_json(F.get_json_object(value, "$.coordinates"), "array<string>")).cast("bigint").alias("members"),
+    )
 
 
 def _customer_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,24 +239,45 @@ def _customer_pages(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(page.alias("page_no"))
         .agg(F.sort_array(F.collect_list(F.struct("c_custkey", feature.alias("feature")))).alias("rows"))
     )
-    body = F.to_json(
-        F.transform("rows", lambda r: r["feature"]), {"ignoreNullFields": "false"}
-    )
+    body = F.to_json(F.transform("rows", lambda r: r["feature"]), {"ignoreNullFields": "false"})
     schema = "array<struct<attributes:variant,geometry:variant>>"
-    return grouped.select("page_no", "rows", F.from_json(body, schema).alias("features"))
+    return grouped.select("page_no", F.lit("pages").alias("file"), F.from_json(body, schema).alias("features"))
 
 
 def _page_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    pages = _customer_pages(spark, sf)
-    first = F.get(F.col("rows"), F.lit(0))["c_custkey"]
-    # the first page starts at the lowest key, the others at their own multiple of 1,000
-    pages = pages.withColumn("start", first)
-    flat = snapshots.flatten_pages(pages.select("start", "features", F.col("start").alias("page_no")), 1)
-    kept, _ = snapshots.drop_without_geometry(flat)
+    kept, _ = snapshots.drop_without_geometry(snapshots.flatten_pages(_customer_pages(spark, sf)))
     rows = snapshots.typed(kept, {"NAME": "string", "SEGMENT": "string"})
     return rows.select("seq", "name", "segment", F.col("geometry.x").alias("x"))
 
 
+def _contract_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records that break the contracts of cases and regions here and there."""
+    k = F.col("c_custkey")
+    number = F.when(k % 5 == 0, F.lit('"x"')).when(k % 5 == 1, F.lit("null")).otherwise(F.lit("4.0"))
+    module = F.when(k % 7 == 0, F.lit("null")).otherwise(F.lit('"PermitManagement"'))
+    text = F.when(k % 11 == 0, F.lit("7")).otherwise(F.lit("null"))
+    ids = F.when(k % 13 == 0, F.lit('""')).otherwise(F.lit('"1"'))
+    body = F.concat(
+        F.lit('{"MAIN_AIN":"1","MODULENAME":'), module, F.lit(',"REBUILD_PROGRESS_NUM":'), number,
+        F.lit(',"DESCRIPTION":'), text, F.lit(',"CT20":'), ids, F.when(k % 3 != 0, F.lit(',"BG20":"2"}')).otherwise(F.lit("}")),
+    )
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(k.alias("seq"), F.parse_json(body).alias("attributes"))
+    contracts = {"cases": validation.CASE_CONTRACT, "tracts": validation.TRACT_CONTRACT, "block_groups": validation.BLOCK_GROUP_CONTRACT}
+    found = [
+        validation.record_problems(rows, c).select(F.lit(n).alias("source"), "seq", "field", "problem")
+        for n, c in contracts.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _source_filters(f: _Frames) -> DataFrame:
+    """Rows that the predicates on community and event label leave; customers' segments as communities."""
+    segments = f.spark.read.parquet(f"{f.sf_dir}/customer.parquet").select("c_custkey", F.col("c_mktsegment").alias("community"))
+    area = snapshots.only_event_area(segments, "BUILDING").select(F.lit("area").alias("source"), F.col("c_custkey").alias("id"))
+    cases_ = snapshots.only_event_cases(f.cases, RULES.event_label)
+    return area.union(cases_.select(F.lit("cases").alias("source"), F.col("seq").alias("id")))
+
+
 def _record_problems(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records derived from customers, some of which break the parcel contract."""
     k = F.col("c_custkey")
@@ -265,10 +317,17 @@ def _cache_entries(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/customer.parquet").select(
         k.alias("pos"), F.parse_json(body).alias("entry")
     )
-    first = F.get(F.col("structures"), F.lit(0))
-    return cache.cache_entries(rows, RULES).select(
-        "key", "ain", "prompt_version", "input_tokens", first["sqft"].alias("sqft"),
-        first["confidence"].alias("confidence"), F.size("structures").alias("structures"),
+    entries = cache.cache_entries(rows, RULES)
+    listed = F.transform(
+        "structures",
+        lambda s: F.concat_ws(
+            "|", s["struct_type"], F.coalesce(s["sqft"].cast("string"), F.lit("-")), s["confidence"],
+            F.size(s["evidence_case_numbers"]).cast("string"), F.coalesce(s["notes"], F.lit("-")),
+        ),
+    )
+    return entries.select(
+        "key", "ain", "extracted_at", "model", "prompt_version", "reasoning", "input_tokens", "output_tokens",
+        F.array_join(listed, ";").alias("structures"),
     )
 
 
@@ -288,11 +347,8 @@ def _document_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _document_segments(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf}/documents.parquet").select(
-        "doc_id", F.explode(text.segments(F.col("text"))).alias("seg")
-    )
-    return rows.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("segments"), F.sum(F.length("seg")).alias("chars")
+    return spark.read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", F.posexplode(text.segments(F.col("text"))).alias("position", "segment")
     )
 
 
@@ -331,7 +387,7 @@ def _reply_structures(f: _Frames) -> DataFrame:
     rows = f.parsed_replies.select("ain", F.posexplode("structures").alias("pos", "s"))
     return rows.select(
         "ain", "pos", "s.struct_type", "s.sqft", "s.confidence", "s.notes",
-        F.size("s.evidence_case_numbers").alias("evidence"),
+        F.array_join("s.evidence_case_numbers", ",").alias("evidence"),
     )
 
 
@@ -347,14 +403,7 @@ def _override(f: _Frames) -> DataFrame:
 
 
 def _quality(f: _Frames) -> DataFrame:
-    # six gates read the same parcel rows: computed once, as in a full run
-    warned = cut_lineage(f.warned)
-    cells = counts.count_cells(warned, ["tract", "block_group"])
-    regions = counts.region_counts(cells, f.regions, "ct20", "tract", ["CT20", "LABEL"])
-    subregions = counts.region_counts(
-        cells, f.subregions, "bg20", "block_group", ["BG20", "CT20", "LABEL"]
-    )
-    return quality.quality_checks(warned, "tract", cells, regions, subregions, RULES)
+    return quality.quality_checks(f.warned, "tract", f.cells, f.region_rows, f.subregion_rows, RULES)
 
 
 def _flagged(f: _Frames) -> DataFrame:
@@ -456,11 +505,29 @@ def registered() -> dict[str, Query]:
         "extraction_metrics": _on_keys(_extraction_metrics),
         "bucket_shares": _frames(lambda f: reports.bucket_shares(f.summary)),
         "claim_shares": _frames(lambda f: reports.claim_shares(f.summary)),
-        "envelope": _frames(lambda f: perimeter.envelope(f.perimeter)),
+        "envelope": _frames(lambda f: perimeter.envelope(f.parcels)),
         "regions_in_envelope": _frames(lambda f: f.near_regions.select("ct20", "label")),
         "subregions_of": _frames(
             lambda f: perimeter.children_of(f.subregions, f.near_regions).select("bg20", "ct20")
         ),
+        "geometry_kinds": _geometry_texts,
+        "largest_ring_centroids": lambda spark, sf: spatial.centroids(_shapes(spark, sf)).select(
+            F.col("parcel_seq").alias("seq"), "px", "py"
+        ),
+        "summary_json": _frames(lambda f: tables.with_generated_at(f.summary, STAMP)),
+        "report_head": _frames(
+            lambda f: tables.report_head(_quality(f), f.cells.agg(F.sum("total_parcels").alias("total_parcels")), STAMP)
+        ),
+        "failed_checks": _frames(lambda f: quality.failed_checks(_quality(f))),
+        "warnings_disabled": _frames(
+            lambda f: quality.report_order(quality.warnings(f.warned, "switched off"))
+        ),
+        "cache_next": _on_keys(lambda k: k.next_cache.select("key", "ain", "extracted_at", F.size("structures").alias("structures"), "reasoning")),
+        "cache_pruned": _on_keys(
+            lambda k: extraction.pruned_entries(k.keys.withColumnRenamed("main_ain", "ain"), k.frames.parcels)
+        ),
+        "contract_problems": _contract_problems,
+        "source_filters": _frames(_source_filters),
         "page_flatten": _page_flatten,
         "record_problems": _record_problems,
         "freshness": _freshness,

@@ -10,6 +10,7 @@ from replat.operators.counts import COUNT_FIELDS
 from replat.plans import adapters
 
 MODEL = "model-1"
+STAMP = "2026-01-01T00:00:00+00:00"
 
 _PARCELS = adapters.PARCELS.format(customer="customer")
 _CASES = adapters.CASES.format(
@@ -176,9 +177,9 @@ _CTES = {
     # what each reply form holds
     "form_structures": """
   select * from (values
-    (0, 0, 'sfr', 'a', 'high', null, 1), (1, 0, 'jadu', 'b', 'medium', 'inside', 0), (1, 1, 'adu', 'b', 'high', null, 0),
-    (5, 0, 'other', null, 'low', null, 0), (6, 0, 'mfr', 'a', 'medium', null, 0),
-    (7, 0, 'sfr', null, 'low', null, 0), (7, 1, 'adu', '640', 'low', null, 0)
+    (0, 0, 'sfr', 'a', 'high', null, 'C1'), (1, 0, 'jadu', 'b', 'medium', 'inside', ''), (1, 1, 'adu', 'b', 'high', null, ''),
+    (5, 0, 'other', null, 'low', null, ''), (6, 0, 'mfr', 'a', 'medium', null, ''),
+    (7, 0, 'sfr', null, 'low', null, ''), (7, 1, 'adu', '640', 'low', null, '')
   ) t(form, pos, struct_type, area, confidence, notes, evidence)""",
     "usable_replies": """
   select ain, form, a, b, case form when 0 then 'one house' when 1 then 'two units' when 4 then 'nothing filed'
@@ -241,10 +242,11 @@ _CTES = {
       where o.model_status = 'extracted' and o.any_low
   ) t""",
     "keys": f"""
-  select main_ain, 'sha256:' || sha256('{{"ain": "' || main_ain || '", "model": "{MODEL}", "prompt_version": 2, "records": ['
-      || string_agg('["' || cn || '", "' || dg || '"]', ', ' order by cn, dg) || ']}}') as key
-  from (select main_ain, coalesce(casenumber, '') as cn, sha256(coalesce(description, '')) as dg
-        from facts where is_event and is_qualifying) group by main_ain""",
+  select main_ain, 'sha256:' || sha256('{{"ain": "' || main_ain || '", "model": "{MODEL}", "prompt_version": 2, "records": '
+      || count(*) || ', "sums": [' || sum(l0) || ', ' || sum(l1) || ', ' || sum(l2) || ', ' || sum(l3) || ']}}') as key
+  from (select main_ain, {', '.join(f"cast('0x' || substr(h, {1 + 15 * i}, 15) as bigint) as l{i}" for i in range(4))}
+        from (select main_ain, sha256('["' || coalesce(casenumber, '') || '", "' || sha256(coalesce(description, '')) || '"]') as h
+              from facts where is_event and is_qualifying)) group by main_ain""",
 }
 
 _NEEDS = {
@@ -342,7 +344,7 @@ _TRACT_TOTALS = """tract_totals as (select r.ct20, r.idx, count(a.ain) as total
 
 _BLOCKS = """blocks as (select *, row_number() over (partition by main_ain order by coalesce(apply_date, 0), seq) as rn,
   count(*) over (partition by main_ain) as n from facts where is_event and is_qualifying),
- bodies as (select main_ain, any_value(n) as n, string_agg(
+ bodies as (select main_ain, n, rn,
    '[' || rn || '] CASENUMBER:     ' || coalesce(casenumber, '(unknown)') || chr(10)
    || '    MODULENAME:     ' || modulename || chr(10)
    || '    WORKCLASS:      ' || workclass_name || chr(10)
@@ -357,8 +359,8 @@ _BLOCKS = """blocks as (select *, row_number() over (partition by main_ain order
         '(unknown)') || chr(10)
    || '    DESCRIPTION:' || chr(10)
    || '      ' || replace(replace(coalesce(description, '(blank)'), chr(13) || chr(10), chr(10)),
-        chr(10), chr(10) || '      ') || chr(10), chr(10) order by rn) as body
-  from blocks group by main_ain)"""
+        chr(10), chr(10) || '      ') || chr(10) as body
+  from blocks)"""
 
 _PRE_TEXT = """coalesce(nullif(concat_ws(', ',
    case when p.pre_sfr_count > 0 then p.pre_sfr_count || ' SFR (' || coalesce(cast(nullif(p.pre_sfr_sqft, 0) as varchar), '?') || ' SF total)' end,
@@ -372,8 +374,18 @@ def _csv_fields() -> str:
     return ", ".join(f"coalesce(cast({n} as varchar), '') as {n}" for n in names)
 
 
-# Perimeter of the checks: the parcels in the lower-left corner of the map.
-_ENVELOPE = "(select min(cx - 0.004) as xmin, min(cy - 0.004) as ymin, max(cx + 0.004) as xmax, max(cy + 0.004) as ymax from parcels where cx + cy < 5)"
+_ENVELOPE = "(select min(cx - 0.004) as xmin, min(cy - 0.004) as ymin, max(cx + 0.004) as xmax, max(cy + 0.004) as ymax from parcels)"
+
+def _texts(names: str) -> str:
+    """Columns as the JSON text of a property."""
+    return ", ".join(f"cast({n.strip()} as varchar) as {n.strip()}" for n in names.split(","))
+
+
+def _square(x0: str, y0: str, x1: str, y1: str) -> str:
+    """The ordinates of a rectangle's closed ring."""
+    corners = ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    return ", ".join(f"cast({x} as double) as x{i}, cast({y} as double) as y{i}" for i, (x, y) in enumerate(corners))
+
 
 _WEDGE_CHOICES = """choices as (
   select p.seq as parcel_seq, r.ct20, r.idx,
@@ -443,12 +455,32 @@ from structures group by 1""",
         + """select parcel_seq, ct20 as wedge, outside as by_distance,
  case when outside then round(d, 6) else 0.0 end as distance from picked where rn = 1""",
         "parcel_features": _with("analysis")
-        + """select ain, 'Feature' as kind, damage, cast(post_sfr_sqft as varchar) as post_sfr_sqft,
- cast(lfl_conflict as varchar) as lfl_conflict, address, 'Polygon' as shape, cx - 0.004 as west from analysis""",
+        + f"""select 'Feature' as kind, 'Polygon' as shape, {_texts(_RESULT)}, {_square('cx - 0.004', 'cy - 0.004', 'cx + 0.004', 'cy + 0.004')} from analysis""",
         "region_features": _with("assigned").rstrip()
-        + f""", counted as ({_regional("tract", "regions", "r.ct20, r.label, r.x0, r.y0", "ct20")})
-select ct20, 'Feature' as kind, label, cast(total_parcels as varchar) as total_parcels,
- cast(sb9_count as varchar) as sb9_count, 'Polygon' as shape, x0 as west, y0 as south from counted""",
+        + f""", counted as ({_regional("tract", "regions", "r.ct20, r.label, r.x0, r.y0, r.x1, r.y1", "ct20")})
+select 'Feature' as kind, 'Polygon' as shape, ct20, label, {_texts(', '.join(COUNT_FIELDS))}, {_square('x0', 'y0', 'x1', 'y1')} from counted""",
+        "geometry_kinds": """select c_custkey as seq, case c_custkey % 6 when 3 then 'Point' when 4 then 'LineString' when 5 then null else 'MultiPolygon' end as kind,
+ case when c_custkey % 6 <> 5 then 2 end as members from customer""",
+        "largest_ring_centroids": """select c_custkey as seq, c_custkey + d as px, cast(d as double) as py
+from (select c_custkey, case c_custkey % 6 when 0 then 2.0 when 1 then 6.0 when 2 then 1.5 end as d from customer) where d is not null""",
+        "summary_json": _with("analysis") + f"select '{STAMP}' as generated_at, {_COUNT_SQL} from analysis",
+        "warnings_disabled": _with("parcel_warnings")
+        + """select ain, code, detail, severity from parcel_warnings union all select '*', 'llm_disabled', 'switched off', 'info'""",
+        "cache_next": _with("keys", "replies", "parcels", "usable_replies")
+        + """select k.key, k.main_ain as ain, case when r.form in (0, 1) then 'old' else 'new' end as extracted_at,
+ case r.form when 6 then 1 when 7 then 2 when 5 then 1 else 0 end as structures,
+ case when r.form in (0, 1) then '' else u.reasoning end as reasoning
+from keys k join replies r on k.main_ain = r.ain join usable_replies u on u.ain = r.ain""",
+        "cache_pruned": _with("keys", "parcels")
+        + "select count(*) as pruned from keys where main_ain not in (select ain_1 from parcels)",
+        "contract_problems": """select 'cases' as source, c_custkey as seq, 'MODULENAME' as field, 'mistyped' as problem from customer where c_custkey % 7 = 0
+union all select 'cases', c_custkey, 'REBUILD_PROGRESS_NUM', 'mistyped' from customer where c_custkey % 5 = 0
+union all select 'cases', c_custkey, 'DESCRIPTION', 'mistyped' from customer where c_custkey % 11 = 0
+union all select 'tracts', c_custkey, 'CT20', 'empty' from customer where c_custkey % 13 = 0
+union all select 'block_groups', c_custkey, 'BG20', 'missing' from customer where c_custkey % 3 = 0""",
+        "source_filters": _with("cases")
+        + """select 'area' as source, c_custkey as id from customer where c_mktsegment = 'BUILDING'
+union all select 'cases', seq from cases where disaster_type = 'Eaton Fire (01-2025)'""",
         "warnings": _with("parcel_warnings") + "select ain, code, detail, severity from parcel_warnings",
         "warning_rollup": _with("parcel_warnings")
         + "select code, count(*) as warning_count from parcel_warnings group by 1",
@@ -491,18 +523,18 @@ where f.is_event and f.is_qualifying""",
 select p.parcel_seq, p.ain, 0 as part, 'PARCEL CONTEXT' || chr(10) || 'AIN: ' || p.ain || chr(10)
  || 'Address: ' || coalesce(nullif(p.address, ''), '(unknown)') || chr(10) || 'DAMAGE: ' || p.damage || chr(10)
  || 'Pre-fire structures (from DINS): ' || {_PRE_TEXT} || chr(10) || chr(10)
- || 'RECORDS (' || b.n || ' qualifying, sorted by APPLY_DATE):' || chr(10) || chr(10) || b.body as user_prompt
-from analysis p join bodies b on p.ain = b.main_ain""",
+ || 'RECORDS (' || b.n || ' qualifying, sorted by APPLY_DATE):' || chr(10) as user_prompt
+from analysis p join bodies b on p.ain = b.main_ain where b.rn = 1
+union all select p.parcel_seq, p.ain, b.rn, b.body from analysis p join bodies b on p.ain = b.main_ain""",
         "cache_misses": _with("keys", "replies")
         + """select k.main_ain, k.key from keys k left join replies r on k.main_ain = r.ain
 where r.form is null or r.form not in (0, 1)""",
         "cache_prune": _with("keys", "parcels")
         + "select k.main_ain as ain, k.key from keys k join parcels p on k.main_ain = p.ain_1",
         "cache_entries": """select 'k' || c_custkey - cast(c_custkey % 10 = 9 as int) as key, cast(c_custkey as varchar) as ain,
- 2 as prompt_version, 7 as input_tokens,
- case c_custkey % 10 when 2 then 640 when 3 then null when 6 then null else c_custkey end as sqft,
- case when c_custkey % 10 <> 6 then 'low' end as confidence,
- case when c_custkey % 10 = 6 then 0 else 1 end as structures
+ '' as extracted_at, '' as model, 2 as prompt_version, '' as reasoning, 7 as input_tokens, 0 as output_tokens,
+ case when c_custkey % 10 = 6 then '' else 'sfr|' || case c_custkey % 10 when 2 then '640' when 3 then '-'
+   else cast(c_custkey as varchar) end || '|low|0|-' end as structures
 from customer c where c_custkey % 10 not in (1, 4, 5)
  and not (c_custkey % 10 = 8 and exists (select 1 from customer d where d.c_custkey = c.c_custkey + 1))""",
         "reply_status": _with("replies", "usable_replies")
@@ -554,12 +586,14 @@ select position, label, value, coalesce(round(value / nullif(sum(value) over (),
         "envelope": _with("parcels") + f"select * from {_ENVELOPE}",
         "regions_in_envelope": _with("parcels", "regions")
         + f"""select r.ct20, r.label from regions r, {_ENVELOPE} e
-where r.x1 >= e.xmin and r.x0 <= e.xmax and r.y1 >= e.ymin and r.y0 <= e.ymax""",
+where 2 * r.x1 >= e.xmin and 2 * r.x0 <= e.xmax and 2 * r.y1 >= e.ymin and 2 * r.y0 <= e.ymax""",
         "subregions_of": _with("parcels", "regions", "subregions")
         + f"""select s.bg20, s.ct20 from subregions s where s.ct20 in (select r.ct20 from regions r, {_ENVELOPE} e
-where r.x1 >= e.xmin and r.x0 <= e.xmax and r.y1 >= e.ymin and r.y0 <= e.ymax)""",
-        "page_flatten": """select c_custkey as seq, c_name as name, c_mktsegment as segment, c_acctbal as x
-from customer where c_custkey % 37 <> 0""",
+where 2 * r.x1 >= e.xmin and 2 * r.x0 <= e.xmax and 2 * r.y1 >= e.ymin and 2 * r.y0 <= e.ymax)""",
+        "page_flatten": """select (place - 1) * 4294967296 + pos - 1 as seq, name, segment, x from (
+ select c_custkey, c_name as name, c_mktsegment as segment, c_acctbal as x,
+  dense_rank() over (order by c_custkey // 1000) as place,
+  row_number() over (partition by c_custkey // 1000 order by c_custkey) as pos from customer) where c_custkey % 37 <> 0""",
         "record_problems": """select c_custkey as seq, 'AIN_1' as field,
   case c_custkey % 41 when 0 then 'missing' when 1 then 'mistyped' when 2 then 'empty' end as problem
 from customer where c_custkey % 41 in (0, 1, 2)
@@ -579,6 +613,14 @@ union all select c_custkey, 'COMMUNITY', 'mistyped' from customer where c_custke
  segs as (select doc_id, item, regexp_replace(string_agg(
    case when is_item then regexp_replace(line, '^\\s*\\d+\\.\\s', '') else line end, chr(10) order by i),
    '^\\s+|\\s+$', '', 'g') as seg from numbered group by 1, 2)
-select doc_id, count(*) as segments, sum(length(seg)) as chars from segs where seg <> '' group by 1""",
+select doc_id, row_number() over (partition by doc_id order by item nulls first) - 1 as position, seg as segment
+from segs where seg <> ''""",
     }
+    checks = out["quality_checks"]
+    at = checks.index("\nselect 'description_parse_rate'")
+    gates = f"{checks[:at]}, gates as ({checks[at:]})\n"
+    out["failed_checks"] = gates + "select name from gates where not passed"
+    out["report_head"] = gates + (
+        f"select '{STAMP}' as generated_at, (select count(*) from assigned) as total_parcels, bool_and(passed) as passed from gates"
+    )
     return out

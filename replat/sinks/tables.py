@@ -1,12 +1,14 @@
-"""Published tables as files: parcel CSV, feature lines, summary, report; every run kept by date."""
+"""Published tables as files: parcel CSV, feature lines, summary, report; every attempt of a run is kept."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
 from replat.functions.geometry import to_geojson
+from replat.operators.combine import with_one_row
 from replat.operators.counts import COUNT_FIELDS
 
 
@@ -82,22 +84,50 @@ def write_summary(summary: DataFrame, path: str, generated_at: str) -> None:
     with_generated_at(summary, generated_at).write.mode("overwrite").json(path)
 
 
-def report_head(checks: DataFrame, total_parcels: int, generated_at: str) -> DataFrame:
-    """One row: when, how many parcels, and whether every gate passed."""
-    return checks.agg(
-        F.lit(generated_at).alias("generated_at"),
-        F.lit(total_parcels).cast("bigint").alias("total_parcels"),
-        F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"),
-    )
+def report_head(checks: DataFrame, totals: DataFrame, generated_at: str) -> DataFrame:
+    """One row: when, how many parcels (``totals``, one row), and whether every gate passed."""
+    passed = checks.agg(F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed"))
+    both = with_one_row(totals.select(F.coalesce("total_parcels", F.lit(0)).cast("bigint").alias("total_parcels")), passed)
+    return both.select(F.lit(generated_at).alias("generated_at"), "total_parcels", "passed")
+
+
+# ---------------------------------------------------------------- versions
+#
+# A table is a folder of attempts, ``snapshot_date=D/attempt=A``. An attempt is written once into a folder of its
+# own and never again, so whatever still reads an older one keeps it. ``_versions`` lists the attempts that
+# count, in order, one appended row each; readers look there and open one folder.
+
+_VERSION = "version bigint, snapshot_date string, attempt string"
+
+
+def attempt_path(path: str, snapshot_date: str, attempt: str) -> str:
+    return f"{path}/snapshot_date={snapshot_date}/attempt={attempt}"
+
+
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """The list of a table's attempts; empty before the first."""
+    try:
+        return spark.read.schema(_VERSION).json(f"{path}/_versions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _VERSION)
 
 
-def dated(path: str, snapshot_date: str) -> str:
-    """Folder of one run; runs are never overwritten by later ones."""
-    return f"{path}/snapshot_date={snapshot_date}"
+def record_version(spark: SparkSession, path: str, snapshot_date: str, attempt: str) -> None:
+    """Make a written attempt the newest of its table: one appended row."""
+    last = versions(spark, path).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    row = spark.createDataFrame([(last + 1, snapshot_date, attempt)], _VERSION)
+    row.coalesce(1).write.mode("append").json(f"{path}/_versions")
 
 
-def latest(spark: SparkSession, path: str) -> DataFrame:
-    """Newest run of a dated Parquet table. Dates are compared in the catalog of partitions."""
-    table = spark.read.parquet(path)
-    newest = table.agg(F.max("snapshot_date")).first()[0]
-    return table.filter(F.col("snapshot_date") == newest)
+def latest(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:
+    """Newest attempt of the newest date, or of one date. Only its folder is listed and read."""
+    listed = versions(spark, path)
+    if snapshot_date is not None:
+        listed = listed.filter(F.col("snapshot_date") == snapshot_date)
+    newest = listed.orderBy(F.desc("snapshot_date"), F.desc("version")).first()
+    if newest is None:
+        raise FileNotFoundError(f"no version of {path}" + (f" for {snapshot_date}" if snapshot_date else ""))
+    folder = attempt_path(path, newest["snapshot_date"], newest["attempt"])
+    return spark.read.option("basePath", path).parquet(folder)

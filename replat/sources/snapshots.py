@@ -6,10 +6,13 @@ value into the same null, and validation has to tell them apart.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from replat.functions.geometry import GEOMETRY_TYPE
+from replat.sinks import tables
 
 _ENVELOPE = "source string, fetched_at string, record_count bigint, records array<variant>"
 _PAGE = "features array<struct<attributes:variant,geometry:variant>>"
@@ -35,43 +38,61 @@ BLOCK_GROUP_FIELDS = {"BG20": "string", "CT20": "string", "LABEL": "string"}
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """(source, fetched_at, seq, attributes, geometry) from snapshot files with a ``records`` array.
 
-    ``seq`` is the record's position: the order that decides ties everywhere.
+    ``seq`` is the order of file and record: the order that decides ties everywhere.
     """
     raw = spark.read.option("multiLine", True).schema(_ENVELOPE).json(path)
-    rows = raw.select("source", "fetched_at", F.posexplode("records").alias("pos", "attributes"))
+    raw = raw.select("source", "fetched_at", F.col("_metadata.file_path").alias("file"), "records")
+    rows = with_file_order(raw, ["file"]).select("source", "fetched_at", "place", F.posexplode("records").alias("pos", "attributes"))
     return rows.select(
         "source",
         "fetched_at",
-        F.col("pos").cast("bigint").alias("seq"),
+        _sequence(F.col("place"), F.col("pos")),
         "attributes",
         F.variant_get("attributes", "$._geometry", "variant").alias("geometry"),
     )
 
 
-def read_pages(spark: SparkSession, path: str, page_rows: int = 1_000_000) -> DataFrame:
-    """Feature pages, one JSON file each; the number in the file name gives the page order.
+def with_file_order(files: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``place``: 0, 1, … in the order of ``by``, over one narrow row for each file."""
+    place = (F.row_number().over(Window.orderBy(*by)) - 1).alias("place")
+    order = files.select(*by).distinct().select(*[F.col(c).alias(f"_{c}") for c in by], place)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return files.join(order, same).select(*files.columns, "place")
+
+
+def _sequence(place: Column, pos: Column) -> Column:
+    """One number for (file, position), unique for any file of less than 2 ** 32 records."""
+    return (F.shiftleft(place.cast("bigint"), 32) + pos).alias("seq")
+
 
-    Pages are parsed in parallel, one task per file. ``seq`` is (page number, position in page).
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Feature pages, one JSON file each, in the order of the number in the file name, then of the path.
+
+    Pages are parsed in parallel, one task per file. ``seq`` is (place of the file, position in it).
     """
     raw = (
         spark.read.option("multiLine", True)
         .schema(_PAGE)
         .json(path)
-        .select(page_number(F.col("_metadata.file_name")).alias("page_no"), "features")
+        .select(
+            page_number(F.col("_metadata.file_name")).alias("page_no"),
+            F.col("_metadata.file_path").alias("file"),
+            "features",
+        )
     )
-    return flatten_pages(raw, page_rows)
+    return flatten_pages(raw)
 
 
 def page_number(name: Column) -> Column:
-    """Last number in a file name; null without one."""
+    """Last number in a file name; null without one, which stands before all numbers."""
     return F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")
 
 
-def flatten_pages(pages: DataFrame, page_rows: int = 1_000_000) -> DataFrame:
-    """One row per feature of a (page_no, features) table; geometry may still be absent."""
-    rows = pages.select("page_no", F.posexplode("features").alias("pos", "feature"))
+def flatten_pages(pages: DataFrame) -> DataFrame:
+    """One row per feature of a (page_no, file, features) table; geometry may still be absent."""
+    rows = with_file_order(pages, ["page_no", "file"]).select("place", F.posexplode("features").alias("pos", "feature"))
     return rows.select(
-        (F.coalesce(F.col("page_no"), F.lit(0)) * page_rows + F.col("pos")).alias("seq"),
+        _sequence(F.col("place"), F.col("pos")),
         F.col("feature.attributes").alias("attributes"),
         F.col("feature.geometry").alias("geometry"),
     )
@@ -108,25 +129,13 @@ def only_event_cases(cases: DataFrame, label: str) -> DataFrame:
 
 
 def land_bronze(features: DataFrame, path: str, source: str, fetched_at: str, snapshot_date: str) -> None:
-    """Append one fetch as bronze Parquet under its date; re-landing a date replaces it."""
-    (
-        features.withColumns(
-            {
-                "source": F.lit(source),
-                "fetched_at": F.lit(fetched_at),
-                "snapshot_date": F.lit(snapshot_date).cast("date"),
-            }
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )
+    """Keep one fetch as Parquet under its date. Landing a date again adds a version, which counts from then on."""
+    attempt = uuid.uuid4().hex
+    stamped = features.withColumns({"source": F.lit(source), "fetched_at": F.lit(fetched_at)})
+    stamped.write.parquet(tables.attempt_path(path, snapshot_date, attempt))
+    tables.record_version(features.sparkSession, path, snapshot_date, attempt)
 
 
 def read_bronze(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:
-    """One dated snapshot, the latest by default. Only that partition is read."""
-    table = spark.read.parquet(path)
-    if snapshot_date is None:
-        snapshot_date = table.agg(F.max("snapshot_date")).first()[0]
-    return table.filter(F.col("snapshot_date") == F.lit(snapshot_date).cast("date"))
+    """One dated fetch, the latest by default. Only its folder is listed and read."""
+    return tables.latest(spark, path, snapshot_date)

@@ -1,6 +1,6 @@
 """Incremental intake: each run reads only the files that arrived since the last one.
 
-The contract is a daily cadence, not real time, so both streams run with ``availableNow`` and stop.
+The contract is a daily cadence, not real time, so the stream runs with ``availableNow`` and stops.
 """
 
 from __future__ import annotations
@@ -8,30 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from replat.sources.snapshots import flatten_pages, has_geometry, page_number
-
-_PAGE = "features array<struct<attributes:variant,geometry:variant>>"
 _REPLY = "key string, content string, input_tokens bigint, output_tokens bigint"
 
 
-def land_new_pages(spark: SparkSession, pages: str, bronze: str, checkpoint: str) -> None:
-    """Append the features of page files that are new since the last call; others are not read again.
-
-    ``bronze`` receives (seq, attributes, geometry). Features without geometry are dropped.
-    """
-    raw = (
-        spark.readStream.option("multiLine", True)
-        .schema(_PAGE)
-        .json(pages)
-        .select(page_number(F.col("_metadata.file_name")).alias("page_no"), "features")
-    )
-    rows = flatten_pages(raw).filter(has_geometry(F.col("geometry")))
-    _drain(rows, bronze, checkpoint)
-
-
 def land_new_replies(spark: SparkSession, replies: str, table: str, checkpoint: str) -> None:
-    """Append model replies (JSON lines) that arrived since the last call."""
-    _drain(spark.readStream.schema(_REPLY).json(replies), table, checkpoint)
+    """Append model replies (JSON lines) that arrived since the last call, with the time of their file."""
+    rows = spark.readStream.schema(_REPLY).json(replies)
+    _drain(rows.withColumn("arrived", F.col("_metadata.file_modification_time")), table, checkpoint)
 
 
 def _drain(stream: DataFrame, path: str, checkpoint: str) -> None:

@@ -12,13 +12,16 @@ from replat.config import DEFAULT_RULES
 from replat.operators import cases, extraction, parcels, prompts, quality, ranking
 
 RULES = dataclasses.replace(DEFAULT_RULES, model="m")
-SMALL = dataclasses.replace(RULES, records_per_row=7)
 
 
 def key_of(ain, records, model="m", version=2):
-    parts = sorted((c or "", hashlib.sha256((d or "").encode()).hexdigest()) for c, d in records)
-    payload = {"ain": ain, "records": parts, "prompt_version": version, "model": model}
-    return "sha256:" + hashlib.sha256(json.dumps(payload, sort_keys=True).encode()).hexdigest()
+    hashes = []
+    for number, text in records:
+        pair = json.dumps([number or "", hashlib.sha256((text or "").encode()).hexdigest()])
+        hashes.append(hashlib.sha256(pair.encode()).hexdigest())
+    sums = [sum(int(h[i : i + 15], 16) for h in hashes) for i in (0, 15, 30, 45)]
+    body = json.dumps({"ain": ain, "model": model, "prompt_version": version, "records": len(records), "sums": sums})
+    return "sha256:" + hashlib.sha256(body.encode()).hexdigest()
 
 
 def keys(spark, rows, rules=RULES):
@@ -46,18 +49,17 @@ def test_content_key_ignores_order_and_status(spark):
     assert keys(spark, a) != keys(spark, a, dataclasses.replace(RULES, prompt_version=3))
 
 
-def test_very_large_parcels_are_hashed_in_blocks(spark):
-    rows = [case(i, "HOT", casenumber=f"C{i}", description=f"d{i}") for i in range(90)]
-    rows += [case(100 + i, "COPIES", casenumber="C", description="same") for i in range(50)]
-    rows += [case(200, "A", casenumber="1", description="x")]
-    got = keys(spark, rows, SMALL)
-    assert got["A"] == key_of("A", [("1", "x")])
-    assert keys(spark, list(reversed(rows)), SMALL) == got
-    changed = [*rows[:89], dict(rows[89], description="other"), *rows[90:]]
-    assert keys(spark, changed, SMALL)["HOT"] != got["HOT"]
-    one_less = keys(spark, rows[:-2] + rows[-1:], SMALL)
-    assert one_less["COPIES"] != got["COPIES"]
-    assert one_less["HOT"] == got["HOT"]
+def test_one_rule_for_keys_of_any_size(spark):
+    """One key holds a third of all rows; any order and any partitioning give the same keys."""
+    hot = [case(i, "HOT", casenumber=f"C{i}", description=f"d{i}") for i in range(400)]
+    rows = [*hot, *[case(1000 + i, f"k{i % 200}", casenumber=f"C{i}", description="same") for i in range(800)]]
+    got = keys(spark, rows)
+    assert got["HOT"] == key_of("HOT", [(r["casenumber"], r["description"]) for r in hot])
+    assert keys(spark, list(reversed(rows))) == got
+    assert keys(spark, rows[1:])["HOT"] != got["HOT"]
+    assert keys(spark, [*rows, rows[0]])["HOT"] != got["HOT"]
+    plan = extraction.content_keys(frame(spark, CASE, rows), RULES)._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan and "collect_list" not in plan
 
 
 def brute_prompt(ain, rows):
@@ -78,27 +80,27 @@ def brute_prompt(ain, rows):
     return "\n".join(lines)
 
 
-@pytest.mark.parametrize("rules", [RULES, SMALL])
-def test_prompts_whole_and_in_parts(spark, rules):
+def test_prompts_in_parts(spark):
     hot = [case(i, "HOT", apply_date=None if i % 3 else 1.7e12, description=f"a\nb{i}") for i in range(30)]
     few = [case(100, "A", description=None), case(101, "A", apply_date=None, description="x\r\ny")]
     p = frame(spark, PARCEL, [parcel(0, "HOT"), parcel(1, "A"), parcel(2, "HOT"), parcel(3, "NONE")])
-    out = prompts.user_prompts(p, frame(spark, CASE, hot + few), rules).collect()
+    out = prompts.user_prompts(p, frame(spark, CASE, hot + few), RULES).collect()
     texts = {}
     for r in sorted(out, key=lambda r: (r["parcel_seq"], r["part"])):
         texts.setdefault(r["parcel_seq"], []).append(r["user_prompt"])
-    assert {k: len(v) for k, v in texts.items()} == {0: 1 if rules is RULES else 5, 1: 1, 2: 1 if rules is RULES else 5}
+    assert {k: len(v) for k, v in texts.items()} == {0: 31, 1: 3, 2: 31}
     assert "\n".join(texts[0]) == "\n".join(texts[2]) == brute_prompt("HOT", hot)
-    assert texts[1] == [brute_prompt("A", few)]
+    assert "\n".join(texts[1]) == brute_prompt("A", few)
 
 
 def test_positions_in_groups_of_any_size(spark):
-    rows = [(("HOT" if i % 3 else f"k{i % 7}"), (i * 37) % 11, i) for i in range(500)]
-    df = spark.createDataFrame(rows, "k string, d int, seq int").repartition(5)
-    got = {r["seq"]: r["position"] for r in ranking.position_in_group(df, "k", ["d", "seq"]).collect()}
+    day = ranking.DAY_MS
+    rows = [(("HOT" if i % 3 else f"k{i % 7}"), float((i * 37) % 11 * day // 3), i * (1 + i % 2 * 5000)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, d double, seq long").repartition(5)
+    got = {(r["k"], r["d"], r["seq"]): r["position"] for r in ranking.position_in_group(df, "k", "d", "seq").collect()}
     for key in {r[0] for r in rows}:
-        ordered = sorted(r[1:] for r in rows if r[0] == key)
-        assert [got[seq] for _, seq in ordered] == list(range(1, len(ordered) + 1))
+        ordered = sorted(r for r in rows if r[0] == key)
+        assert [got[r] for r in ordered] == list(range(1, len(ordered) + 1))
 
 
 def parsed(spark, contents):

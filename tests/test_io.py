@@ -3,6 +3,7 @@ from __future__ import annotations
 import csv
 import dataclasses
 import json
+import pathlib
 
 import pytest
 from builders import EVENT
@@ -74,6 +75,20 @@ def test_pages_flatten_in_order_and_drop_bare_features(spark, tmp_path):
     assert (out[0]["geometry"]["x"], out[0]["geometry"]["rings"]) == (1.0, None)
 
 
+def test_positions_are_unique_whatever_the_file_names(spark, tmp_path):
+    feature = {"attributes": {"N": "x"}, "geometry": {"x": 1, "y": 1}}
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        page(tmp_path / folder, 0, [feature] * 3)
+        (tmp_path / folder / "plain.json").write_text(json.dumps({"features": [feature] * 2}))
+    seqs = [r["seq"] for r in snapshots.read_pages(spark, f"{tmp_path}/*/*.json").select("seq").collect()]
+    assert len(seqs) == 10 == len(set(seqs))
+    assert sorted(s >> 32 for s in seqs) == [0, 0, 1, 1, 2, 2, 2, 3, 3, 3]
+    for n in (1, 2):
+        snapshot(tmp_path / f"s{n}.json", [parcel("P", 0, 0)] * 2)
+    assert snapshots.read_snapshot(spark, f"{tmp_path}/s*.json").select("seq").distinct().count() == 4
+
+
 @pytest.mark.parametrize(
     ("change", "field"),
     [
@@ -111,7 +126,9 @@ def test_bronze_history_and_pruning(spark, tmp_path):
     assert snapshots.read_bronze(spark, path).count() == 1
     old = snapshots.read_bronze(spark, path, "2025-01-01")
     assert old.count() == 2
-    assert "PartitionFilters: [isnotnull(snapshot_date" in old._jdf.queryExecution().toString()
+    assert len(old.inputFiles()) and all("snapshot_date=2025-01-01" in name for name in old.inputFiles())
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_bronze(spark, path, "2030-01-01")
     typed = snapshots.typed(old, snapshots.PARCEL_FIELDS)
     assert snapshots.only_event_area(typed, "Altadena").count() == 2
     typed.write.parquet(str(tmp_path / "silver"))
@@ -120,17 +137,6 @@ def test_bronze_history_and_pruning(spark, tmp_path):
 
 
 def test_streams_read_each_file_once(spark, tmp_path):
-    pages, bronze, mark = (tmp_path / n for n in ("pages", "bronze", "mark"))
-    pages.mkdir()
-    page(pages, 0, [{"attributes": {"N": "a"}, "geometry": {"x": 1, "y": 1}}, {"attributes": {"N": "b"}, "geometry": None}])
-    for _ in range(2):
-        intake.land_new_pages(spark, str(pages), str(bronze), str(mark))
-    assert spark.read.parquet(str(bronze)).count() == 1
-    page(pages, 1, [{"attributes": {"N": "c"}, "geometry": {"x": 1, "y": 1}}])
-    intake.land_new_pages(spark, str(pages), str(bronze), str(mark))
-    got = snapshots.typed(spark.read.parquet(str(bronze)), {"N": "string"})
-    assert sorted((r["seq"], r["n"]) for r in got.collect()) == [(0, "a"), (1_000_000, "c")]
-
     answers = tmp_path / "answers"
     answers.mkdir()
     (answers / "1.json").write_text(json.dumps({"key": "k", "content": "{}", "input_tokens": 1, "output_tokens": 2}))
@@ -196,7 +202,7 @@ def test_whole_run_from_files_to_files(spark, tmp_path):
     assert list(summary)[:2] == ["generated_at", "total_parcels"]
     assert (summary["total_parcels"], summary["adu_added_1_count"], summary["dwelling_rebuild_count"]) == (4, 1, 1)
 
-    files = [p for p in (tmp_path / "out" / "parcels_csv" / "snapshot_date=2025-03-01").iterdir() if p.suffix == ".csv"]
+    files = [p for p in pathlib.Path(run.path("parcels_csv")).iterdir() if p.suffix == ".csv"]
     rows = [r for f in files for r in csv.DictReader(f.open())]
     assert list(rows[0]) == list(config.RESULT_FIELDS)
     by_ain = {r["ain"]: r for r in rows}
@@ -267,3 +273,61 @@ def test_model_run_reuses_its_cache(spark, tmp_path):
     assert [got[n] for n in ("parcels_extracted", "cache_hits", "cache_misses")] == [1, 1, 0]
     assert spark.read.parquet(second.path("cache")).count() == 1
     assert tables.latest(spark, str(tmp_path / "out" / "parcels")).select("snapshot_date").distinct().count() == 1
+
+
+def test_a_retry_after_a_failed_gate_keeps_the_cache(spark, tmp_path):
+    schema = (
+        "key string, ain string, extracted_at string, model string, prompt_version int, "
+        f"structures array<{extraction.STRUCTURE_TYPE}>, reasoning string, input_tokens bigint, output_tokens bigint"
+    )
+    src = sources(spark, tmp_path, CASES)
+    keys = {r["main_ain"]: r["key"] for r in extraction.content_keys(extraction.qualifying_records(src.cases, RULES), RULES).collect()}
+    answer = json.dumps({"structures": [], "reasoning": "first"})
+    later = json.dumps({"structures": [], "reasoning": "a later one"})
+    replies = spark.createDataFrame(
+        [(keys["A"], answer, 1, 1, 2), (keys["A"], later, 2, 1, 2)],
+        "key string, content string, arrived int, input_tokens bigint, output_tokens bigint",
+    )
+    src = dataclasses.replace(src, cache=spark.createDataFrame([], schema), replies=replies)
+    out = str(tmp_path / "out")
+    with pytest.raises(quality.QualityGateError):
+        rebuild.run_all(spark, src, rebuild.Run(out, "2025-03-01", "t1"), dataclasses.replace(RULES, min_completed=5))
+    kept = tables.latest(spark, f"{out}/cache")
+    assert [(r["ain"], r["reasoning"]) for r in kept.collect()] == [("A", "first")]
+    retry = rebuild.Run(out, "2025-03-01", "t2")
+    rebuild.run_all(spark, dataclasses.replace(src, cache=kept, replies=replies.limit(0)), retry, RULES)
+    again = tables.latest(spark, f"{out}/cache")
+    assert [(r["ain"], r["extracted_at"]) for r in again.collect()] == [("A", "t1")]
+    assert kept.count() == 1
+    assert {name.split("/attempt=")[1][:32] for name in again.inputFiles()} == {retry.attempt}
+    inputs = tables.latest(spark, f"{out}/extraction_inputs").filter(f"key = '{keys['A']}'")
+    assert [r["case_number"] for r in inputs.collect()] == ["C-A"]
+
+
+def test_run_from_raw_files(spark, tmp_path):
+    """Raw snapshots in, published tables out: contracts, source filters and region choice included."""
+    other = parcel("X", 1, 1, COMMUNITY="Elsewhere")
+    shapes = {
+        "parcels": [parcel("A", 1, 1), parcel("B", 5, 5), other],
+        "cases": [*CASES, case("A", "9,000 SF SFR", DISASTER_TYPE="Other")],
+        "tracts": [
+            {"CT20": "1", "LABEL": "T1", "_geometry": {"rings": ring(1, 1, 2)}},
+            {"CT20": "9", "LABEL": "far", "_geometry": {"rings": ring(500, 500, 2)}},
+        ],
+        "block_groups": [
+            {"BG20": "1a", "CT20": "1", "LABEL": "G", "_geometry": {"rings": ring(1, 1, 2)}},
+            {"BG20": "9a", "CT20": "9", "LABEL": "G", "_geometry": {"rings": ring(500, 500, 2)}},
+        ],
+        "perimeter": [{"OBJECTID": 1, "_geometry": {"rings": ring(3, 3, 4)}}],
+    }
+    files = rebuild.Files(**{n: snapshot(tmp_path / f"{n}.json", rows) for n, rows in shapes.items()})
+    run = rebuild.Run(str(tmp_path / "out"), "2025-03-01", "t")
+    rebuild.run_files(spark, files, run, dataclasses.replace(RULES, min_completed=0))
+    rows = {r["ain"]: r for r in tables.latest(spark, f"{run.out}/parcels").collect()}
+    assert set(rows) == {"A", "B"}
+    assert rows["A"]["post_sfr_sqft"] == 1600 and rows["A"]["tract"] == "1"
+    assert [f["properties"]["ct20"] for f in lines(spark, run, "tracts_geojson")] == ["1"]
+    assert [f["properties"]["bg20"] for f in lines(spark, run, "block_groups_geojson")] == ["1a"]
+    with pytest.raises(validation.SchemaError, match="no rows"):
+        empty = dataclasses.replace(files, cases=snapshot(tmp_path / "none.json", []))
+        rebuild.run_files(spark, empty, rebuild.Run(run.out, "2025-03-02", "t"), RULES)
