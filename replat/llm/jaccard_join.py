@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,9 @@ INFO = 5  # doc, version, two fingerprints of the set, its size
 FIRST_PASS = SENT + ", info binary"
 BY_SET = "part int, sets binary, hits binary, info binary"
 DOCUMENTS = "doc long, version long, set1 long, set2 long, n_shingles long, reach long, candidate boolean"
-SIGNED = "bucket int, docs binary, labels binary, sizes binary, reaches binary, signatures binary"
+SIGNED = "bucket int, docs binary, labels binary, sizes binary, reaches binary, sketches binary, owners binary, signatures binary"
+#: Cells of a sketch: the tokens of a set are counted in so many parts of the universe.
+CELLS = 128
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +231,14 @@ def signatures(tokens: np.ndarray) -> np.ndarray:
                     out.append(mix(spread ^ mix(np.array([low], np.uint64))))
 
 
-def _signed(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens lie in each cell. Two sets have at most the sum of the cells' smaller counts in common."""
+    return np.bincount((tokens >> np.uint64(7)) % np.uint64(CELLS), minlength=CELLS).astype(np.uint32)
+
+
+def _signed(buckets: int, across: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sends signatures to their buckets, with what each document there is told apart by."""
+    compress = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         docs, labels, reaches = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc", "label", "reach"))
         sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
@@ -237,11 +247,13 @@ def _signed(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             signed = [signatures(s) for s in sets]
             owner = np.repeat(np.arange(len(sets)), [len(s) for s in signed])
             every, sizes = np.concatenate(signed), np.array([len(s) for s in sets], np.int64)
+            sketches = np.array([sketch(s) for s in sets]) if across else np.empty((len(sets), 0), np.uint32)
             bucket = (every >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                who = owner[part]
-                rows.append({"bucket": int(bucket[part[0]]), "docs": docs[who].tobytes(), "labels": labels[who].tobytes(), "sizes": sizes[who].tobytes(), "reaches": reaches[who].tobytes(), "signatures": every[part].tobytes()})
+                who, at = np.unique(owner[part], return_inverse=True)
+                held = {"docs": docs[who], "labels": labels[who], "sizes": sizes[who], "reaches": reaches[who], "owners": at.astype(np.int64), "sketches": sketches[who]}
+                rows.append({"bucket": int(bucket[part[0]]), "signatures": every[part].tobytes()} | {n: compress(x.tobytes()) for n, x in held.items()})
         yield _record(rows, names_of(SIGNED))
 
 
@@ -253,13 +265,19 @@ def fits(size: np.ndarray, reach: np.ndarray, other: np.ndarray, its_reach: np.n
 
 def _pairs(across: bool):
     """Pairs with a signature in common. First each document with the smallest one that has the
-    signature; once components are known, all pairs ``across`` two of them."""
+    signature; once components are known, all pairs ``across`` two of them that sketches don't rule out."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        held = [np.frombuffer(b"".join(rows[c]), np.int64) for c in ("docs", "labels", "sizes", "reaches")]
+        expand = zstandard.ZstdDecompressor().decompress
+        held = [np.frombuffer(b"".join(map(expand, rows[c])), np.int64) for c in ("docs", "labels", "sizes", "reaches")]
+        sketches = np.frombuffer(b"".join(map(expand, rows["sketches"])), np.uint32).reshape(len(held[0]), -1)
+        tables = [np.frombuffer(expand(x), np.int64) for x in rows["owners"]]
+        begins = np.cumsum([0] + [int(t.max()) + 1 for t in tables])
+        owners = np.concatenate([t + b for t, b in zip(tables, begins, strict=False)])
         marks = np.frombuffer(b"".join(rows["signatures"]), np.uint64)
-        order = np.lexsort((held[0], held[1], marks))
-        docs, labels, sizes, reaches, marks = *(x[order] for x in held), marks[order]
+        order = np.lexsort((held[0][owners], held[1][owners], marks))
+        owners, marks = owners[order], marks[order]
+        docs, labels, sizes, reaches = (x[owners] for x in held)
 
         def groups() -> tuple[np.ndarray, np.ndarray]:
             starts = np.flatnonzero(np.append(True, marks[1:] != marks[:-1])) if len(marks) else np.empty(0, np.int64)
@@ -270,7 +288,7 @@ def _pairs(across: bool):
             # out with those that reach no size in their group: most copies too far from the others
             least = np.repeat(np.minimum.reduceat(sizes, starts), counts)
             near = reaches >= least
-            docs, labels, sizes, reaches, marks = (x[near] for x in (docs, labels, sizes, reaches, marks))
+            docs, labels, sizes, reaches, owners, marks = (x[near] for x in (docs, labels, sizes, reaches, owners, marks))
             starts, counts = groups()
         if not len(marks):
             pairs = np.empty((0, 2), np.int64)
@@ -282,11 +300,13 @@ def _pairs(across: bool):
             several = np.flatnonzero((counts > 1) & (labels[starts] != labels[starts + counts - 1]))
             parts = [np.empty((0, 2), np.int64)]
             for s, n in zip(starts[several].tolist(), counts[several].tolist(), strict=True):
-                d, lab, z, r = (x[s : s + n] for x in (docs, labels, sizes, reaches))
+                d, lab, z, r, o = (x[s : s + n] for x in (docs, labels, sizes, reaches, owners))
                 ends = np.searchsorted(lab, lab, side="right")  # partners are those with a later label
                 for i in range(n):
                     j = np.arange(ends[i], n)
                     j = j[fits(z[j], r[j], z[i], r[i])]
+                    common = np.minimum(sketches[o[j]], sketches[o[i]]).sum(axis=1, dtype=np.int64)
+                    j = j[PARTS * common >= SHARE * (z[j] + z[i] - common)]
                     if len(j):
                         low, high = np.minimum(d[j], d[i]), np.maximum(d[j], d[i])
                         parts.append(np.stack([low, high], axis=1))
@@ -334,10 +354,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     texts = packed(keyed(docs, key, text)).join(versions, KEY).select("doc", "reach", "text")
     sets = staged(texts.mapInArrow(_sets, "doc long, reach long, tokens binary").distinct())
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _signed(buckets, batches)
-
     def pairs(labelled: DataFrame, across: bool) -> DataFrame:
+        def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _signed(buckets, across, batches)
+
         rows = labelled.select("doc", "label", "reach", "tokens").mapInArrow(signed, SIGNED)
         return staged(rows.groupBy("bucket").applyInPandas(_pairs(across), "a long, b long").distinct())
 
