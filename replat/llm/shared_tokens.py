@@ -69,18 +69,41 @@ def found_elsewhere(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndar
     return contents[who], hits[who], np.cumsum(hits[who]), tokens[flag]
 
 
-def _in_other_content(rows: pd.DataFrame) -> pd.DataFrame:
-    contents, hits, ends, tokens = found_elsewhere(rows)
-    parts = [tokens[e - n : e].tobytes() for e, n in zip(ends.tolist(), hits.tolist(), strict=True)]
-    # copies of one content have the same tokens
-    _, once = np.unique(contents, return_index=True)
-    return pd.DataFrame({"content": contents[once], "tokens": pd.Series([parts[i] for i in once], dtype=object)})
+def _dealt_by_content(parts: int):
+    """What a bucket found, as one row for each part of the contents."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        contents, hits, ends, tokens = found_elsewhere(rows)
+        # copies of one content have the same tokens
+        contents, once = np.unique(contents, return_index=True)
+        hits, ends = hits[once], ends[once]
+        part = (mix(contents.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        out = []
+        for p in np.unique(part):
+            mine = part == p
+            taken = [tokens[e - n : e] for e, n in zip(ends[mine].tolist(), hits[mine].tolist(), strict=True)]
+            out.append((int(p), contents[mine].tobytes(), hits[mine].astype(np.uint32).tobytes(), np.concatenate(taken).tobytes()))
+        return pd.DataFrame(out, columns=["bucket", "contents", "sizes", "tokens"])
+
+    return run
+
+
+def _of_content(rows: pd.DataFrame) -> pd.DataFrame:
+    contents, sizes = _joined(rows["contents"], np.int64), _joined(rows["sizes"], np.uint32).astype(np.int64)
+    tokens = _joined(rows["tokens"], np.uint32)
+    owner = np.repeat(contents, sizes)
+    order = np.argsort(owner, kind="stable")
+    owner, tokens = owner[order], tokens[order]
+    starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.empty(0, np.int64)
+    parts = [tokens[a:b].tobytes() for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(tokens)], strict=False)]
+    return pd.DataFrame({"content": owner[starts], "tokens": pd.Series(parts, dtype=object)})
 
 
-def in_other_content(rows: DataFrame) -> DataFrame:
-    """``content, tokens``: for each content and bucket, its tokens that other contents hold.
+def in_other_content(rows: DataFrame, parts: int) -> DataFrame:
+    """``content, tokens``: the tokens of each content that others hold, one row each; contents without any are out.
 
-    ``rows`` are those of ``sent``. Documents with one content (exact copies) don't count for each other.
-    A bucket holds a share of all tokens that the caller keeps small by their number.
+    ``rows`` are those of ``sent``. Documents with one content (exact copies) don't count for each other. A bucket
+    holds a share of all tokens, and a part a share of all contents, that the caller keeps small by their number.
     """
-    return rows.groupBy("bucket").applyInPandas(_in_other_content, FOUND)
+    dealt = rows.groupBy("bucket").applyInPandas(_dealt_by_content(parts), SENT)
+    return dealt.groupBy("bucket").applyInPandas(_of_content, FOUND)

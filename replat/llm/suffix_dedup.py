@@ -23,7 +23,7 @@ GRAM = 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Its inverse modulo 2 ** 64.
 UNBASE = np.uint64(pow(int(BASE), -1, 2**64))
-BYTES_AT_ONCE = 2_000_000
+BYTES_AT_ONCE = 1_000_000
 #: Columns of a bucket of surroundings with their kinds; each travels as one compressed array.
 ARRAYS = {"docs": "<i8", "counts": "<u4", "versions": "<i8", "firsts": "<i8", "sizes": "<u2", "shifts": "<u2", "content": "<u1", "sure": "<i8"}
 SNIPPETS = "bucket int, " + ", ".join(f"{name} binary" for name in ARRAYS)
@@ -358,11 +358,9 @@ def repeated_strings(docs: DataFrame, length: int = 50, key: str = "doc_id", tex
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _snippets(2 * buckets, length, batches)
 
-    shared = staged(in_other_content(rows.select("version", "text").mapInArrow(fingerprints, SENT)))
-    # the tokens of one content, for the first document that has it
-    wanted = shared.groupBy("content").agg(F.array_join(F.collect_list(F.hex("tokens")), "").alias("tokens"))
-    wanted = wanted.select(F.col("content").alias("version"), F.unhex("tokens").alias("tokens"))
-    wanted = wanted.join(firsts.select("version", F.col("first").alias("doc")), "version")
+    shared = staged(in_other_content(rows.select("version", "text").mapInArrow(fingerprints, SENT), buckets))
+    # a content's tokens are for the first document that has it
+    wanted = shared.withColumnRenamed("content", "version").join(firsts.select("version", F.col("first").alias("doc")), "version")
     around = packed(rows).join(wanted, KEY).select(*KEY, "text", "tokens")
     runs = around.mapInArrow(snippets, SNIPPETS).groupBy("bucket").applyInPandas(_copies(length), RANGES)
     whole = copies.select(*KEY, F.array(F.lit(0).cast("long"), F.col("size") - length).alias("ranges"))
