@@ -21,7 +21,7 @@ from replat.llm.shared_tokens import SENT, found_elsewhere, mix, sent
 WORDS = 5
 #: A pair links if PARTS * |intersection| >= SHARE * |union|.
 SHARE, PARTS = 3, 4
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD1B54A32D192ED03)
 INFO = 5  # doc, version, two fingerprints of the set, its size
@@ -96,7 +96,7 @@ def _first_pass(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         texts = batch.column("text").to_pylist()
         rows: list[dict[str, object]] = []
         owners, tokens, info = [np.empty(0, np.int32)], [np.empty(0, np.uint64)], [np.empty((0, INFO), np.int64)]
-        for a, b in in_blocks(texts, 4_000_000):
+        for a, b in in_blocks(texts):
             who, found = shingles(texts[a:b])
             prints = set_prints(who, found, b - a).view(np.int64)
             info.append(np.column_stack([docs[a:b], versions[a:b], prints]))
@@ -164,7 +164,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t or "" for t in unpacked(batch.column("text"))]
         out = []
-        for a, b in in_blocks(texts, 4_000_000):
+        for a, b in in_blocks(texts):
             who, tokens = shingles(texts[a:b])
             ends = np.searchsorted(who, np.arange(b - a + 1))
             out += [tokens[ends[i] : ends[i + 1]].tobytes() for i in range(b - a)]
@@ -263,7 +263,7 @@ def fits(size: np.ndarray, reach: np.ndarray, other: np.ndarray, its_reach: np.n
     return alike & (other <= reach) & (size <= its_reach)
 
 
-def _pairs(across: bool):
+def _pairs(across: bool, parts_out: int):
     """Pairs with a signature in common. First each document with the smallest one that has the
     signature; once components are known, all pairs ``across`` two of them that sketches don't rule out."""
 
@@ -313,11 +313,20 @@ def _pairs(across: bool):
                 if len(parts) > 1000:
                     parts = [np.unique(np.concatenate(parts), axis=0)]
             pairs = np.unique(np.concatenate(parts), axis=0)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        pairs = np.ascontiguousarray(pairs)
+        part = (mix(mix(np.ascontiguousarray(pairs[:, 0]).view(np.uint64)) + np.ascontiguousarray(pairs[:, 1]).view(np.uint64)) % np.uint64(parts_out)).astype(np.int32)
+        out = [(int(p), pairs[part == p].tobytes()) for p in np.unique(part)]
+        return pd.DataFrame(out, columns=["part", "pairs"])
 
     return run
 
 
+def _distinct(rows: pd.DataFrame) -> pd.DataFrame:
+    """A pair comes from as many buckets as it has signatures in common; it is kept once."""
+    pairs = np.unique(np.frombuffer(b"".join(rows["pairs"]), np.int64).reshape(-1, 2), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -359,7 +368,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
             return _signed(buckets, across, batches)
 
         rows = labelled.select("doc", "label", "reach", "tokens").mapInArrow(signed, SIGNED)
-        return staged(rows.groupBy("bucket").applyInPandas(_pairs(across), "a long, b long").distinct())
+        found = rows.groupBy("bucket").applyInPandas(_pairs(across, buckets), "part int, pairs binary")
+        return staged(found.groupBy("part").applyInPandas(_distinct, "a long, b long"))
 
     tried = pairs(sets.withColumn("label", F.col("doc")), across=False)
     linked = links(tried, sets)

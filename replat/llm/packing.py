@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from replat.llm.common import in_blocks, keyed_text, once, staged
+from replat.llm.edits import FIRST_KEY
 from replat.llm.token_counts import byte_characters
 
 # The vocabulary's split pattern, within text without white space.
@@ -191,7 +192,9 @@ def packed(
     packed together with those of ``merged`` other shards, so that hardly a sequence stays part empty. A null or
     empty text is a document of the closing id alone. Rows with equal keys are packed one by one.
     """
-    cut = staged(pieces(docs, vocabulary, capacity, closing))
+    # a null key would make pandas read all keys as floating-point numbers
+    cut = pieces(docs, vocabulary, capacity, closing).withColumn("doc_id", F.coalesce("doc_id", F.lit(FIRST_KEY)))
+    cut = staged(cut)
     total = cut.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
     shards = max(1, -(-total["tokens"] // shard_tokens), -(-total["rows"] // shard_rows))
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
@@ -201,4 +204,5 @@ def packed(
     again = (F.col("fill") < 0.98 * capacity) & (F.col("emptiest") < released)
     opened = once_packed.filter(again).select("doc_id", "piece", "start", "length", "ids_crc32", F.floor(F.col("shard") / merged).alias("shard"))
     repacked = opened.groupBy("shard").applyInPandas(_packer(capacity, 1 << 62), schema)
-    return once_packed.filter(~again).union(repacked).drop("shard", "fill", "emptiest")
+    both = once_packed.filter(~again).union(repacked).drop("shard", "fill", "emptiest")
+    return both.withColumn("doc_id", F.nullif("doc_id", F.lit(FIRST_KEY)))
