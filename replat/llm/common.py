@@ -47,6 +47,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches: Iterator[Any], rows: int = 4000) -> Iterator[Any]:
+    """The batches in smaller pieces, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def in_blocks(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``chars`` characters; every text is in exactly one."""
     start = size = 0

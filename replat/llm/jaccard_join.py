@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import in_blocks, once, partitions, staged
+from replat.llm.common import in_blocks, once, partitions, slices, staged
 from replat.llm.components import components
 from replat.llm.edits import FIRST_KEY, KEY, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, found_elsewhere, mix, sent
@@ -21,7 +21,7 @@ from replat.llm.shared_tokens import SENT, found_elsewhere, mix, sent
 WORDS = 5
 #: A pair links if PARTS * |intersection| >= SHARE * |union|.
 SHARE, PARTS = 3, 4
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD1B54A32D192ED03)
 INFO = 5  # doc, version, two fingerprints of the set, its size
@@ -91,7 +91,7 @@ def names_of(schema: str) -> list[str]:
 
 
 def _first_pass(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         docs, versions = (np.array(batch.column(c).to_pylist(), np.int64) for c in KEY)
         texts = batch.column("text").to_pylist()
         rows: list[dict[str, object]] = []
@@ -161,7 +161,7 @@ def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [t or "" for t in unpacked(batch.column("text"))]
         out = []
         for a, b in in_blocks(texts):

@@ -111,8 +111,11 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> list[tuple[bytes, in
     distinct = hashed.join(known, "doc_id").groupBy("hash").agg(F.min(F.struct("doc_id", "quality")).alias("row"))
     order = distinct.select(F.xxhash64("hash").alias("at"), "hash", "row.doc_id", "row.quality")
     chosen: dict[tuple[int, int], tuple[int, int]] = {}
-    for part, n in ((order.filter("quality = 1"), fit.per_class), (order.filter("quality = 0"), fit.per_class), (order, fit.calibration + 2 * fit.per_class)):
-        for r in part.orderBy("at", "doc_id").limit(n).collect():
+    # dictionaries from one end of the order, the calibration from the other, in the classes' true shares
+    first, last = ("at", "doc_id"), (F.desc("at"), F.desc("doc_id"))
+    parts = ((order.filter("quality = 1"), fit.per_class, first), (order.filter("quality = 0"), fit.per_class, first), (order, fit.calibration, last))
+    for part, n, by in parts:
+        for r in part.orderBy(*by).limit(n).collect():
             chosen.setdefault((r["doc_id"], r["hash"]), (r["at"], r["quality"]))
     spark = docs.sparkSession
     ids = spark.createDataFrame(list(chosen), "doc_id long, hash long")  # bounded by the fit
@@ -141,8 +144,7 @@ def trained(rows: list[tuple[bytes, int]], fit: Fit) -> Model:
     model = Model(dictionary(of[1][: use[1]]), dictionary(of[0][: use[0]]), (), fit.piece, fit.level)
     seen = {q: set(of[q][: use[q]]) for q in (0, 1)}
     rest = [(t, q) for t, q in rows if t not in seen[q]]
-    # both classes in their true shares: beyond the dictionary's rows the order is one by hash
-    rest = rest[: fit.calibration]
+    rest = rest[-fit.calibration :]
     y = np.array([q for _, q in rest], float)
     if len(set(y)) < 2:
         return constant

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import partitions, staged
+from replat.llm.common import partitions, slices, staged
 from replat.llm.edits import KEY, edited, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, bucket_of, in_other_content, mix, sent
 
@@ -130,7 +130,7 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 def _fingerprints(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sends each document's anchor hashes to their buckets."""
-    for batch in batches:
+    for batch in slices(batches):
         versions = np.array(batch.column("version").to_pylist(), np.int64)
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         owner, tokens = [np.empty(0, np.int32)], [np.empty(0, np.uint64)]
@@ -157,7 +157,7 @@ def _snippets(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> I
     Equal surroundings are sent once for a batch, by the smallest key that has them, with all places where
     it does; at greater keys they are copies for sure.
     """
-    for batch in batches:
+    for batch in slices(batches):
         docs, versions = (np.array(batch.column(c).to_pylist(), np.int64) for c in KEY)
         order = np.argsort(docs, kind="stable")
         docs, versions = docs[order], versions[order]

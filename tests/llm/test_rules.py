@@ -139,3 +139,16 @@ def test_classifier_without_labels_and_without_rows(spark):
     out = quality_classifier.quality_scores(samples.docs(spark, samples.odd_rows()), none).collect()
     assert len(out) == len(samples.odd_rows()) and {r["score"] for r in out} == {0.5}
     assert quality_classifier.quality_scores(samples.docs(spark, []), none).count() == 0
+
+
+def test_calibration_has_both_classes_when_the_bounds_bind(spark):
+    """With fewer rows allowed than there are, dictionaries must not use up a class."""
+    rows, labels = labelled(spark)
+    fit = quality_classifier.Fit(per_class=25, calibration=60, dictionary=20_000)
+    chosen = quality_classifier.sample(quality_classifier.keyed_text(samples.docs(spark, rows)), labels, fit)
+    assert len(chosen) <= 110
+    model = quality_classifier.trained(chosen, fit)
+    assert model.constant is None
+    out = {r["row"]["doc_id"]: r["score"] for r in quality_classifier.scored(samples.docs(spark, rows), model).collect()}
+    truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    assert sum((out[k] >= 0.7) == (q == 1) for k, q in truth.items()) >= 0.95 * len(truth)
