@@ -15,6 +15,8 @@ from replat.checkpoints import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Rows hold whole texts, so fewer of them go to a Python worker at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
