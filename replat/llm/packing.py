@@ -112,52 +112,119 @@ def configurations(sizes: list[int], capacity: int) -> list[tuple[int, ...]]:
     return sorted(found, key=lambda c: (-sum(sizes[i] for i in c), c))
 
 
-def pack(lengths: np.ndarray, capacity: int, groups: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each length (1 to ``capacity``).
+def fractional(configs: list[tuple[int, ...]], wanted: list[int]) -> list[tuple[float, int]]:
+    """How often to use which configuration, so that all wanted sizes are in as few sequences as possible.
 
-    Lengths above a quarter of the capacity are sorted, cut into groups of equal size and rounded up to
-    their group's largest; whole configurations of these few sizes are used as often as they fit, the
-    fullest first. Actual lengths take the slots, and what the rounding leaves is free again. Then the
-    small ones go, the longest first, where the least room remains.
+    The linear program min sum(x), Ax = wanted, x >= 0 by the simplex method, columns priced by the sizes' dual
+    values. It starts from a sequence for each length. Equally good steps go by the lowest number (Bland), so it ends.
     """
-    sequence, offset = np.full(len(lengths), -1), np.zeros(len(lengths), np.int64)
-    free: list[int] = []
+    n = len(wanted)
+    used = np.array([(*c, n, n)[:3] for c in configs])  # n: no size
+    column = {c: k for k, c in enumerate(configs)}
+    base, demand = [column[(i,)] for i in range(n)], np.array(wanted, float)
+    inverse, amount = np.eye(n), demand.copy()
+    bland = 0
+    for step in range(200 * n):
+        price = np.append(inverse.sum(axis=0), 0.0)  # every sequence costs 1
+        gain = price[used].sum(axis=1) - 1
+        enter = int(np.argmax(gain > 1e-9)) if bland > 20 else int(gain.argmax())
+        if gain[enter] <= 1e-9:
+            break
+        toward = inverse @ np.bincount(used[enter], minlength=n + 1)[:n]
+        ratio = np.full(n, np.inf)
+        np.divide(amount, toward, out=ratio, where=toward > 1e-9)
+        least = ratio.min()
+        leave = min(np.flatnonzero(ratio <= least + 1e-9).tolist(), key=lambda i: base[i])
+        bland = bland + 1 if least <= 1e-9 else 0
+        base[leave] = enter
+        if step % 50 == 49:  # rounding errors don't add up
+            inverse = np.linalg.inv(np.stack([np.bincount(used[b], minlength=n + 1)[:n] for b in base], axis=1))
+        else:
+            row = inverse[leave] / toward[leave]
+            inverse = inverse - np.outer(toward, row)
+            inverse[leave] = row
+        amount = np.maximum(inverse @ demand, 0)
+    return sorted(zip(amount.tolist(), base, strict=True), key=lambda x: x[1])
 
-    def place(item: int, into: int) -> None:
-        sequence[item], offset[item] = into, capacity - free[into]
-        free[into] -= int(lengths[item])
 
-    order = np.argsort(-lengths, kind="stable")
+class Sequences:
+    """Sequences with their room, and where each length stands."""
+
+    def __init__(self, lengths: np.ndarray, capacity: int):
+        self.lengths, self.capacity = lengths, capacity
+        self.sequence, self.offset = np.full(len(lengths), -1), np.zeros(len(lengths), np.int64)
+        self.free: list[int] = []
+
+    def place(self, item: int, into: int) -> None:
+        self.sequence[item], self.offset[item] = into, self.capacity - self.free[into]
+        self.free[into] -= int(self.lengths[item])
+
+    def best_fit(self, items: list[int]) -> None:
+        """Puts each of the items, in their order, where the least room remains, or into a new sequence."""
+        # sequences by the room they have; the set bits of an integer are the rooms that occur
+        rooms: list[list[int]] = [[] for _ in range(self.capacity + 1)]
+        occurs = 0
+        for into, room in enumerate(self.free):
+            rooms[room].append(into)
+            occurs |= 1 << room
+        for item in items:
+            size = int(self.lengths[item])
+            fits = occurs >> size
+            if fits:
+                room = size + (fits & -fits).bit_length() - 1
+                into = rooms[room].pop()
+                if not rooms[room]:
+                    occurs ^= 1 << room
+            else:
+                into = len(self.free)
+                self.free.append(self.capacity)
+            self.place(item, into)
+            rooms[self.free[into]].append(into)
+            occurs |= 1 << self.free[into]
+
+
+def grouped(lengths: np.ndarray, capacity: int, groups: int, order: np.ndarray) -> Sequences:
+    """Lengths above a quarter of the capacity by the best mix of configurations of few sizes, then best fit.
+
+    They are sorted, cut into groups of equal size and rounded up to their group's largest; whole sequences of
+    the best mix take the longest documents of their sizes. A document that is alone in at most half a
+    sequence, and those of the mix's fractions, go by their real lengths where the least room remains, as do
+    the small ones, the longest first.
+    """
+    made = Sequences(lengths, capacity)
     large = order[: int((lengths > capacity // 4).sum())]
-    stacks = [list(part[::-1]) for part in np.array_split(large, min(groups, len(large)) or 1) if len(part)]
-    sizes = [int(lengths[s[-1]]) for s in stacks]  # the largest of each group lies on top
-    for config in configurations(sizes, capacity):
-        need = {i: config.count(i) for i in config}
-        for _ in range(min(len(stacks[i]) // n for i, n in need.items())):
-            free.append(capacity)
-            for i in config:
-                place(stacks[i].pop(), len(free) - 1)
-    # sequences by the room they have; the set bits of an integer are the rooms that occur
-    rooms: list[list[int]] = [[] for _ in range(capacity + 1)]
-    occurs = 0
-    for into, room in enumerate(free):
-        rooms[room].append(into)
-        occurs |= 1 << room
-    for item in order[len(large) :].tolist():
-        size = int(lengths[item])
-        fits = occurs >> size
-        if fits:
-            room = size + (fits & -fits).bit_length() - 1
-            into = rooms[room].pop()
-            if not rooms[room]:
-                occurs ^= 1 << room
-        else:
-            into = len(free)
-            free.append(capacity)
-        place(item, into)
-        rooms[free[into]].append(into)
-        occurs |= 1 << free[into]
-    return sequence, offset
+    stacks = [part[::-1].tolist() for part in np.array_split(large, min(groups, len(large)) or 1) if len(part)]
+    if stacks:
+        sizes = [int(lengths[s[-1]]) for s in stacks]  # the largest of each group lies on top
+        configs = configurations(sizes, capacity)
+        for times, which in fractional(configs, [len(s) for s in stacks]):
+            for _ in range(int(times + 1e-6)):
+                if any(len(stacks[i]) < configs[which].count(i) for i in configs[which]):
+                    break
+                items = [stacks[i].pop() for i in configs[which]]
+                if 2 * sum(int(lengths[x]) for x in items) <= capacity:
+                    stacks[configs[which][0]] += items[::-1]
+                    break
+                made.free.append(capacity)
+                for item in items:
+                    made.place(item, len(made.free) - 1)
+    made.best_fit(order[made.sequence[order] < 0].tolist())
+    return made
+
+
+def pack(lengths: np.ndarray, capacity: int, groups: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of each length (1 to ``capacity``).
+
+    By ``grouped``, and by best fit alone, the longest first; what takes fewer sequences counts.
+    """
+    order = np.argsort(-lengths, kind="stable")
+    plain = Sequences(lengths, capacity)
+    plain.best_fit(order.tolist())
+    if len(plain.free) * capacity - int(lengths.sum()) < capacity:  # no packing has fewer
+        return plain.sequence, plain.offset
+    made = grouped(lengths, capacity, groups, order)
+    best = made if len(made.free) < len(plain.free) else plain
+    return best.sequence, best.offset
 
 
 def _packer(capacity: int, first_id: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -166,11 +233,10 @@ def _packer(capacity: int, first_id: int) -> Callable[[pd.DataFrame], pd.DataFra
         lengths = rows["length"].to_numpy()
         sequence, offset = pack(lengths, capacity)
         fill = np.bincount(sequence, weights=lengths).astype(np.int64)
-        emptiest = np.argsort(np.argsort(fill, kind="stable"), kind="stable")
-        return rows.assign(
-            sequence_id=first_id + (rows["shard"].to_numpy() << 32) + sequence,
-            offset=offset, fill=fill[sequence], emptiest=emptiest[sequence],
-        )
+        made = {"sequence_id": first_id + (rows["shard"].to_numpy() << 32) + sequence, "offset": offset}
+        if "sequence_id" in rows and rows["sequence_id"].nunique() <= len(fill):
+            return rows.assign(fill=0)  # packed before, and no better now
+        return rows.assign(**made, fill=fill[sequence])
 
     return run
 
@@ -183,14 +249,13 @@ def packed(
     shard_tokens: int = 1_000_000,
     shard_rows: int = 20_000,
     merged: int = 64,
-    released: int = 8,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece.
 
     Pieces are dealt at random over shards of about ``shard_tokens`` tokens and ``shard_rows`` rows, each
-    packed by itself. Its emptiest sequences (up to ``released``, those under 98 % full) are opened again and
-    packed together with those of ``merged`` other shards, so that hardly a sequence stays part empty. A null or
-    empty text is a document of the closing id alone. Rows with equal keys are packed one by one.
+    packed by itself. All its sequences under 98 % full are opened again and packed together with those of
+    ``merged`` shards in all, so that hardly a sequence stays part empty; where that takes no fewer, they stay as they
+    were. A null or empty text is a document of the closing id alone. Rows with equal keys are packed one by one.
     """
     # a null key would make pandas read all keys as floating-point numbers
     cut = pieces(docs, vocabulary, capacity, closing).withColumn("doc_id", F.coalesce("doc_id", F.lit(FIRST_KEY)))
@@ -199,10 +264,10 @@ def packed(
     shards = max(1, -(-total["tokens"] // shard_tokens), -(-total["rows"] // shard_rows))
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long, shard long"
-    schema = columns + ", sequence_id long, offset long, fill long, emptiest long"
+    schema = columns + ", sequence_id long, offset long, fill long"
     once_packed = staged(dealt.groupBy("shard").applyInPandas(_packer(capacity, 0), schema))
-    again = (F.col("fill") < 0.98 * capacity) & (F.col("emptiest") < released)
-    opened = once_packed.filter(again).select("doc_id", "piece", "start", "length", "ids_crc32", F.floor(F.col("shard") / merged).alias("shard"))
+    again = F.col("fill") < 0.98 * capacity
+    opened = once_packed.filter(again).drop("fill").withColumn("shard", F.floor(F.col("shard") / merged))
     repacked = opened.groupBy("shard").applyInPandas(_packer(capacity, 1 << 62), schema)
-    both = once_packed.filter(~again).union(repacked).drop("shard", "fill", "emptiest")
+    both = once_packed.filter(~again).union(repacked).drop("shard", "fill")
     return both.withColumn("doc_id", F.nullif("doc_id", F.lit(FIRST_KEY)))

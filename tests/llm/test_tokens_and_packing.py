@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import zlib
 
@@ -122,3 +123,48 @@ def test_pack_fits_and_wastes_little(lengths):
         fill[s] = o + n
     assert all(v <= 64 for v in fill.values())
     assert sum(v <= 32 for v in fill.values()) <= 1 or not any(n <= 16 for n in lengths)
+
+
+def best_fit_decreasing(lengths, capacity):
+    rooms = []
+    for n in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        bisect.insort(rooms, room - n)
+    return len(rooms)
+
+
+@pytest.mark.parametrize(("low", "high", "over"), [(200, 4096, 1.01), (1025, 3000, 1.01), (1025, 4096, 1.08), (1100, 1500, 1.055)])
+def test_long_documents_take_few_sequences(low, high, over):
+    """Against best fit, and the volume bound (which the longest and the shortest ranges can't come near)."""
+    lengths = np.random.default_rng(low + high).integers(low, high + 1, 20_000)
+    sequence, _ = packing.pack(lengths, 4096)
+    assert np.bincount(sequence, weights=lengths).max() <= 4096
+    used, bound = int(sequence.max()) + 1, -(-int(lengths.sum()) // 4096)
+    assert used <= best_fit_decreasing(lengths.tolist(), 4096) and used <= over * bound
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(17, 64), min_size=1, max_size=5, unique=True), st.data())
+def test_the_mix_of_configurations_is_the_best(sizes, data):
+    wanted = [data.draw(st.integers(1, 9)) for _ in sizes]
+    configs = packing.configurations(sizes, 64)
+    mix = packing.fractional(configs, wanted)
+    for i, n in enumerate(wanted):
+        assert sum(x * configs[k].count(i) for x, k in mix) == pytest.approx(n)
+    # dual values that no configuration exceeds, and that add up to the same number, prove it
+    base = np.array([[configs[k].count(i) for _, k in mix] for i in range(len(sizes))], float)
+    price = np.linalg.solve(base.T, np.ones(len(sizes)))
+    assert max(sum(price[i] for i in c) for c in configs) <= 1 + 1e-6
+    assert sum(x for x, _ in mix) == pytest.approx(float(price @ wanted)) and min(x for x, _ in mix) >= 0
+
+
+def test_every_shard_opens_all_its_part_empty_sequences(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "the " * int(n)) for i, n in enumerate(rng.integers(65, 190, 900))]
+    out = packing.packed(samples.docs(spark, rows), WORDS, capacity=256, shard_tokens=8000).toPandas()
+    lengths = out["length"].tolist()
+    assert sorted(out["doc_id"]) == [k for k, _ in rows] and out.groupby("sequence_id")["length"].sum().max() <= 256
+    assert out["sequence_id"].nunique() <= 1.02 * best_fit_decreasing(lengths, 256)
+    for _, part in out.sort_values("offset").groupby("sequence_id"):
+        assert part["offset"].tolist() == [0, *np.cumsum(part["length"])[:-1].tolist()]
