@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from replat.llm import (
+    hard_negatives,
     jaccard_join,
     line_runs,
     packing,
+    phrases,
     piece_bpe,
+    posting_lists,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -80,6 +84,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.coded_digests(documents, tokenizer("byte_bpe_50k.tiktoken"), pattern())
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,10 +107,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_quality_rules, op2_token_counts, op3_ngram_jaccard, op4_embedding_links, op5_best_fit_packing, op6_suffix_dedup,
-        op7_line_dedup, op8_url_filters, op9_quality_classifier, op10_byte_bpe, pipeline,
+        op7_line_dedup, op8_url_filters, op9_quality_classifier, op10_byte_bpe, op11_phrases, op12_nearest_vectors,
+        op13_hard_negatives, pipeline,
     )
     return {f.__name__: f for f in own}
 
 
 def statements() -> dict[str, str]:
-    return {"op8_url_filters": url_rules.oracle()}
+    return {
+        "op8_url_filters": url_rules.oracle(),
+        "op11_phrases": phrases.oracle(),
+        "op13_hard_negatives": hard_negatives.oracle(),
+    }
