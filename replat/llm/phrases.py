@@ -4,12 +4,15 @@ An occurrence relation holds (position, phrase) in the order of positions, where
 that one number says both the piece and the place in it. A relation is kept in blocks of some words, one stored
 row each. Occurrences of phrases of ``k`` words, merge-joined with themselves at adjacent positions, are the
 candidates of ``k + 1`` words; these are counted in groups over all blocks, and only occurrences of frequent
-groups go into the next length. What is shuffled are the distinct phrases of a block, not its occurrences.
+groups go into the next length. What is shuffled are the distinct phrases of a block, by ranges of their hash: a
+range's phrases of one block are one packed row, and so is what comes back to the block.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import pickle
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import count
@@ -28,13 +31,14 @@ from replat.llm.common import partitions, slices, staged
 class Mining:
     """``longest``: words of the longest phrases. ``support``: least occurrences of a candidate. ``absorb``: a
     candidate goes if a longer one around it has this share of its occurrences, in percent. ``top``: phrases
-    returned for each language. ``block_words``: words of a block."""
+    returned for each language. ``block_words``: words of a block. ``range_bytes``: text for each range of phrases."""
 
     longest: int = 5
     support: int = 100
     absorb: int = 100
     top: int = 2000
     block_words: int = 1_000_000
+    range_bytes: int = 1 << 24
 
 
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -54,22 +58,18 @@ def tokens(text: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
         at = end + 1
 
 
-def packed(positions: np.ndarray, phrases: np.ndarray, owned: int) -> bytes:
-    """A block of a relation. Occurrences from position ``owned`` on are there for those before, and counted in the next block."""
-    gaps = np.diff(positions, prepend=0).astype(np.int32)
-    body = gaps.tobytes() + phrases.astype(np.int32).tobytes()
-    return np.array([owned, len(gaps)], np.int64).tobytes() + zstandard.compress(body, 1)
+def packed(*values: object) -> bytes:
+    """Values in one string; whole numbers in as few bytes as they need."""
+    least = [v.astype(np.min_scalar_type(v.max(initial=0))) if isinstance(v, np.ndarray) else v for v in values]
+    return zstandard.compress(pickle.dumps(least, 5), 1)
 
 
-def unpacked(stored: bytes) -> tuple[np.ndarray, np.ndarray, int]:
-    owned, n = np.frombuffer(stored, np.int64, 2).tolist()
-    body = np.frombuffer(zstandard.decompress(stored[16:]), np.int32)
-    return np.cumsum(body[:n], dtype=np.int64), body[n:], owned
+def unpacked(stored: bytes) -> list:
+    return [v.astype(np.int64) if isinstance(v, np.ndarray) else v for v in pickle.loads(zstandard.decompress(stored))]
 
 
-def _lists(*columns: np.ndarray) -> list[pa.Array]:
-    """Each array as the one value of a list column."""
-    return [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns]
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 class Stream:
@@ -77,7 +77,7 @@ class Stream:
 
     def __init__(self, mining: Mining):
         self.mining, self.words = mining, defaultdict(count().__next__)
-        assert self.words[b""] == NOTHING and self.words[b"\n"] == GAP
+        assert (self.words[b""], self.words[b"\n"]) == (NOTHING, GAP)
         self.held: list[np.ndarray] = []
         self.size = 0
 
@@ -89,8 +89,11 @@ class Stream:
         self.held.append(np.array([GAP], np.int32))
         self.size += 1
 
-    def blocks(self, rest: bool = False) -> Iterator[tuple[list[bytes], np.ndarray, bytes]]:
-        """Words, their counts and the relation of each full block; with ``rest``, of what is left too."""
+    def blocks(self, rest: bool = False) -> Iterator[tuple[list[bytes], np.ndarray, bytes, int]]:
+        """Words, their counts, the relation and the size of each full block; with ``rest``, of what is left too.
+
+        Positions from ``owned`` on are there for phrases that start before, and counted in the next block.
+        """
         overlap = self.mining.longest - 1
         if self.size < self.mining.block_words + overlap and not rest:
             return
@@ -101,23 +104,40 @@ class Stream:
             at += owned
             positions = np.flatnonzero(block != GAP)
             own, local = np.unique(block[positions], return_inverse=True)
-            counts = np.bincount(local[positions < owned], minlength=len(own)).astype(np.int64)
+            counts = np.bincount(local[positions < owned], minlength=len(own))
             if len(own):
                 names = list(self.words)
-                yield [names[i] for i in own.tolist()], counts, packed(positions, local, owned)
+                yield [names[i] for i in own.tolist()], counts, packed(np.diff(positions, prepend=0), local, owned), int(counts.sum())
         self.held, self.size = [ids[at:].copy()], len(ids) - at
 
 
-def _words(mining: Mining) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: Rows that travel: a block's relation has no range, what a range found frequent has no block.
+ROW = "block long, range long, lang string, n long, body binary"
+ARROW = pa.schema([("block", pa.int64()), ("range", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("body", pa.binary())])
+
+
+def in_ranges(ranges: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(ranges, kind="stable")
+    cuts = np.flatnonzero(np.diff(ranges[order])) + 1
+    for some in np.split(order, cuts):
+        if len(some):
+            yield int(ranges[some[0]]), some
+
+
+def _words(mining: Mining, ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts -> blocks of single words: their relations, and their words by ranges."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         streams: dict[str, Stream] = {}
-        part, made = TaskContext.get().partitionId(), count()
+        made = count(TaskContext.get().partitionId() << 32)
 
         def out(lang: str, rest: bool) -> Iterator[pa.RecordBatch]:
-            for words, counts, stored in streams[lang].blocks(rest):
-                names = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words, pa.binary()))
-                columns = [pa.array([lang]), pa.array([f"{part}-{next(made)}"]), names, *_lists(counts), pa.array([stored], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "block", "words", "counts", "relation"])
+            for words, counts, relation, n in streams[lang].blocks(rest):
+                block = next(made)
+                rows: list[tuple] = [(block, None, lang, n, relation)]
+                for r, some in in_ranges(np.array([zlib.crc32(w) % ranges for w in words])):
+                    rows.append((block, r, lang, None, packed(some, counts[some], b" ".join([words[i] for i in some.tolist()]))))
+                yield batch_of(rows, ARROW)
 
         for batch in slices(batches, 500):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -129,25 +149,117 @@ def _words(mining: Mining) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of one length and their frequent phrases -> blocks of the next length, with its phrases and counts."""
-    for batch in slices(batches, 1):
-        frequent = batch.column("frequent").flatten()
-        places = frequent.field("place").to_numpy(zero_copy_only=False)
-        ids = frequent.field("id").to_numpy(zero_copy_only=False)
-        positions, phrases, owned = unpacked(batch.column("relation")[0].as_py())
-        known = np.full(max(int(phrases.max(initial=-1)), int(places.max(initial=-1))) + 1, -1, np.int64)
-        known[places] = np.arange(len(places))
-        phrases = known[phrases]
-        positions, phrases = positions[phrases >= 0], phrases[phrases >= 0]
-        # both sides of the merge join are this relation, in order: a partner is the next entry or none
-        first = np.flatnonzero(positions[1:] == positions[:-1] + 1)
-        pairs, local = np.unique(phrases[first] * max(1, len(ids)) + phrases[first + 1], return_inverse=True)
-        counts = np.bincount(local[positions[first] < owned], minlength=len(pairs)).astype(np.int64)
-        stored = packed(positions[first], local, owned)
-        made = _lists(ids[pairs // max(1, len(ids))], ids[pairs % max(1, len(ids))], counts)
-        columns = [batch.column("block"), *made, pa.array([stored], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "firsts", "rests", "counts", "relation"])
+def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, list[dict]]]:
+    """Consecutive rows with one value of ``by``. What a range or a block gets is bounded by its size."""
+    at, held = None, []
+    for batch in slices(batches, 256):
+        for row in batch.to_pylist():
+            if row[by] != at and held:
+                yield at, held
+                held = []
+            at = row[by]
+            held.append(row)
+    if held:
+        yield at, held
+
+
+def _grouped(firsts: np.ndarray, rests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each pair's group, and the first place of each group."""
+    order = np.lexsort((rests, firsts))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(firsts[order]) != 0) | (np.diff(rests[order]) != 0)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group, order[new]
+
+
+def _frequent(mining: Mining, ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Phrases of all blocks by range -> the frequent ones with new ids, and for each block its own of these."""
+
+    def of_words(rows: list[dict], r: int) -> tuple[list[np.ndarray], np.ndarray, bytes]:
+        parts = [(row["lang"], *unpacked(row["body"])) for row in rows]
+        total: Counter[tuple[str, bytes]] = Counter()
+        for lang, _, counts, words in parts:
+            for w, n in zip(words.split(b" "), counts.tolist(), strict=True):
+                total[lang, w] += n
+        kept = sorted(k for k, n in total.items() if n >= mining.support)
+        ids = {k: i * ranges + r for i, k in enumerate(kept)}
+        known = [np.array([ids.get((lang, w), -1) for w in words.split(b" ")], np.int64) for lang, _, _, words in parts]
+        return known, np.array([total[k] for k in kept], np.int64), [(lang, w) for lang, w in kept]
+
+    def of_pairs(rows: list[dict], r: int) -> tuple[list[np.ndarray], np.ndarray, tuple]:
+        parts = [unpacked(row["body"]) for row in rows]
+        _, counts, firsts, rests = (np.concatenate(c) for c in zip(*parts, strict=True))
+        group, lead = _grouped(firsts, rests)
+        f = np.bincount(group, weights=counts, minlength=len(lead)).astype(np.int64)
+        kept = np.flatnonzero(f >= mining.support)
+        ids = np.full(len(lead), -1, np.int64)
+        ids[kept] = np.arange(len(kept)) * ranges + r
+        ends = np.cumsum([len(p[0]) for p in parts])
+        return np.split(ids[group], ends[:-1]), f[kept], (firsts[lead[kept]], rests[lead[kept]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, rows in _runs(batches, "range"):
+            words = rows[0]["lang"] is not None
+            known, f, kept = (of_words if words else of_pairs)(rows, r)
+            ids = np.arange(len(f)) * ranges + r
+            out: list[tuple] = [(None, r, None, None, packed(ids, f, kept) if words else packed(ids, f, *kept))] if len(f) else []
+            for row, own in zip(rows, known, strict=True):
+                if (own >= 0).any():
+                    places = unpacked(row["body"])[0]
+                    out.append((row["block"], r, None, None, packed(places[own >= 0], own[own >= 0])))
+            if out:
+                yield batch_of(out, ARROW)
+
+    return run
+
+
+def _extended(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Blocks of one length and their frequent phrases -> blocks of the next length, and their phrases by ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _runs(batches, "block"):
+            relation = [row for row in rows if row["range"] is None]
+            answers = [unpacked(row["body"]) for row in rows if row["range"] is not None]
+            if not relation or not answers:
+                continue
+            gaps, phrases, owned = unpacked(relation[0]["body"])
+            places, ids = (np.concatenate(c) for c in zip(*answers, strict=True))
+            known = np.full(max(int(phrases.max(initial=0)), int(places.max(initial=0))) + 1, -1, np.int64)
+            known[places] = np.arange(len(places))
+            local = known[phrases]
+            positions, local = np.cumsum(gaps)[local >= 0], local[local >= 0]
+            # both sides of the merge join are this relation, in order: a partner is the next entry or none
+            first = np.flatnonzero(positions[1:] == positions[:-1] + 1)
+            pairs, made = np.unique(local[first] * len(ids) + local[first + 1], return_inverse=True)
+            if not len(pairs):
+                continue
+            counts = np.bincount(made[positions[first] < owned], minlength=len(pairs))
+            firsts, rests = ids[pairs // len(ids)], ids[pairs % len(ids)]
+            mixed = (firsts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rests.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+            out: list[tuple] = [(block, None, None, None, packed(np.diff(positions[first], prepend=0), made, owned))]
+            for r, some in in_ranges(((mixed >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)):
+                out.append((block, r, None, None, packed(some, counts[some], firsts[some], rests[some])))
+            yield batch_of(out, ARROW)
+
+    return run
+
+
+def _listed(words: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Frequent phrases as rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 16):
+            for body in batch.column("body").to_pylist():
+                ids, f, *kept = unpacked(body)
+                if words:
+                    langs, names = zip(*kept[0], strict=True)
+                    columns = [pa.array(ids), pa.array(f), pa.array(langs, pa.string()), pa.array(names, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "f", "lang", "word"])
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(f), *map(pa.array, kept)], ["id", "f", "first", "rest"])
+
+    return run
 
 
 def _exact(c: Column) -> Column:
@@ -169,38 +281,36 @@ def frequent_phrases(docs: DataFrame, mining: Mining, lang: str = "lang", text:
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    held = staged(texts.mapInArrow(_words(mining), "lang string, block string, words array<binary>, counts array<long>, relation binary"))
-    totals = held.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
-    enough = F.col("f") >= mining.support
-    word = held.select("lang", "block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "own"))
-    word = word.select("lang", "block", "place", F.col("own.words").alias("word"), F.col("own.counts").alias("n"))
-    counted = word.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(enough)
-    none = F.array().cast("array<long>")
-    level = staged(counted.select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.col("word").cast("string").alias("phrase"),
-        F.col("word").cast("string").alias("last"), "f", none.alias("lefts"), none.alias("rights"), "word",
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(partitions(docs.sparkSession), -(-size // mining.range_bytes))
+    held = staged(texts.mapInArrow(_words(mining, ranges), ROW))
+    totals = held.filter("range is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    levels: list[DataFrame] = []
+    while True:
+        asked = held.filter("range is not null").repartition("range").sortWithinPartitions("range")
+        told = staged(asked.mapInArrow(_frequent(mining, ranges), ROW))
+        levels.append(_level(told.filter("block is null"), levels))
+        if len(levels) == mining.longest:
+            return levels, totals
+        both = held.filter("range is null").unionByName(told.filter("block is not null"))
+        held = staged(both.repartition("block").sortWithinPartitions("block").mapInArrow(_extended(ranges), ROW))
+
+
+def _level(told: DataFrame, shorter: list[DataFrame]) -> DataFrame:
+    """The frequent phrases of the next length, from those one word shorter."""
+    if not shorter:
+        words = told.mapInArrow(_listed(True), "id long, f long, lang string, word binary")
+        word, none = F.col("word").cast("string"), F.array().cast("array<long>")
+        return staged(words.select("id", "lang", word.alias("phrase"), word.alias("last"), "f", none.alias("lefts"), none.alias("rights")))
+    pairs = told.mapInArrow(_listed(False), "id long, f long, first long, rest long")
+    both = pairs.join(_by_id(shorter[-1], "first"), F.col("first") == F.col("first_id")).join(
+        _by_id(shorter[-1], "rest"), F.col("rest") == F.col("rest_id")
+    )
+    return staged(both.select(
+        "id", F.col("first_lang").alias("lang"), F.concat_ws(" ", "first_phrase", "rest_last").alias("phrase"),
+        F.col("rest_last").alias("last"), "f", F.concat("first_lefts", F.array("first_f")).alias("lefts"),
+        F.concat(F.array("rest_f"), "rest_rights").alias("rights"), "first", "rest",
     ))
-    levels = [level.drop("word")]
-    found = word.join(level.select("lang", "word", "id"), ["lang", "word"])
-    for _ in range(1, mining.longest):
-        frequent = found.groupBy("block").agg(F.collect_list(F.struct("place", "id")).alias("frequent"))
-        rows = held.select("block", "relation").join(frequent, "block")
-        held = staged(rows.mapInArrow(_extended, "block string, firsts array<long>, rests array<long>, counts array<long>, relation binary"))
-        pair = held.select("block", F.posexplode(F.arrays_zip("firsts", "rests", "counts")).alias("place", "pair"))
-        pair = pair.select("block", "place", F.col("pair.firsts").alias("first"), F.col("pair.rests").alias("rest"), F.col("pair.counts").alias("n"))
-        counted = pair.groupBy("first", "rest").agg(F.sum("n").alias("f")).filter(enough)
-        both = counted.join(_by_id(levels[-1], "first"), F.col("first") == F.col("first_id")).join(
-            _by_id(levels[-1], "rest"), F.col("rest") == F.col("rest_id")
-        )
-        level = staged(both.select(
-            F.monotonically_increasing_id().alias("id"), F.col("first_lang").alias("lang"),
-            F.concat_ws(" ", "first_phrase", "rest_last").alias("phrase"), F.col("rest_last").alias("last"), "f",
-            F.concat("first_lefts", F.array("first_f")).alias("lefts"), F.concat(F.array("rest_f"), "rest_rights").alias("rights"),
-            "first", "rest",
-        ))
-        levels.append(level)
-        found = pair.join(level.select("first", "rest", "id"), ["first", "rest"])
-    return levels, totals
 
 
 def collocations(docs: DataFrame, mining: Mining | None = None, lang: str = "lang", text: str = "text") -> DataFrame:
