@@ -58,10 +58,15 @@ def tokens(text: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
         at = end + 1
 
 
+def gaps(ascending: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, which take fewer bytes; ``np.cumsum`` has the numbers again."""
+    return np.diff(ascending, prepend=0)
+
+
 def packed(*values: object) -> bytes:
     """Values in one string; whole numbers in as few bytes as they need."""
     least = [v.astype(np.min_scalar_type(v.max(initial=0))) if isinstance(v, np.ndarray) else v for v in values]
-    return zstandard.compress(pickle.dumps(least, 5), 1)
+    return zstandard.compress(pickle.dumps(least, 5), 6)
 
 
 def unpacked(stored: bytes) -> list:
@@ -107,7 +112,7 @@ class Stream:
             counts = np.bincount(local[positions < owned], minlength=len(own))
             if len(own):
                 names = list(self.words)
-                yield [names[i] for i in own.tolist()], counts, packed(np.diff(positions, prepend=0), local, owned), int(counts.sum())
+                yield [names[i] for i in own.tolist()], counts, packed(gaps(positions), local, owned), int(counts.sum())
         self.held, self.size = [ids[at:].copy()], len(ids) - at
 
 
@@ -136,7 +141,7 @@ def _words(mining: Mining, ranges: int) -> Callable[[Iterator[pa.RecordBatch]],
                 block = next(made)
                 rows: list[tuple] = [(block, None, lang, n, relation)]
                 for r, some in in_ranges(np.array([zlib.crc32(w) % ranges for w in words])):
-                    rows.append((block, r, lang, None, packed(some, counts[some], b" ".join([words[i] for i in some.tolist()]))))
+                    rows.append((block, r, lang, None, packed(gaps(some), counts[some], b" ".join([words[i] for i in some.tolist()]))))
                 yield batch_of(rows, ARROW)
 
         for batch in slices(batches, 500):
@@ -189,7 +194,8 @@ def _frequent(mining: Mining, ranges: int) -> Callable[[Iterator[pa.RecordBatch]
 
     def of_pairs(rows: list[dict], r: int) -> tuple[list[np.ndarray], np.ndarray, tuple]:
         parts = [unpacked(row["body"]) for row in rows]
-        _, counts, firsts, rests = (np.concatenate(c) for c in zip(*parts, strict=True))
+        counts, rests = (np.concatenate([p[i] for p in parts]) for i in (1, 3))
+        firsts = np.concatenate([np.cumsum(p[2]) for p in parts])
         group, lead = _grouped(firsts, rests)
         f = np.bincount(group, weights=counts, minlength=len(lead)).astype(np.int64)
         kept = np.flatnonzero(f >= mining.support)
@@ -206,8 +212,8 @@ def _frequent(mining: Mining, ranges: int) -> Callable[[Iterator[pa.RecordBatch]
             out: list[tuple] = [(None, r, None, None, packed(ids, f, kept) if words else packed(ids, f, *kept))] if len(f) else []
             for row, own in zip(rows, known, strict=True):
                 if (own >= 0).any():
-                    places = unpacked(row["body"])[0]
-                    out.append((row["block"], r, None, None, packed(places[own >= 0], own[own >= 0])))
+                    places = np.cumsum(unpacked(row["body"])[0])
+                    out.append((row["block"], r, None, None, packed(gaps(places[own >= 0]), own[own >= 0])))
             if out:
                 yield batch_of(out, ARROW)
 
@@ -223,12 +229,14 @@ def _extended(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             answers = [unpacked(row["body"]) for row in rows if row["range"] is not None]
             if not relation or not answers:
                 continue
-            gaps, phrases, owned = unpacked(relation[0]["body"])
-            places, ids = (np.concatenate(c) for c in zip(*answers, strict=True))
+            between, phrases, owned = unpacked(relation[0]["body"])
+            places, ids = np.concatenate([np.cumsum(steps) for steps, _ in answers]), np.concatenate([own for _, own in answers])
+            by_id = np.argsort(ids, kind="stable")
+            places, ids = places[by_id], ids[by_id]
             known = np.full(max(int(phrases.max(initial=0)), int(places.max(initial=0))) + 1, -1, np.int64)
             known[places] = np.arange(len(places))
             local = known[phrases]
-            positions, local = np.cumsum(gaps)[local >= 0], local[local >= 0]
+            positions, local = np.cumsum(between)[local >= 0], local[local >= 0]
             # both sides of the merge join are this relation, in order: a partner is the next entry or none
             first = np.flatnonzero(positions[1:] == positions[:-1] + 1)
             pairs, made = np.unique(local[first] * len(ids) + local[first + 1], return_inverse=True)
@@ -237,9 +245,9 @@ def _extended(ranges: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             counts = np.bincount(made[positions[first] < owned], minlength=len(pairs))
             firsts, rests = ids[pairs // len(ids)], ids[pairs % len(ids)]
             mixed = (firsts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + rests.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-            out: list[tuple] = [(block, None, None, None, packed(np.diff(positions[first], prepend=0), made, owned))]
+            out: list[tuple] = [(block, None, None, None, packed(gaps(positions[first]), made, owned))]
             for r, some in in_ranges(((mixed >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)):
-                out.append((block, r, None, None, packed(some, counts[some], firsts[some], rests[some])))
+                out.append((block, r, None, None, packed(gaps(some), counts[some], gaps(firsts[some]), rests[some])))
             yield batch_of(out, ARROW)
 
     return run
