@@ -17,7 +17,7 @@ from replat.operators import cases, counts, extraction, parcels, prompts, qualit
 from replat.plans import adapters
 from replat.plans.oracles import MODEL
 from replat.sinks import tables
-from replat.sources import cache, perimeter, snapshots, validation
+from replat.sources import cache, documents, perimeter, snapshots, validation
 
 Query = Callable[[SparkSession, str], DataFrame]
 STAMP = "2026-01-01T00:00:00+00:00"
@@ -241,15 +241,53 @@ def _customer_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
     body = F.to_json(F.transform("rows", lambda r: r["feature"]), {"ignoreNullFields": "false"})
     schema = "array<struct<attributes:variant,geometry:variant>>"
-    return grouped.select("page_no", F.lit("pages").alias("file"), F.from_json(body, schema).alias("features"))
+    return grouped.select(_page_name(F.col("page_no")).alias("file"), F.from_json(body, schema).alias("features"))
+
+
+def _page_name(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 12, "0")
 
 
 def _page_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    kept, _ = snapshots.drop_without_geometry(snapshots.flatten_pages(_customer_pages(spark, sf)))
+    pages = _customer_pages(spark, sf)
+    kept, _ = snapshots.drop_without_geometry(snapshots.flatten_pages(pages, snapshots.in_order(pages)))
     rows = snapshots.typed(kept, {"NAME": "string", "SEGMENT": "string"})
     return rows.select("seq", "name", "segment", F.col("geometry.x").alias("x"))
 
 
+def _customer_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as snapshot documents of at most 1,000 records, with braces, quotes and the array's own name in
+    strings, records below records, and an array of that name elsewhere."""
+    k = F.col("c_custkey")
+    odd = F.when(k % 3 == 0, F.lit('}, {"records": [')).when(k % 3 == 1, F.lit('\\" ]} \\\\')).otherwise(F.lit("[{\n\t"))
+    record = F.struct(k.alias("ID"), F.concat("c_name", odd).alias("NAME"), F.array(F.struct(F.array(k, -k).alias("records"))).alias("PARTS"))
+    grouped = (
+        spark.read.parquet(f"{sf}/customer.parquet")
+        .groupBy(F.floor(k / 1000).alias("page_no"))
+        .agg(F.sort_array(F.collect_list(F.struct("c_custkey", record.alias("record")))).alias("rows"))
+    )
+    listed = F.to_json(F.transform("rows", lambda r: r["record"]), {"pretty": "true"})
+    head = F.concat(F.lit('{"source": "s}{\\"", "note": {"records": [{}, 1]}, "fetched_at": "t'), F.col("page_no"), F.lit('", "records" :\n '))
+    text = F.concat(head, listed, F.lit(', "more": {"records": [1, {"a": "]"}]}}'))
+    return grouped.select(_page_name(F.col("page_no")).alias("file"), text.alias("text"))
+
+
+def _snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
+    files = _customer_documents(spark, sf)
+    rows = snapshots.snapshot_rows(documents.text_lines(files), snapshots.in_order(files))
+    fields = {"id": ("ID", "bigint"), "name": ("NAME", "string"), "part": ("PARTS[0].records[1]", "bigint")}
+    return rows.select("source", "fetched_at", "seq", *[F.variant_get("attributes", f"$.{n}", t).alias(c) for c, (n, t) in fields.items()])
+
+
+def _latest_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as versions of customers' tables: which version counts for each table."""
+    listed = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.col("o_custkey").alias("table"), F.col("o_orderkey").cast("bigint").alias("version"),
+        F.col("o_orderdate").cast("date").cast("string").alias("snapshot_date"), F.concat(F.lit("a"), "o_orderkey").alias("attempt"),
+    )
+    return tables.newest(listed, "table")
+
+
 def _contract_problems(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records that break the contracts of cases and regions here and there."""
     k = F.col("c_custkey")
@@ -529,6 +567,8 @@ def registered() -> dict[str, Query]:
         "contract_problems": _contract_problems,
         "source_filters": _frames(_source_filters),
         "page_flatten": _page_flatten,
+        "snapshot_rows": _snapshot_rows,
+        "latest_version": _latest_version,
         "record_problems": _record_problems,
         "freshness": _freshness,
         "document_flags": _document_flags,

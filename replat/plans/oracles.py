@@ -594,6 +594,14 @@ where 2 * r.x1 >= e.xmin and 2 * r.x0 <= e.xmax and 2 * r.y1 >= e.ymin and 2 * r
  select c_custkey, c_name as name, c_mktsegment as segment, c_acctbal as x,
   dense_rank() over (order by c_custkey // 1000) as place,
   row_number() over (partition by c_custkey // 1000 order by c_custkey) as pos from customer) where c_custkey % 37 <> 0""",
+        "snapshot_rows": """select 's}{"' as source, 't' || cast(c_custkey // 1000 as varchar) as fetched_at,
+ (dense_rank() over (order by c_custkey // 1000) - 1) * 4294967296
+  + row_number() over (partition by c_custkey // 1000 order by c_custkey) - 1 as seq, c_custkey as id,
+ c_name || case c_custkey % 3 when 0 then '}, {"records": [' when 1 then '\\" ]} \\\\' else '[{' || chr(10) || chr(9) end as name,
+ -c_custkey as part from customer""",
+        "latest_version": """select o_custkey as "table", strftime(o_orderdate, '%Y-%m-%d') as snapshot_date, o_orderkey as version,
+ 'a' || cast(o_orderkey as varchar) as attempt from orders
+qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1""",
         "record_problems": """select c_custkey as seq, 'AIN_1' as field,
   case c_custkey % 41 when 0 then 'missing' when 1 then 'mistyped' when 2 then 'empty' end as problem
 from customer where c_custkey % 41 in (0, 1, 2)

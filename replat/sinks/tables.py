@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from replat import config
@@ -94,8 +99,9 @@ def report_head(checks: DataFrame, totals: DataFrame, generated_at: str) -> Data
 # ---------------------------------------------------------------- versions
 #
 # A table is a folder of attempts, ``snapshot_date=D/attempt=A``. An attempt is written once into a folder of its
-# own and never again, so whatever still reads an older one keeps it. ``_versions`` lists the attempts that
-# count, in order, one appended row each; readers look there and open one folder.
+# own and never again, so whatever still reads an older one keeps it. ``_versions`` has a file for each attempt that
+# counts, named by its number. A writer takes the next number by putting that file where none is; if another
+# writer was there first, it takes the one after. So numbers are unique, and no attempt is lost.
 
 _VERSION = "version bigint, snapshot_date string, attempt string"
 
@@ -114,11 +120,61 @@ def versions(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], _VERSION)
 
 
-def record_version(spark: SparkSession, path: str, snapshot_date: str, attempt: str) -> None:
-    """Make a written attempt the newest of its table: one appended row."""
-    last = versions(spark, path).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-    row = spark.createDataFrame([(last + 1, snapshot_date, attempt)], _VERSION)
-    row.coalesce(1).write.mode("append").json(f"{path}/_versions")
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a whole file where none is; False if there is one. Of several writers exactly one gets True.
+
+    The text is written beside it first, under a name that readers skip, and linked or renamed into place in one step.
+    The rename must fail where the target exists, as it does on HDFS; on a local disk a link does that.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"._{uuid.uuid4().hex}")
+    out = files.create(aside, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if files.getScheme() == "file":
+            os.link(aside.toUri().getPath(), target.toUri().getPath())
+        else:
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri()).rename(aside, target, options)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.toString():
+            raise
+        return False
+    finally:
+        files.delete(aside, False)
+    return True
+
+
+def record_version(spark: SparkSession, path: str, snapshot_date: str, attempt: str) -> int:
+    """Make a written attempt the newest of its table; its version, which no other attempt has.
+
+    A lost race costs one more try, at the number after, so every try follows another writer's success.
+    """
+    version = 1 + versions(spark, path).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    while not put_if_absent(
+        spark, f"{path}/_versions/{version:020d}.json",
+        json.dumps({"version": version, "snapshot_date": snapshot_date, "attempt": attempt}) + "\n",
+    ):
+        version += 1
+    return version
+
+
+def newest(listed: DataFrame, *keys: str) -> DataFrame:
+    """The version that counts, of each table (``keys``) among listed ones: of the newest date, the last."""
+    last = F.max(F.struct("snapshot_date", "version", "attempt")).alias("last")
+    return listed.groupBy(*keys).agg(last).filter(F.col("last").isNotNull()).select(*keys, "last.*")
+
+
+def _read(spark: SparkSession, path: str, row: Row | None, wanted: str) -> DataFrame:
+    if row is None:
+        raise FileNotFoundError(f"no version of {path}{wanted}")
+    folder = attempt_path(path, row["snapshot_date"], row["attempt"])
+    return spark.read.option("basePath", path).parquet(folder)
 
 
 def latest(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:
@@ -126,8 +182,9 @@ def latest(spark: SparkSession, path: str, snapshot_date: str | None = None) ->
     listed = versions(spark, path)
     if snapshot_date is not None:
         listed = listed.filter(F.col("snapshot_date") == snapshot_date)
-    newest = listed.orderBy(F.desc("snapshot_date"), F.desc("version")).first()
-    if newest is None:
-        raise FileNotFoundError(f"no version of {path}" + (f" for {snapshot_date}" if snapshot_date else ""))
-    folder = attempt_path(path, newest["snapshot_date"], newest["attempt"])
-    return spark.read.option("basePath", path).parquet(folder)
+    return _read(spark, path, newest(listed).first(), f" for {snapshot_date}" if snapshot_date else "")
+
+
+def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
+    """The attempt with one version number, whatever came after it."""
+    return _read(spark, path, versions(spark, path).filter(F.col("version") == version).first(), f" {version}")

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from replat.functions.geometry import GEOMETRY_TYPE
 from replat.sinks import tables
+from replat.sources import documents
 
-_ENVELOPE = "source string, fetched_at string, record_count bigint, records array<variant>"
+_ENVELOPE = "source string, fetched_at string"
 _PAGE = "features array<struct<attributes:variant,geometry:variant>>"
 
 # Fixed field names of the published layers, with the types the operators read.
@@ -38,12 +39,20 @@ BLOCK_GROUP_FIELDS = {"BG20": "string", "CT20": "string", "LABEL": "string"}
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """(source, fetched_at, seq, attributes, geometry) from snapshot files with a ``records`` array.
 
-    ``seq`` is the order of file and record: the order that decides ties everywhere.
+    A file is read by as many tasks as it has splits; see :mod:`replat.sources.documents`. ``seq`` is the order of file
+    and record: the order that decides ties everywhere. A file without the array has no rows; a record that is not
+    JSON stops the run.
     """
-    raw = spark.read.option("multiLine", True).schema(_ENVELOPE).json(path)
-    raw = raw.select("source", "fetched_at", F.col("_metadata.file_path").alias("file"), "records")
-    rows = with_file_order(raw, ["file"]).select("source", "fetched_at", "place", F.posexplode("records").alias("pos", "attributes"))
-    return rows.select(
+    return snapshot_rows(documents.split_lines(spark, path), file_places(spark, path))
+
+
+def snapshot_rows(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """The records of documents given as lines; ``places`` has (file, place)."""
+    found = documents.elements(lines, "records")
+    head = F.from_json("text", _ENVELOPE)
+    outside = found.filter("pos < 0").select("file", head["source"].alias("source"), head["fetched_at"].alias("fetched_at"))
+    records = found.filter("pos >= 0").select("file", "pos", F.parse_json("text").alias("attributes"))
+    return records.join(outside, "file").join(places, "file").select(
         "source",
         "fetched_at",
         _sequence(F.col("place"), F.col("pos")),
@@ -52,12 +61,18 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def with_file_order(files: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``place``: 0, 1, … in the order of ``by``, over one narrow row for each file."""
-    place = (F.row_number().over(Window.orderBy(*by)) - 1).alias("place")
-    order = files.select(*by).distinct().select(*[F.col(c).alias(f"_{c}") for c in by], place)
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-    return files.join(order, same).select(*files.columns, "place")
+def file_places(spark: SparkSession, path: str) -> DataFrame:
+    """(file, place): the files of a path in the order of the number in their name, then of the path, counted from 0.
+
+    It comes from the listing; no file is opened.
+    """
+    listed = spark.read.format("binaryFile").load(path)
+    return in_order(listed.select(F.col("_metadata.file_path").alias("file")), page_number(F.col("_metadata.file_name")))
+
+
+def in_order(files: DataFrame, *before: Column) -> DataFrame:
+    order = Window.orderBy(*before, "file")
+    return files.select("file", (F.row_number().over(order) - 1).alias("place"))
 
 
 def _sequence(place: Column, pos: Column) -> Column:
@@ -68,19 +83,10 @@ def _sequence(place: Column, pos: Column) -> Column:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Feature pages, one JSON file each, in the order of the number in the file name, then of the path.
 
-    Pages are parsed in parallel, one task per file. ``seq`` is (place of the file, position in it).
+    Pages are small and parsed in parallel, one task per file. ``seq`` is (place of the file, position in it).
     """
-    raw = (
-        spark.read.option("multiLine", True)
-        .schema(_PAGE)
-        .json(path)
-        .select(
-            page_number(F.col("_metadata.file_name")).alias("page_no"),
-            F.col("_metadata.file_path").alias("file"),
-            "features",
-        )
-    )
-    return flatten_pages(raw)
+    raw = spark.read.option("multiLine", True).schema(_PAGE).json(path)
+    return flatten_pages(raw.select(F.col("_metadata.file_path").alias("file"), "features"), file_places(spark, path))
 
 
 def page_number(name: Column) -> Column:
@@ -88,9 +94,9 @@ def page_number(name: Column) -> Column:
     return F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")
 
 
-def flatten_pages(pages: DataFrame) -> DataFrame:
-    """One row per feature of a (page_no, file, features) table; geometry may still be absent."""
-    rows = with_file_order(pages, ["page_no", "file"]).select("place", F.posexplode("features").alias("pos", "feature"))
+def flatten_pages(pages: DataFrame, places: DataFrame) -> DataFrame:
+    """One row per feature of a (file, features) table; geometry may still be absent. ``places`` has (file, place)."""
+    rows = pages.join(places, "file").select("place", F.posexplode("features").alias("pos", "feature"))
     return rows.select(
         _sequence(F.col("place"), F.col("pos")),
         F.col("feature.attributes").alias("attributes"),

@@ -4,16 +4,20 @@ import csv
 import dataclasses
 import json
 import pathlib
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from builders import EVENT
+from pyspark.sql import functions as F
 
 from replat import config
 from replat.config import DEFAULT_RULES
 from replat.operators import extraction, quality
 from replat.plans import rebuild
 from replat.sinks import tables
-from replat.sources import cache, snapshots, validation
+from replat.sources import cache, documents, snapshots, validation
 from replat.streaming import intake
 
 RULES = dataclasses.replace(
@@ -57,6 +61,84 @@ def test_snapshot_keeps_order_and_types(spark, tmp_path):
     assert out[3]["geometry"]["rings"][0][0] == [2.9, 2.9]
 
 
+NASTY = [
+    {"AIN_1": "a{b}c[", "x": {"records": [{"y": [1, {"z": "}]"}]}, 2]}}, {"AIN_1": 'q"\\"}, {"records": ['}, {},
+    {"AIN_1": "\\", "e": ["\\\\", "\\\\\"", "]"], "records": [{"records": []}]}, {"AIN_1": "é}😀{\u2028\n"}, {"AIN_1": None},
+]
+
+
+def envelope(records, indent):
+    around = {"source": 's}"{', "first": {"records": [{"no": 1}, 2]}, "records": records, "more": {"records": [3, {"no": 4}]}, "fetched_at": "t]"}
+    return json.dumps(around, indent=indent, ensure_ascii=indent is None)
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_records_are_found_wherever_a_document_is_cut(spark, indent):
+    """A chunk can end after any closing brace, in a string or not; here all lengths from one byte on are tried."""
+    text = envelope(NASTY, indent)
+    for records in (NASTY, []):
+        body = envelope(records, indent)
+        lines = [("f", 0, x) for x in body.split("}")]
+        for size in (1, 7, 40, 100_000):
+            found = {}
+            reports, places = [], []
+            for file, start, no, chunk in documents.chunks(iter([pa.RecordBatch.from_pylist([dict(zip(("file", "start", "value"), x, strict=True)) for x in lines])]), size):
+                raw = np.frombuffer(chunk.encode(), np.uint8)
+                quotes = documents.unescaped_quotes(raw)
+                both = [documents.report(documents.scanned(raw, quotes, i), chunk.encode(), quotes, i, "records") for i in (False, True)]
+                sides = [{**b, "commas": dict(b["commas"])} for b in both]
+                reports.append((file, start, no, int(quotes.sum()), *sides))
+                places.append(chunk)
+            known = documents.starts(spark.createDataFrame(reports, documents._REPORT)).orderBy("start", "no").collect()
+            for row, chunk in zip(known, places, strict=True):
+                for pos, part, piece in documents.cut(chunk, row["in_string"], row["depth"], row["phase"], row["first"], "records"):
+                    found.setdefault(pos, []).append((row["no"], part, piece))
+            whole = {pos: "".join(x[-1] for x in sorted(parts)).strip() for pos, parts in found.items()}
+            assert [json.loads(whole[i]) for i in range(len(records))] == records, (size, indent)
+            assert sorted(p for p, t in whole.items() if t) == [-1, *range(len(records))]
+            assert json.JSONDecoder().raw_decode(whole[-1])[0] == {**json.loads(text), "records": []}
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_one_file_is_read_by_several_tasks(spark, tmp_path, indent):
+    rows = [{**r, "n": i} for i in range(4) for r in NASTY]
+    (tmp_path / "s-2.json").write_text(envelope(rows, indent) + "\n")
+    (tmp_path / "s-10.json").write_text(envelope(NASTY, indent))
+    (tmp_path / "s-11.json").write_text(envelope([], indent))
+    (tmp_path / "s-12.json").write_text("{not json")
+    wanted = [(i, r) for i, r in enumerate(rows)] + [((1 << 32) + i, r) for i, r in enumerate(NASTY)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (13, 64, 1000, 1 << 20):
+            for k in before:
+                spark.conf.set(k, str(size) if "max" in k else "0")
+            lines = documents.split_lines(spark, str(tmp_path / "s-2.json"))
+            assert lines.select("start").distinct().count() >= min(20, 2000 // size)
+            out = snapshots.read_snapshot(spark, str(tmp_path)).select("source", "fetched_at", "seq", F.to_json("attributes").alias("a")).collect()
+            assert sorted((r["seq"], json.loads(r["a"])) for r in out) == wanted
+            assert {(r["source"], r["fetched_at"]) for r in out} == {('s}"{', "t]")}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_two_writers_of_one_version_both_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for name in ("a", "b"):
+        spark.range(3 if name == "a" else 5).write.parquet(tables.attempt_path(path, "2025-01-01", name))
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: tables.record_version(spark, path, "2025-01-01", "ab"[i % 2]), range(16)))
+    assert sorted(made) == list(range(1, 17))
+    listed = {r["version"]: r["attempt"] for r in tables.versions(spark, path).collect()}
+    assert listed == {v: "ab"[i % 2] for i, v in enumerate(made)}
+    assert {tables.read_version(spark, path, v).count() for v in made} == {3, 5}
+    assert tables.latest(spark, path).count() == {"a": 3, "b": 5}[listed[16]]
+    assert not tables.put_if_absent(spark, f"{path}/_versions/{16:020d}.json", "x")
+    assert not [p.name for p in (tmp_path / "t" / "_versions").iterdir() if p.name.startswith(".")]
+    with pytest.raises(FileNotFoundError):
+        tables.read_version(spark, path, 99)
+
+
 def page(path, number, features):
     (path / f"page-{number}.json").write_text(json.dumps({"features": features, "exceededTransferLimit": True}))
 
