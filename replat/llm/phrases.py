@@ -64,13 +64,21 @@ def gaps(ascending: np.ndarray) -> np.ndarray:
 
 
 def packed(*values: object) -> bytes:
-    """Values in one string; whole numbers in as few bytes as they need."""
-    least = [v.astype(np.min_scalar_type(v.max(initial=0))) if isinstance(v, np.ndarray) else v for v in values]
-    return zstandard.compress(pickle.dumps(least, 5), 6)
+    """Values in one string; whole numbers in as few bytes as they need, first bytes first, as these are alike."""
+
+    def planes(v: np.ndarray) -> tuple[str, bytes]:
+        least = v.astype(np.min_scalar_type(v.max(initial=0)))
+        return least.dtype.str, least.view(np.uint8).reshape(len(v), -1).T.tobytes()
+
+    return zstandard.compress(pickle.dumps([planes(v) if isinstance(v, np.ndarray) else v for v in values], 5), 3)
 
 
 def unpacked(stored: bytes) -> list:
-    return [v.astype(np.int64) if isinstance(v, np.ndarray) else v for v in pickle.loads(zstandard.decompress(stored))]
+    def whole(kind: str, held: bytes) -> np.ndarray:
+        width = np.dtype(kind).itemsize
+        return np.frombuffer(held, np.uint8).reshape(width, -1).T.copy().view(kind).ravel().astype(np.int64)
+
+    return [whole(*v) if isinstance(v, tuple) else v for v in pickle.loads(zstandard.decompress(stored))]
 
 
 def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -110,6 +118,11 @@ class Stream:
             positions = np.flatnonzero(block != GAP)
             own, local = np.unique(block[positions], return_inverse=True)
             counts = np.bincount(local[positions < owned], minlength=len(own))
+            # frequent words get small numbers, which pack better
+            order = np.argsort(-counts, kind="stable")
+            place = np.empty(len(own), np.int64)
+            place[order] = np.arange(len(own))
+            own, counts, local = own[order], counts[order], place[local]
             if len(own):
                 names = list(self.words)
                 yield [names[i] for i in own.tolist()], counts, packed(gaps(positions), local, owned), int(counts.sum())
