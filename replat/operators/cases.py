@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from replat import config
 from replat.config import DEFAULT_RULES, Rules
 from replat.functions import text
+from replat.functions.ordering import first_of_largest
 from replat.functions.scalars import column_or_null
 
 POST_FIELDS = tuple(f"{t}_{m}" for t in config.DWELLING_TYPES for m in ("count", "sqft"))
@@ -78,11 +79,12 @@ def case_facts(cases: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def case_rollup(facts: DataFrame) -> DataFrame:
     """One row per parcel key: every ordered pick and flag in a single aggregation."""
     event = F.col("is_event")
-    # First row wins on equal order values, hence the negated position.
-    by_progress = F.struct(F.coalesce(F.col("progress"), F.lit(0.0)), -F.col("seq"))
-    by_date = F.struct(F.coalesce(F.col("apply_date"), F.lit(0.0)), -F.col("seq"))
+    # One number says value and position, so that every pick is a maximum of fixed width: such aggregates
+    # are hashed, while picks by a struct would sort all rows by parcel first.
+    by_progress = first_of_largest(F.coalesce(F.col("progress"), F.lit(0.0)), F.col("seq"))
+    by_date = first_of_largest(F.coalesce(F.col("apply_date"), F.lit(0.0)), F.col("seq"))
+    primary = F.when(event & F.col("is_primary"), by_progress)
     signal = F.coalesce(F.col("desc_signal"), F.col("name_signal"))
-    post = F.struct(*[F.col(f"parsed.{f}").alias(f) for f in POST_FIELDS])
     has_units = F.col("is_permit") & F.col("adds_units")
     parse_probe = event & F.col("is_permit") & F.col("has_text")
     area_probe = F.col("is_permit") & F.col("names_sfr_area")
@@ -94,11 +96,11 @@ def case_rollup(facts: DataFrame) -> DataFrame:
     def tally(condition: Column) -> Column:
         return F.count_if(condition).cast("bigint")
 
-    return facts.groupBy("main_ain").agg(
+    rolled = facts.groupBy("main_ain").agg(
         F.count(F.lit(1)).alias("case_count"),
         F.max(F.when(event, F.col("progress").try_cast("bigint"))).alias("max_progress"),
-        F.max_by(post, F.when(event & F.col("is_primary"), by_progress)).alias("post"),
-        F.max_by(F.col("seq"), F.when(event & F.col("is_primary"), by_progress)).alias("primary_seq"),
+        *[F.max_by(F.col(f"parsed.{f}"), primary).alias(f"_{f}") for f in POST_FIELDS],
+        F.max_by(F.col("seq"), primary).alias("primary_seq"),
         F.max_by(signal, F.when(event & signal.isNotNull(), by_date)).alias("claim"),
         (any_signal(True) & any_signal(False)).alias("claim_conflict"),
         F.bool_or(event & F.col("mentions_pathway")).alias("mentions_pathway"),
@@ -113,3 +115,5 @@ def case_rollup(facts: DataFrame) -> DataFrame:
         tally(area_probe).alias("area_candidates"),
         tally(area_probe & F.col("parsed.any_sfr_area")).alias("area_hits"),
     )
+    post = F.when(F.col("primary_seq").isNotNull(), F.struct(*[F.col(f"_{f}").alias(f) for f in POST_FIELDS]))
+    return rolled.withColumn("post", post).drop(*[f"_{f}" for f in POST_FIELDS])
