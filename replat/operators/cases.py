@@ -83,8 +83,13 @@ def case_rollup(facts: DataFrame) -> DataFrame:
     # are hashed, while picks by a struct would sort all rows by parcel first.
     by_progress = first_of_largest(F.coalesce(F.col("progress"), F.lit(0.0)), F.col("seq"))
     by_date = first_of_largest(F.coalesce(F.col("apply_date"), F.lit(0.0)), F.col("seq"))
-    primary = F.when(event & F.col("is_primary"), by_progress)
     signal = F.coalesce(F.col("desc_signal"), F.col("name_signal"))
+    # columns of their own, so that each is computed once for all picks that go by it
+    facts = facts.withColumns({
+        "_primary": F.when(event & F.col("is_primary"), by_progress),
+        "_claim": F.when(event & signal.isNotNull(), by_date),
+    })
+    primary = F.col("_primary")
     has_units = F.col("is_permit") & F.col("adds_units")
     parse_probe = event & F.col("is_permit") & F.col("has_text")
     area_probe = F.col("is_permit") & F.col("names_sfr_area")
@@ -101,7 +106,7 @@ def case_rollup(facts: DataFrame) -> DataFrame:
         F.max(F.when(event, F.col("progress").try_cast("bigint"))).alias("max_progress"),
         *[F.max_by(F.col(f"parsed.{f}"), primary).alias(f"_{f}") for f in POST_FIELDS],
         F.max_by(F.col("seq"), primary).alias("primary_seq"),
-        F.max_by(signal, F.when(event & signal.isNotNull(), by_date)).alias("claim"),
+        F.max_by(signal, F.col("_claim")).alias("claim"),
         (any_signal(True) & any_signal(False)).alias("claim_conflict"),
         F.bool_or(event & F.col("mentions_pathway")).alias("mentions_pathway"),
         F.bool_or(event & F.col("is_qualifying")).alias("has_qualifying"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from replat.config import DEFAULT_RULES, Rules
@@ -143,27 +143,17 @@ def _ratio(hits: Column, total: Column) -> Column:
     return F.coalesce(hits.cast("double") / F.nullif(total, F.lit(0)).cast("double"), F.lit(1.0))
 
 
-def parcel_checks(warned: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The four gates on parcels, cases and warnings, from one aggregation over the parcel rows.
+def _as_rows(one: DataFrame, checks: list[list[Column]]) -> DataFrame:
+    return one.select(F.inline(F.array(*[F.struct(*c) for c in checks])))
 
-    The case tallies sit on the parcel rows, so a key that two parcels share counts twice.
-    """
-    has_data = F.exists("warnings", lambda w: w["severity"] == "data")
-    one = warned.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("rebuild_progress_num") == 7).alias("completed"),
-        F.countDistinct(F.when(has_data, F.col("ain"))).alias("flagged"),
-        *[
-            F.coalesce(F.sum(c), F.lit(0)).alias(c)
-            for c in ("parse_candidates", "parse_hits", "area_candidates", "area_hits")
-        ],
-    )
+
+def _parcel_gates(rules: Rules) -> list[list[Column]]:
     parse = _ratio(F.col("parse_hits"), F.col("parse_candidates"))
     area = _ratio(F.col("area_hits"), F.col("area_candidates"))
     total = F.greatest(F.col("total"), F.lit(1))
     rate = F.col("flagged").cast("double") / total.cast("double")
     done = F.col("completed")
-    checks = [
+    return [
         _check(
             "description_parse_rate", parse, rules.min_parse_rate, parse >= rules.min_parse_rate,
             F.concat(
@@ -196,7 +186,24 @@ def parcel_checks(warned: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
             F.concat(done, F.lit(" parcels reported Construction Completed")),
         ),
     ]
-    return one.select(F.inline(F.array(*[F.struct(*c) for c in checks])))
+
+
+def parcel_checks(warned: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The four gates on parcels, cases and warnings, from one aggregation over the parcel rows.
+
+    The case tallies sit on the parcel rows, so a key that two parcels share counts twice.
+    """
+    has_data = F.exists("warnings", lambda w: w["severity"] == "data")
+    one = warned.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("rebuild_progress_num") == 7).alias("completed"),
+        F.countDistinct(F.when(has_data, F.col("ain"))).alias("flagged"),
+        *[
+            F.coalesce(F.sum(c), F.lit(0)).alias(c)
+            for c in ("parse_candidates", "parse_hits", "area_candidates", "area_hits")
+        ],
+    )
+    return _as_rows(one, _parcel_gates(rules))
 
 
 def region_total_check(cells: DataFrame, layer: str, region_rows: DataFrame) -> DataFrame:
@@ -207,17 +214,18 @@ def region_total_check(cells: DataFrame, layer: str, region_rows: DataFrame) ->
         F.coalesce(F.sum(lost), F.lit(0)).alias("unassigned"),
     )
     regions = region_rows.agg(F.coalesce(F.sum("total_parcels"), F.lit(0)).alias("in_regions"))
-    one = with_one_row(parcels, regions)
+    return _as_rows(with_one_row(parcels, regions), [_total_gate()])
+
+
+def _total_gate() -> list[Column]:
     diff = F.col("total") - (F.col("in_regions") + F.col("unassigned"))
-    return one.select(
-        *_check(
-            "tract_total_matches_summary", diff, 0.0, diff == 0,
-            F.concat(
-                F.lit("sum(tract.total_parcels)="), F.col("in_regions"), F.lit(" + unassigned="),
-                F.col("unassigned"), F.lit(" vs. burn-area total="), F.col("total"),
-                F.lit(" (diff="), diff, F.lit(")"),
-            ),
-        )
+    return _check(
+        "tract_total_matches_summary", diff, 0.0, diff == 0,
+        F.concat(
+            F.lit("sum(tract.total_parcels)="), F.col("in_regions"), F.lit(" + unassigned="),
+            F.col("unassigned"), F.lit(" vs. burn-area total="), F.col("total"),
+            F.lit(" (diff="), diff, F.lit(")"),
+        ),
     )
 
 
@@ -232,24 +240,94 @@ def partition_check(parents: DataFrame, children: DataFrame, key: str = "ct20")
     """Gate on :func:`partition_totals`: no parent may differ; the first three that do are named."""
     bad = partition_totals(parents, children, key).filter(F.col("total_parcels") != F.col("child_sum"))
     count = bad.agg(F.count(F.lit(1)).alias("bad"))
-    text = F.concat(
-        F.lit(f"{key}="), F.col(key), F.lit(" tract="), F.col("total_parcels"),
-        F.lit(" bg_sum="), F.col("child_sum"),
-    )
+    text = _difference(key)
     first = (
         bad.orderBy("region_idx", key)
         .limit(3)
         .agg(F.sort_array(F.collect_list(F.struct("region_idx", text.alias("text")))).alias("first"))
     )
-    one = with_one_row(count, first)
+    return _as_rows(with_one_row(count, first), [_partition_gate()])
+
+
+def _difference(key: str) -> Column:
+    return F.concat(
+        F.lit(f"{key}="), F.col(key), F.lit(" tract="), F.col("total_parcels"),
+        F.lit(" bg_sum="), F.col("child_sum"),
+    )
+
+
+def _partition_gate() -> list[Column]:
     named = F.array_join(F.transform("first", lambda m: m["text"]), "; ")
     detail = F.concat(
         F.col("bad"), F.lit(" tract(s) disagree with their block-groups"),
         F.when(F.col("bad") > 0, F.concat(F.lit(": "), named)).otherwise(F.lit("")),
     )
-    return one.select(
-        *_check("tract_partitions_into_block_groups", F.col("bad"), 0.0, F.col("bad") == 0, detail)
+    return _check("tract_partitions_into_block_groups", F.col("bad"), 0.0, F.col("bad") == 0, detail)
+
+
+_TALLIES = ("total", "completed", "parse_candidates", "parse_hits", "area_candidates", "area_hits", "flagged")
+
+
+def gate_cells(warned: DataFrame, parent: str, child: str) -> DataFrame:
+    """What the gates count, for each pair of regions (``parent``, ``child``), in sums that add up.
+
+    A parcel key may be flagged in several rows and regions. Rows are combined by flagged key and region first;
+    of a key's regions the first one counts it, so that adding the cells up counts distinct keys.
+    """
+    data = F.exists("warnings", lambda w: w["severity"] == "data")
+    by = [F.when(data, F.col("ain")).alias("_key"), F.col(parent).alias("parent"), F.col(child).alias("child")]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TALLIES[2:-1]]
+    some = warned.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("rebuild_progress_num") == 7).alias("completed"), *sums
+    )
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("parent", "child"))
+    counted = some.withColumn("flagged", (F.col("_key").isNotNull() & (place == 1)).cast("bigint"))
+    return counted.groupBy("parent", "child").agg(*[F.sum(t).alias(t) for t in _TALLIES])
+
+
+def gates(
+    warned: DataFrame, layers: tuple[str, str], regions: DataFrame, subregions: DataFrame, rules: Rules = DEFAULT_RULES
+) -> DataFrame:
+    """The gates of :func:`quality_checks` from one pass over the parcel rows, each step reading only the one before.
+
+    Cells meet the finer regions by key, then the coarser ones, as rows of one table that is added up by
+    key, in place of a join for each question. ``layers`` names the columns of the regions (``ct20``) and of their
+    parts (``bg20``). What is listed for a key is the cells and rows of one region.
+    """
+    zero = F.lit(0).cast("bigint")
+    cells = gate_cells(warned, *layers)
+    cell = F.struct("parent", *_TALLIES)
+    no_cell, no_text = F.lit(None).cast(cells.select(cell.alias("c")).schema["c"].dataType), F.lit(None).cast("string")
+    parts = cells.select("child", cell.alias("cell"), no_text.alias("of")).unionByName(
+        subregions.select(F.col("bg20").cast("string").alias("child"), no_cell.alias("cell"), F.col("ct20").cast("string").alias("of"))
+    )
+    by_child = parts.groupBy("child").agg(F.collect_list("cell").alias("cells"), F.collect_list("of").alias("parents"))
+    total = F.aggregate("cells", zero, lambda n, c: n + c["total"])
+    own = F.when(F.col("child").isNotNull(), total).otherwise(zero)
+    counted = F.transform("cells", lambda c: F.struct(
+        c["parent"].alias("ct20"), *[c[t].alias(t) for t in _TALLIES], zero.alias("child_sum"), F.lit(None).cast("bigint").alias("idx"),
+    ))
+    summed = F.transform("parents", lambda p: F.struct(
+        p.alias("ct20"), *[zero.alias(t) for t in _TALLIES], own.alias("child_sum"), F.lit(None).cast("bigint").alias("idx"),
+    ))
+    listed = regions.select(
+        F.col("ct20").cast("string").alias("ct20"), *[zero.alias(t) for t in _TALLIES], zero.alias("child_sum"),
+        F.col("region_idx").cast("bigint").alias("idx"),
+    )
+    rows = by_child.select(F.inline(F.concat(counted, summed))).unionByName(listed)
+    by_parent = rows.groupBy("ct20").agg(*[F.sum(t).alias(t) for t in (*_TALLIES, "child_sum")], F.collect_list("idx").alias("idx"))
+    by_parent = by_parent.withColumn("total_parcels", F.col("total"))
+    known = F.col("ct20").isNotNull()
+    wrong = F.when(known & (F.col("total") != F.col("child_sum")), F.size("idx")).otherwise(F.lit(0))
+    named = F.transform("idx", lambda i: F.struct(i.alias("region_idx"), F.col("ct20"), _difference("ct20").alias("text")))
+    one = by_parent.agg(
+        *[F.coalesce(F.sum(t), zero).alias(t) for t in _TALLIES],
+        F.coalesce(F.sum(F.when(~known, F.col("total"))), zero).alias("unassigned"),
+        F.coalesce(F.sum(F.when(known, F.col("total") * F.size("idx"))), zero).alias("in_regions"),
+        F.coalesce(F.sum(wrong), F.lit(0)).cast("bigint").alias("bad"),
+        F.slice(F.sort_array(F.flatten(F.collect_list(F.when(wrong > 0, named)))), 1, 3).alias("first"),
     )
+    return _as_rows(one, [*_parcel_gates(rules), _total_gate(), _partition_gate()])
 
 
 def quality_checks(

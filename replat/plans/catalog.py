@@ -441,7 +441,7 @@ def _override(f: _Frames) -> DataFrame:
 
 
 def _quality(f: _Frames) -> DataFrame:
-    return quality.quality_checks(f.warned, "tract", f.cells, f.region_rows, f.subregion_rows, RULES)
+    return quality.gates(f.warned, ("tract", "block_group"), f.regions, f.subregions, RULES)
 
 
 def _flagged(f: _Frames) -> DataFrame:

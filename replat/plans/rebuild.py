@@ -143,9 +143,7 @@ def run_all(
     subregions = counts.region_counts(cells, src.subregions, "bg20", "block_group", SUBREGION_IDS)
 
     warning_rows = run.write(quality.warnings(staged, disabled_reason), "warnings")
-    checks = run.write(
-        quality.quality_checks(staged, "tract", cells, regions, subregions, rules), "checks"
-    )
+    checks = run.write(quality.gates(staged, LAYERS, src.regions, src.subregions, rules), "checks")
     totals = cells.agg(F.sum("total_parcels").alias("total_parcels"))
     run.write(tables.report_head(checks, totals, run.generated_at), "report")
     if info is None:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from builders import CASE, PARCEL, case, frame, parcel
 from pyspark.sql import functions as F
@@ -147,3 +149,31 @@ def test_freshness(spark):
     runs = spark.createDataFrame([("2025-01-01T00:00:00+00:00",), ("2025-01-04T23:00:00Z",)], "generated_at string")
     as_of = F.lit("2025-01-05T00:00:01Z")
     assert [r["is_stale"] for r in reports.freshness(runs, as_of).collect()] == [True, False]
+
+
+def test_gates_in_one_pass_equal_the_separate_ones(spark):
+    rng = random.Random(6)
+    tracts, groups = ["1", "2", "3", "4"], ["1a", "1b", "2a", "3a", "9a"]
+    rows = []
+    for i in range(300):
+        # keys come back in other regions; some parts lie in another tract than their own
+        child = rng.choice([*groups, None])
+        parent = rng.choice([child[0] if child and rng.random() < 0.8 else rng.choice(tracts), None if rng.random() < 0.2 else "2"])
+        severity = rng.choice(["data", "info"])
+        rows.append((f"P{rng.randrange(40)}", parent, child, rng.choice([7, 6, None]), [(severity,)] * rng.randrange(2), rng.randrange(3), 0, 4, 3))
+    shape = (
+        "ain string, tract string, block_group string, rebuild_progress_num int, warnings array<struct<severity:string>>, "
+        "parse_candidates long, parse_hits long, area_candidates long, area_hits long"
+    )
+    for some in (rows, rows[:1], []):
+        df = spark.createDataFrame(some, shape).repartition(3)
+        regions = spark.createDataFrame([(t, i) for i, t in enumerate([*tracts, "7", "2"])], "ct20 string, region_idx int")
+        parts = spark.createDataFrame([("1a", "1", 0), ("1b", "1", 1), ("2a", "2", 2), ("3a", "3", 3), ("3a", "4", 4), ("5a", "8", 5)], "bg20 string, ct20 string, region_idx int")
+        by_region = [df.groupBy(c).agg(F.count(F.lit(1)).alias("total_parcels")) for c in ("tract", "block_group")]
+        cells = df.groupBy("tract", "block_group").agg(F.count(F.lit(1)).alias("total_parcels"))
+        per_tract = regions.join(by_region[0], F.col("ct20") == F.col("tract"), "left").fillna(0, ["total_parcels"])
+        per_part = parts.join(by_region[1], F.col("bg20") == F.col("block_group"), "left").fillna(0, ["total_parcels"])
+        want = quality.quality_checks(df, "tract", cells, per_tract, per_part).collect()
+        got = quality.gates(df, ("tract", "block_group"), regions, parts)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want]
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange ") <= 6
