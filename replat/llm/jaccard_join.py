@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -171,21 +170,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("reach"), pa.array(out, pa.binary())], ["doc", "reach", "tokens"])
 
 
-@lru_cache(maxsize=None)
 def band(size: int) -> tuple[int, int]:
     """Least and greatest size of the band a size is in; bands grow by a third."""
-    low = 1
-    while True:
-        high = max(low, low * 4 // 3 - 1)
-        if size <= high:
-            return low, high
-        low = high + 1
+    known = once("jaccard_bands", dict)
+    if size not in known:
+        low = 1
+        while size > (high := max(low, low * 4 // 3 - 1)):
+            low = high + 1
+        known[size] = low, high
+    return known[size]
 
 
-@lru_cache(maxsize=None)
 def scheme(low: int, high: int) -> tuple[int, int]:
     """Greatest number of differing tokens of a linked pair whose larger set is in the band, and the number
     of segments: one more, and as many as a set of the band is likely to leave empty."""
+    known = once("jaccard_schemes", dict)
+    if (low, high) not in known:
+        known[low, high] = _scheme(low, high)
+    return known[low, high]
+
+
+def _scheme(low: int, high: int) -> tuple[int, int]:
     differ = (PARTS - SHARE) * 2 * high // (PARTS + SHARE)
     segments = differ + 1
     for _ in range(20):

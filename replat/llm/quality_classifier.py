@@ -170,10 +170,12 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
 
 def fitted(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit: Fit | None = None) -> DataFrame:
-    """``row`` (all columns of the input), ``score``, ``predicted``, by a model learned from the labelled rows."""
+    """``row`` (all columns of the input), ``score``, ``predicted``, by a model learned from the labelled rows, and
+    ``modelled``: whether there were enough of these, so that scores tell rows apart at all."""
     fit = fit or Fit()
     model = trained(sample(keyed_text(docs), labels, fit), fit)
-    return scored(docs, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows = scored(docs, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.withColumn("modelled", F.lit(model.constant is None))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fit: Fit | None = None) -> DataFrame:

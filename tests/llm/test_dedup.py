@@ -298,3 +298,25 @@ def test_graph_finds_neighbours():
     ids, _ = graph.search(x[:300].astype(np.float32), 48)
     best = (x[:300].astype(np.float32) @ graph.vectors.T).argmax(axis=1)
     assert (ids[:, 0] == best).mean() >= 0.97
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """What goes to workers holds the code it calls: it runs where the package can't be imported."""
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from replat.llm import hard_negatives, phrases, posting_lists
+
+    held = [jaccard_join.signatures, hard_negatives.Lists, phrases.tokens, posting_lists.best_of]
+    (tmp_path / "held").write_bytes(cloudpickle.dumps(held))
+    code = (
+        "import pickle, sys, numpy as np; sys.path = [p for p in sys.path if 'repo' not in p]\n"
+        "signatures, lists, tokens, best = pickle.load(open('held', 'rb'))\n"
+        "print(len(signatures(np.arange(40, dtype=np.uint64))), list(tokens(b'a b')), 'replat' in sys.modules)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin"}, capture_output=True, text=True, check=True)
+    assert out.stdout.split()[0] != "0" and out.stdout.strip().endswith("False")
+    assert pickle.loads(cloudpickle.dumps(jaccard_join.band))(7) == jaccard_join.band(7)
