@@ -16,9 +16,9 @@ from replat.llm.queries import tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the quality classifier rejects (operator 9)."""
+    """Drops documents that the quality classifier rejects (operator 9); without labels to learn from, none."""
     scores = quality_classifier.fitted(docs, table(spark, sf_dir, "labels"))
-    return scores.filter("predicted = 1").select("row.*")
+    return scores.filter("predicted = 1 or not modelled").select("row.*")
 
 
 def rewritten(made: DataFrame, columns: list[str]) -> DataFrame:
