@@ -336,24 +336,29 @@ def apply_extractions(
 
 def run_info(overlaid: DataFrame, new_entries: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row of run counters. A hit is an extracted parcel row that needed no new cache entry."""
+    misses = new_entries.agg(F.countDistinct("key").alias("cache_misses"))
+    return with_one_row(overlaid.agg(*_run_counts()), misses).select(*_run_columns(rules))
+
+
+_RUN_COUNTS = ("parcels_attempted", "parcels_extracted", "parcels_failed", "plan_only_parcels")
+
+
+def _run_counts() -> list[Column]:
     status = F.col("model_status")
     attempted = status.isin("failed", "extracted")
-    counts = overlaid.agg(
-        F.count_if(attempted).alias("parcels_attempted"),
-        F.count_if(status == "extracted").alias("parcels_extracted"),
-        F.count_if(status == "failed").alias("parcels_failed"),
-        F.count_if(attempted & ~F.col("has_qualifying_permit")).alias("plan_only_parcels"),
-    )
-    misses = new_entries.agg(F.countDistinct("key").alias("cache_misses"))
-    both = with_one_row(counts, misses)
-    return both.select(
+    found = (attempted, status == "extracted", status == "failed", attempted & ~F.col("has_qualifying_permit"))
+    return [F.count_if(c).alias(n) for n, c in zip(_RUN_COUNTS, found, strict=True)]
+
+
+def _run_columns(rules: Rules) -> list[Column | str]:
+    return [
         F.lit(True).alias("enabled"),
         F.lit(rules.model).alias("model"),
         F.lit(rules.prompt_version).cast("bigint").alias("prompt_version"),
-        "parcels_attempted", "parcels_extracted", "parcels_failed", "plan_only_parcels",
+        *_RUN_COUNTS,
         (F.col("parcels_extracted") - F.col("cache_misses")).alias("cache_hits"),
         "cache_misses",
-    )
+    ]
 
 
 def no_run_info(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -370,19 +375,42 @@ def no_run_info(spark: SparkSession, rules: Rules = DEFAULT_RULES) -> DataFrame:
     )
 
 
+#: Metric of each warning code: the parcels that carry it.
+_CODE_METRICS = {
+    "count_disagreements": "extraction_count_disagreement", "sqft_disagreements": "extraction_sqft_disagreement",
+    "low_confidence_parcels": "extraction_low_confidence", "extraction_failures": "llm_extraction_failed",
+}
+
+
+def _distinct_keys(flags: dict[str, Column]) -> list[Column]:
+    return [F.bool_or(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()]
+
+
 def extraction_metrics(info: DataFrame, warnings: DataFrame) -> DataFrame:
-    """Run counters plus distinct parcels per warning code and the agreement rate."""
+    """Run counters plus distinct parcels per warning code and the agreement rate.
 
-    def parcels(code: str) -> Column:
-        return F.countDistinct(F.when(F.col("code") == code, F.col("ain")))
+    A key's rows are combined to one flag for each code first, so that flags can be counted.
+    """
+    per_key = warnings.groupBy("ain").agg(*_distinct_keys({n: F.col("code") == code for n, code in _CODE_METRICS.items()}))
+    by_code = per_key.agg(*[F.count_if(n).alias(n) for n in _CODE_METRICS])
+    return _with_rate(with_one_row(info, by_code))
 
-    by_code = warnings.agg(
-        parcels("extraction_count_disagreement").alias("count_disagreements"),
-        parcels("extraction_sqft_disagreement").alias("sqft_disagreements"),
-        parcels("extraction_low_confidence").alias("low_confidence_parcels"),
-        parcels("llm_extraction_failed").alias("extraction_failures"),
-    )
-    both = with_one_row(info, by_code)
+
+def _with_rate(both: DataFrame) -> DataFrame:
     differing = F.col("count_disagreements") + F.col("sqft_disagreements")
     agreed = 1.0 - differing / F.nullif(F.col("parcels_extracted"), F.lit(0))
     return both.withColumn("agreement_rate", F.bround(F.coalesce(agreed, F.lit(1.0)), 4))
+
+
+def run_metrics(warned: DataFrame, new_entries: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The row of :func:`run_info` and :func:`extraction_metrics` from one pass over rows that carry their warnings."""
+
+    def carries(code: str) -> Column:
+        return F.exists("warnings", lambda w: w["code"] == code)
+
+    flags = {n: carries(code) for n, code in _CODE_METRICS.items()}
+    per_key = warned.groupBy("ain").agg(*_run_counts(), *_distinct_keys(flags))
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _RUN_COUNTS]
+    counts = per_key.agg(*sums, *[F.count_if(n).alias(n) for n in _CODE_METRICS])
+    both = with_one_row(counts, new_entries.agg(F.countDistinct("key").alias("cache_misses")))
+    return _with_rate(both.select(*_run_columns(rules), *_CODE_METRICS))

@@ -167,8 +167,7 @@ def _extraction_metrics(k: _Keyed) -> DataFrame:
     new = extraction.new_extractions(k.misses, replies, "2026-01-01T00:00:00Z", RULES)
     # orphan keys are hashed too but belong to no parcel row
     new = extraction.prune_cache(new, k.frames.parcels)
-    info = extraction.run_info(overlaid, new, RULES)
-    return extraction.extraction_metrics(info, quality.warnings(overlaid))
+    return extraction.run_metrics(overlaid, new, RULES)
 
 
 def _feature_fields(value: Column, names: tuple[str, ...], corners: int) -> list[Column]:
