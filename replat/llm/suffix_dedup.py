@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import partitions, slices, staged
+from replat.llm.common import once, partitions, slices, staged
 from replat.llm.edits import KEY, edited, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, bucket_of, in_other_content, mix, sent
 
@@ -36,14 +36,26 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def leading_powers(base: np.uint64, n: int) -> np.ndarray:
+    """``powers``, kept by the worker as far as a block of texts usually reaches."""
+    if n > 2 * BYTES_AT_ONCE:
+        return powers(base, n)
+    return once(f"suffix_dedup.powers.{base}", lambda: powers(base, 2 * BYTES_AT_ONCE))[:n]
+
+
 class Prefixes:
     """Prefix polynomial hashes of a byte array: the hash of any piece, and common extensions."""
 
     def __init__(self, content: np.ndarray):
         with np.errstate(over="ignore"):
-            sums = np.multiply(content.astype(np.uint64) + np.uint64(1), powers(BASE, len(content)))
+            sums = np.multiply(content.astype(np.uint64) + np.uint64(1), leading_powers(BASE, len(content)))
             self.sums = np.append(np.uint64(0), np.add.accumulate(sums))
-            self.shift = powers(UNBASE, len(content) + 1)
+            self.shift = leading_powers(UNBASE, len(content) + 1)
+
+    def every(self, length: int) -> np.ndarray:
+        """``pieces`` at all places."""
+        with np.errstate(over="ignore"):
+            return (self.sums[length:] - self.sums[:-length]) * self.shift[: len(self.sums) - length]
 
     def pieces(self, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -83,29 +95,37 @@ def anchored(texts: list[bytes], length: int) -> Anchored:
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
+    begins = ends - sizes
     content = np.frombuffer(b"".join(texts), np.uint8)
     n = len(content) - length + 1
     if n <= 0:
         none = np.empty(0, np.int64)
         return Anchored(none, none, none, none, none.view(np.uint64))
-    hashes = mix(Prefixes(content).pieces(np.arange(len(content) - GRAM + 1), GRAM))
-    value, place = hashes, np.arange(len(hashes), dtype=np.int32)
-    width, have = length - GRAM + 1, 1
+    hashes = mix(Prefixes(content).every(GRAM))
+    least, width, have = hashes, length - GRAM + 1, 1
     while have < width:
         step = min(have, width - have)
-        later = value[step:] < value[:-step]
-        place = np.where(later, place[step:], place[:-step])
-        value = np.where(later, value[step:], value[:-step])
+        least = np.minimum(least[step:], least[:-step])
         have += step
-    owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)[:n]
-    at = np.flatnonzero(np.arange(n) + length <= ends[owner])
-    begins = np.ones(len(at), bool)
-    begins[1:] = (place[at[1:]] != place[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])
-    first = at[begins]
-    last = at[np.append(begins[1:], True)] if len(at) else at
-    who = owner[first]
-    base = (ends - sizes)[who]
-    return Anchored(who, first - base, last - base, place[first] - base, value[first])
+    # a string has the anchor of the one before unless the least hash changes or its place was left
+    fresh = np.ones(n, bool)
+    fresh[1:] = (least[1:] != least[:-1]) | (hashes[: n - 1] == least[:-1])
+    for edge in (begins, np.maximum(begins, ends - length + 1)):
+        fresh[edge[edge < n]] = True
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], n) - 1
+    who = np.searchsorted(ends, first, side="right")
+    inside = first + length <= ends[who]
+    first, last, who = first[inside], last[inside], who[inside]
+    mark = least[first]
+    # the anchor is where the run ends, where a lesser hash came in as it began, or in between
+    entered = (first > 0) & (mark < least[np.maximum(first - 1, 0)])
+    place = np.where(entered, first + width - 1, last)
+    open_ = np.flatnonzero(~entered & (hashes[last] != mark))
+    around = last[open_][:, None] + np.arange(width)
+    place[open_] += (hashes[around] == mark[open_][:, None]).argmax(axis=1)
+    base = begins[who]
+    return Anchored(who, first - base, last - base, place - base, mark)
 
 
 def mark_of(content: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -262,8 +282,8 @@ def merge_sorted(order: np.ndarray, group: np.ndarray, less: Any) -> np.ndarray:
 def suffix_classes(content: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """A number for each string of ``length`` bytes at ``at``: equal for equal strings of one group.
 
-    The strings are sorted within their groups by hash comparison, then neighbours that the hashes call
-    equal are compared byte by byte. If one pair differs, the items are sorted by their bytes instead.
+    Strings of one group with one hash are held against the first of them byte by byte, and that one is sorted
+    among the group's by hash comparison. If one pair differs, the strings are told apart by their bytes instead.
     """
     prefixes = Prefixes(content)
 
@@ -274,21 +294,34 @@ def suffix_classes(content: np.ndarray, at: np.ndarray, group: np.ndarray, lengt
         step = np.where(differ, same, 0)
         return differ & (content[a + step] < content[b + step])
 
-    order = np.argsort(group, kind="stable")
-    order = merge_sorted(order, group[order], less)
-    a, b = at[order[:-1]], at[order[1:]]
-    equal = (group[order[1:]] == group[order[:-1]]) & (prefixes.pieces(a, length) == prefixes.pieces(b, length))
-    pairs = np.flatnonzero(equal)
-    for k in range(length):
-        if (content[a[pairs] + k] != content[b[pairs] + k]).any():
-            strings = [content[i : i + length].tobytes() for i in at.tolist()]
-            numbers: dict[tuple[int, bytes], int] = {}
-            return np.array([numbers.setdefault((g, s), len(numbers)) for g, s in zip(group.tolist(), strings, strict=True)])
+    with np.errstate(over="ignore"):
+        hashes = mix(prefixes.pieces(at, length) + group.astype(np.uint64) * BASE)
+    order = np.argsort(hashes)
+    starts = np.append(True, hashes[order[1:]] != hashes[order[:-1]])
+    distinct = order[starts]
+    number = np.cumsum(starts) - 1
+    if not same_strings(content, at[order], at[distinct[number]], length) or (group[order] != group[distinct[number]]).any():
+        strings = [content[i : i + length].tobytes() for i in at.tolist()]
+        numbers: dict[tuple[int, bytes], int] = {}
+        return np.array([numbers.setdefault((g, s), len(numbers)) for g, s in zip(group.tolist(), strings, strict=True)])
+    by_group = np.argsort(group[distinct], kind="stable")
+    ranked = merge_sorted(distinct[by_group], group[distinct[by_group]], less)
+    rank = np.empty(len(at), np.int64)
+    rank[ranked] = np.arange(len(ranked))
     classes = np.empty(len(at), np.int64)
-    classes[order] = np.cumsum(np.append(0, ~equal))
+    classes[order] = rank[distinct[number]]
     return classes
 
 
+def same_strings(content: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> bool:
+    """Whether the strings of ``length`` bytes at ``a`` equal those at ``b``; read in words of 8 bytes if they have as many."""
+    width = 8 if length >= 8 else 1
+    words = np.ndarray(max(len(content) - width + 1, 0), f"<u{width}", content, strides=(1,))
+    other = np.flatnonzero(a != b)
+    a, b = a[other], b[other]
+    return all((words[a + k] == words[b + k]).all() for k in [*range(0, length - width, width), length - width])
+
+
 def _copies(length: int) -> Any:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         found = [expanded(rows, "sure").reshape(-1, 4)]

@@ -173,6 +173,24 @@ def test_suffix_classes_are_equal_strings(bits, size):
     assert len(set(zip(classes.tolist(), strings, strict=True))) == len(set(classes.tolist())) == len(set(strings))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", max_size=90), max_size=6), st.integers(16, 24))
+def test_anchors_are_least_hashed_pieces(texts, size):
+    raw = [t.encode() for t in texts]
+    found = suffix_dedup.anchored(raw, size)
+    want = []
+    for who, t in enumerate(raw):
+        marks = suffix_dedup.mark_of(np.frombuffer(t, np.uint8), np.arange(max(len(t) - suffix_dedup.GRAM + 1, 0))).tolist()
+        for start in range(len(t) - size + 1):
+            place = min(range(start, start + size - suffix_dedup.GRAM + 1), key=lambda p: (marks[p], p))
+            if want and want[-1][0] == who and want[-1][3] == place:
+                want[-1][2] = start
+            else:
+                want.append([who, start, start, place, marks[place]])
+    columns = (found.owner, found.first, found.last, found.place, found.mark)
+    assert [list(x) for x in zip(*(c.tolist() for c in columns), strict=True)] == want
+
+
 def test_hash_collisions_are_caught(monkeypatch):
     monkeypatch.setattr(suffix_dedup.Prefixes, "pieces", lambda self, at, length: np.zeros(len(at), np.uint64))
     content = np.frombuffer(b"abcabdabcxyz", np.uint8)
