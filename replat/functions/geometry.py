@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from replat.functions.orientation import side
+
 RINGS_TYPE = "array<array<array<double>>>"
 GEOMETRY_TYPE = (
     f"struct<rings:{RINGS_TYPE},x:double,y:double,paths:array<array<array<double>>>>"
@@ -93,45 +95,40 @@ def centroid(rings: Column) -> Column:
     )
 
 
-def _edge_side(e: Column, px: Column, py: Column) -> Column:
-    """Sign of the point against the directed edge: positive on its left, zero on its line."""
-    return (e["x2"] - e["x1"]) * (py - e["y1"]) - (px - e["x1"]) * (e["y2"] - e["y1"])
+def parity(edges: Column, px: Column, py: Column) -> Column:
+    """Of a point against one ring's edges: 1 strictly inside, 0 outside, -1 on the boundary.
+
+    Counts crossings of a ray to the right. Only edges that reach the point's height matter, so these are all that
+    has to be given.
+    """
+
+    def step(acc: Column, e: Column) -> Column:
+        reaches = py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        at = side(e, px, py)
+        on = px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & (at == 0)
+        up = (e["y1"] <= py) & (e["y2"] > py) & (at > 0)
+        down = (e["y2"] <= py) & (e["y1"] > py) & (at < 0)
+        return F.when((acc < 0) | ~reaches, acc).when(on, -1).when(up | down, 1 - acc).otherwise(acc)
+
+    return F.aggregate(edges, F.lit(0), step)
 
 
 def contains(edge_rings: Column, px: Column, py: Column) -> Column:
-    """Strictly inside any ring: odd crossings of a ray to the right, and not on the boundary."""
+    """Strictly inside any ring."""
+    return F.exists(edge_rings, lambda ring: parity(ring, px, py) == 1)
 
-    def step(acc: Column, e: Column) -> Column:
-        side = _edge_side(e, px, py)
-        up = (e["y1"] <= py) & (e["y2"] > py) & (side > 0)
-        down = (e["y2"] <= py) & (e["y1"] > py) & (side < 0)
-        on = (
-            (side == 0)
-            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        )
-        return F.struct(
-            F.when(up | down, ~acc["odd"]).otherwise(acc["odd"]).alias("odd"),
-            (acc["on"] | on).alias("on"),
-        )
 
-    zero = F.struct(F.lit(False).alias("odd"), F.lit(False).alias("on"))
-    return F.exists(
-        edge_rings, lambda ring: F.aggregate(ring, zero, step, lambda a: a["odd"] & ~a["on"])
-    )
+def edge_distance(e: Column, px: Column, py: Column) -> Column:
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    along = ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
+    return F.hypot(px - (e["x1"] + t * dx), py - (e["y1"] + t * dy))
 
 
 def boundary_distance(edge_rings: Column, px: Column, py: Column) -> Column:
     """Distance to the nearest edge; for a point outside this is the distance to the polygon."""
-
-    def edge_distance(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        along = ((px - e["x1"]) * dx + (py - e["y1"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-        return F.hypot(px - (e["x1"] + t * dx), py - (e["y1"] + t * dy))
-
     return F.array_min(
-        F.transform(edge_rings, lambda ring: F.array_min(F.transform(ring, edge_distance)))
+        F.transform(edge_rings, lambda ring: F.array_min(F.transform(ring, lambda e: edge_distance(e, px, py))))
     )
 
 
@@ -151,7 +148,7 @@ def intersects_box(
             & (F.greatest(e["y1"], e["y2"]) >= ymin)
             & (F.least(e["y1"], e["y2"]) <= ymax)
         )
-        sides = [_edge_side(e, x, y) for x in (xmin, xmax) for y in (ymin, ymax)]
+        sides = [side(e, x, y) for x in (xmin, xmax) for y in (ymin, ymax)]
         return boxes & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
     edges = polygon_edges(rings)

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+from fractions import Fraction
 
 import pytest
 from builders import PARCEL, REGION, frame, parcel, square
@@ -200,3 +202,51 @@ def test_geojson_kinds(spark):
     for sql, want in kinds.items():
         row = spark.range(1).select(F.expr(sql).cast(geo.GEOMETRY_TYPE).alias("g"))
         assert row.select(geo.to_geojson(F.col("g")).alias("v")).first()["v"] == want
+
+
+# ---------------------------------------------------------------- exact sides
+
+
+def exact_parity(ring, x, y):
+    """With rationals: 1 strictly inside, 0 outside, -1 on the boundary."""
+    x, y, odd = Fraction(x), Fraction(y), 0
+    for a, b in zip(ring, ring[1:] + ring[:1], strict=True):
+        (x1, y1), (x2, y2) = (tuple(map(Fraction, p)) for p in (a, b))
+        turn = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+        if turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+            return -1
+        odd ^= (y1 <= y < y2 and turn > 0) or (y2 <= y < y1 and turn < 0)
+    return int(odd)
+
+
+def near(ring, rng):
+    """Vertices, places on and beside edges, and their neighbours in doubles."""
+    out = []
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True):
+        t = rng.choice([0.0, 0.5, rng.random()])
+        x, y = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
+        out += [(x, y), (math.nextafter(x, 1e9), y), (x, math.nextafter(y, -1e9)), (math.nextafter(x, -1e9), math.nextafter(y, 1e9))]
+    return out
+
+
+def located(spark, ring, points):
+    one = spark.createDataFrame([([[list(p) for p in ring]],)], f"rings {geo.RINGS_TYPE}")
+    edges = geo.polygon_edges(F.col("rings"))[0]
+    asked = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, x double, y double").repartition(4)
+    rows = one.select(edges.alias("edges")).join(asked).select("i", geo.parity(F.col("edges"), F.col("x"), F.col("y")).alias("parity"))
+    return [r["parity"] for r in sorted(rows.collect())]
+
+
+def star(n, rng, cx=-118.1, cy=34.2, size=0.05):
+    turns = sorted(rng.random() for _ in range(n))
+    arms = [(t * 2 * math.pi, size * rng.uniform(0.5, 1)) for t in turns]
+    return [(cx + r * math.cos(a), cy + r * math.sin(a)) for a, r in arms]
+
+
+@pytest.mark.parametrize("corners", [3, 12, 60])
+def test_sides_are_exact_near_edges(spark, corners):
+    rng = random.Random(corners)
+    ring = star(corners, rng)
+    points = near(ring, rng)
+    want = [exact_parity(ring, *p) for p in points]
+    assert located(spark, ring, points) == want and {0, 1, -1} <= set(want)
