@@ -334,6 +334,18 @@ def _record_problems(spark: SparkSession, sf: str) -> DataFrame:
     return validation.record_problems(rows, validation.PARCEL_CONTRACT).select("seq", "field", "problem")
 
 
+def _listed_structures() -> Column:
+    """An entry's structures as text: their fields by ``|``, one after the other by ``;``."""
+    fields = F.transform(
+        "structures",
+        lambda s: F.concat_ws(
+            "|", s["struct_type"], F.coalesce(s["sqft"].cast("string"), F.lit("-")), s["confidence"],
+            F.size(s["evidence_case_numbers"]).cast("string"), F.coalesce(s["notes"], F.lit("-")),
+        ),
+    )
+    return F.array_join(fields, ";")
+
+
 def _cache_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Cache entries derived from customers: good ones, broken ones, and two versions of one key."""
     k = F.col("c_custkey")
@@ -355,16 +367,9 @@ def _cache_entries(spark: SparkSession, sf: str) -> DataFrame:
         k.alias("pos"), F.parse_json(body).alias("entry")
     )
     entries = cache.cache_entries(rows, RULES)
-    listed = F.transform(
-        "structures",
-        lambda s: F.concat_ws(
-            "|", s["struct_type"], F.coalesce(s["sqft"].cast("string"), F.lit("-")), s["confidence"],
-            F.size(s["evidence_case_numbers"]).cast("string"), F.coalesce(s["notes"], F.lit("-")),
-        ),
-    )
     return entries.select(
         "key", "ain", "extracted_at", "model", "prompt_version", "reasoning", "input_tokens", "output_tokens",
-        F.array_join(listed, ";").alias("structures"),
+        _listed_structures().alias("structures"),
     )
 
 
@@ -417,7 +422,7 @@ def _nearest(f: _Frames) -> DataFrame:
 
 
 def _structures(f: _Frames) -> DataFrame:
-    return cases.case_structures(f.cases).drop("raw_segment")
+    return cases.case_structures(f.cases)
 
 
 def _reply_structures(f: _Frames) -> DataFrame:
@@ -559,7 +564,7 @@ def registered() -> dict[str, Query]:
         "warnings_disabled": _frames(
             lambda f: quality.report_order(quality.warnings(f.warned, "switched off"))
         ),
-        "cache_next": _on_keys(lambda k: k.next_cache.select("key", "ain", "extracted_at", F.size("structures").alias("structures"), "reasoning")),
+        "cache_next": _on_keys(lambda k: k.next_cache.select("key", "ain", "extracted_at", _listed_structures().alias("structures"), "reasoning")),
         "cache_pruned": _on_keys(
             lambda k: extraction.pruned_entries(k.keys.withColumnRenamed("main_ain", "ain"), k.frames.parcels)
         ),

@@ -40,6 +40,7 @@ _CTES = {
   ) t(tpl, seg_idx, struct_type, area)""",
     "structures": """
   select c.seq, c.main_ain, t.seg_idx, t.struct_type,
+    regexp_replace(trim(string_split(replace(c.description, chr(13), ''), chr(10))[t.seg_idx + 1]), '^[0-9]+[.] ', '') as raw_segment,
     case t.area when 'z' then cast(c.sz as double) when 'z2' then cast(c.sz2 as double) when '640' then 640.0
       when '1,z2' then 1000.0 + cast(c.sz2 as double) end as sqft
   from cases c join template_structures t on c.tpl = t.tpl""",
@@ -431,7 +432,7 @@ from (select p.seq, count(c.seq) as n from parcels p left join cases c on p.ain_
         "first_unit_permit": _with("unit_permits")
         + "select main_ain, all_unknown as units_unknown from unit_permits",
         "case_structures": _with("structures")
-        + "select seq, main_ain, seg_idx, struct_type, sqft from structures",
+        + "select seq, main_ain, seg_idx, struct_type, sqft, raw_segment from structures",
         "structure_totals": _with("structures")
         + """select struct_type, count(*) as structures, count(sqft) as with_area, sum(sqft) as area
 from structures group by 1""",
@@ -466,9 +467,11 @@ from (select c_custkey, case c_custkey % 6 when 0 then 2.0 when 1 then 6.0 when
         "summary_json": _with("analysis") + f"select '{STAMP}' as generated_at, {_COUNT_SQL} from analysis",
         "warnings_disabled": _with("parcel_warnings")
         + """select ain, code, detail, severity from parcel_warnings union all select '*', 'llm_disabled', 'switched off', 'info'""",
-        "cache_next": _with("keys", "replies", "parcels", "usable_replies")
+        "cache_next": _with("keys", "replies", "parcels", "reply_structures")
         + """select k.key, k.main_ain as ain, case when r.form in (0, 1) then 'old' else 'new' end as extracted_at,
- case r.form when 6 then 1 when 7 then 2 when 5 then 1 else 0 end as structures,
+ case when r.form in (0, 1) then '' else coalesce((select string_agg(s.struct_type || '|' || coalesce(cast(s.sqft as varchar), '-') || '|'
+   || s.confidence || '|' || case s.evidence when '' then '0' else '1' end || '|' || coalesce(s.notes, '-'), ';' order by s.pos)
+   from reply_structures s where s.ain = r.ain), '') end as structures,
  case when r.form in (0, 1) then '' else u.reasoning end as reasoning
 from keys k join replies r on k.main_ain = r.ain join usable_replies u on u.ain = r.ain""",
         "cache_pruned": _with("keys", "parcels")
