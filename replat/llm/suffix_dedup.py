@@ -23,7 +23,7 @@ GRAM = 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Its inverse modulo 2 ** 64.
 UNBASE = np.uint64(pow(int(BASE), -1, 2**64))
-BYTES_AT_ONCE = 1_000_000
+BYTES_AT_ONCE = 500_000
 #: Columns of a bucket of surroundings with their kinds; each travels as one compressed array.
 ARRAYS = {"docs": "<i8", "counts": "<u4", "versions": "<i8", "firsts": "<i8", "sizes": "<u2", "shifts": "<u2", "content": "<u1", "sure": "<i8"}
 SNIPPETS = "bucket int, " + ", ".join(f"{name} binary" for name in ARRAYS)
@@ -337,7 +337,7 @@ def _copies(length: int) -> Any:
         weight = np.cumsum(sizes[order])
         at = 0
         while at < len(order):
-            to = int(np.searchsorted(weight, (weight[at - 1] if at else 0) + BYTES_AT_ONCE // 2)) + 1
+            to = int(np.searchsorted(weight, (weight[at - 1] if at else 0) + BYTES_AT_ONCE)) + 1
             while to < len(order) and marks[order[to]] == marks[order[to - 1]]:
                 to += 1
             part, at = order[at:to], to
