@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
@@ -104,47 +104,56 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, closing: int) -> Dat
     return keyed_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def configurations(sizes: list[int], capacity: int) -> list[tuple[int, ...]]:
-    """Ways to fill a sequence with up to three of the sizes, the fullest first."""
-    found = []
-    for n in (1, 2, 3):
-        found += [c for c in combinations_with_replacement(range(len(sizes)), n) if sum(sizes[i] for i in c) <= capacity]
-    return sorted(found, key=lambda c: (-sum(sizes[i] for i in c), c))
+class Prices:
+    """The configuration (up to three of the sizes, ascending) that is worth most at given prices: the third size of
+    every pair is the dearest of those that still fit, so pairs are looked at and not triples."""
 
+    def __init__(self, sizes: list[int], capacity: int):
+        held = np.array([0, *sizes])  # at 0: no size
+        first, second = np.triu_indices(len(held))
+        room = capacity - held[first] - held[second]
+        fits = room >= 0
+        self.first, self.second, room = first[fits], second[fits], room[fits]
+        self.third = np.searchsorted(held, room, side="right")  # how many of the sizes fit beside the pair
 
-def fractional(configs: list[tuple[int, ...]], wanted: list[int]) -> list[tuple[float, int]]:
+    def best(self, prices: np.ndarray) -> tuple[float, list[int]]:
+        price = np.append(0.0, prices)
+        top = np.maximum.accumulate(price)
+        value = price[self.first] + price[self.second] + top[self.third - 1]
+        at = int(value.argmax())
+        third = int(price[: self.third[at]].argmax())
+        return float(value[at]), sorted(i - 1 for i in (int(self.first[at]), int(self.second[at]), third) if i)
+
+
+def fractional(sizes: list[int], wanted: list[int], capacity: int) -> list[tuple[float, tuple[int, ...]]]:
     """How often to use which configuration, so that all wanted sizes are in as few sequences as possible.
 
-    The linear program min sum(x), Ax = wanted, x >= 0 by the simplex method, columns priced by the sizes' dual
-    values. It starts from a sequence for each length. Equally good steps go by the lowest number (Bland), so it ends.
+    The linear program min sum(x), Ax = wanted, x >= 0 by the simplex method with columns generated as they are
+    needed: each step asks for the configuration worth most at the sizes' dual values. ``sizes`` ascend. It
+    starts from a sequence for each length. Amounts a little apart (Charnes) keep it from going round.
     """
-    n = len(wanted)
-    used = np.array([(*c, n, n)[:3] for c in configs])  # n: no size
-    column = {c: k for k, c in enumerate(configs)}
-    base, demand = [column[(i,)] for i in range(n)], np.array(wanted, float)
-    inverse, amount = np.eye(n), demand.copy()
-    bland = 0
+    n, prices = len(wanted), Prices(sizes, capacity)
+    base: list[tuple[int, ...]] = [(i,) for i in range(n)]
+    demand = np.array(wanted, float)
+    apart = demand + 1e-7 * np.arange(1, n + 1) / n
+    inverse, amount = np.eye(n), apart.copy()
     for step in range(200 * n):
-        price = np.append(inverse.sum(axis=0), 0.0)  # every sequence costs 1
-        gain = price[used].sum(axis=1) - 1
-        enter = int(np.argmax(gain > 1e-9)) if bland > 20 else int(gain.argmax())
-        if gain[enter] <= 1e-9:
+        value, config = prices.best(inverse.sum(axis=0))  # every sequence costs 1
+        if value <= 1 + 1e-9:
             break
-        toward = inverse @ np.bincount(used[enter], minlength=n + 1)[:n]
+        toward = inverse @ np.bincount(config, minlength=n)
         ratio = np.full(n, np.inf)
         np.divide(amount, toward, out=ratio, where=toward > 1e-9)
-        least = ratio.min()
-        leave = min(np.flatnonzero(ratio <= least + 1e-9).tolist(), key=lambda i: base[i])
-        bland = bland + 1 if least <= 1e-9 else 0
-        base[leave] = enter
+        leave = int(ratio.argmin())
+        base[leave] = tuple(config)
         if step % 50 == 49:  # rounding errors don't add up
-            inverse = np.linalg.inv(np.stack([np.bincount(used[b], minlength=n + 1)[:n] for b in base], axis=1))
+            inverse = np.linalg.inv(np.stack([np.bincount(c, minlength=n) for c in base], axis=1))
         else:
             row = inverse[leave] / toward[leave]
             inverse = inverse - np.outer(toward, row)
             inverse[leave] = row
-        amount = np.maximum(inverse @ demand, 0)
-    return sorted(zip(amount.tolist(), base, strict=True), key=lambda x: x[1])
+        amount = np.maximum(inverse @ apart, 0)
+    return sorted(zip(np.maximum(inverse @ demand, 0).tolist(), base, strict=True), key=lambda x: (x[1], x[0]))
 
 
 class Sequences:
@@ -183,48 +192,48 @@ class Sequences:
             occurs |= 1 << self.free[into]
 
 
-def grouped(lengths: np.ndarray, capacity: int, groups: int, order: np.ndarray) -> Sequences:
-    """Lengths above a quarter of the capacity by the best mix of configurations of few sizes, then best fit.
+def configured(lengths: np.ndarray, capacity: int, groups: int, loose: float, order: np.ndarray) -> Sequences:
+    """Lengths above a quarter of the capacity by the best mix of configurations of few sizes.
 
-    They are sorted, cut into groups of equal size and rounded up to their group's largest; whole sequences of
-    the best mix take the longest documents of their sizes. A document that is alone in at most half a
-    sequence, and those of the mix's fractions, go by their real lengths where the least room remains, as do
-    the small ones, the longest first.
+    They are cut in their order into groups of equal cardinality and rounded up to their group's largest; the fullest
+    configurations of the best mix come first. Each slot takes the longest document of its size that is left, the
+    last slot of a sequence the longest that fits at all. A configuration whose documents leave more than ``loose``
+    of the sequence empty is given up, and they stay unplaced, like those of the mix's fractions.
     """
     made = Sequences(lengths, capacity)
-    large = order[: int((lengths > capacity // 4).sum())]
-    stacks = [part[::-1].tolist() for part in np.array_split(large, min(groups, len(large)) or 1) if len(part)]
-    if stacks:
-        sizes = [int(lengths[s[-1]]) for s in stacks]  # the largest of each group lies on top
-        configs = configurations(sizes, capacity)
-        for times, which in fractional(configs, [len(s) for s in stacks]):
-            for _ in range(int(times + 1e-6)):
-                if any(len(stacks[i]) < configs[which].count(i) for i in configs[which]):
+    left = order[: int((lengths > capacity // 4).sum())][::-1].tolist()
+    parts = [part for part in np.array_split(left, min(groups, len(left)) or 1) if len(part)]
+    if not parts:
+        return made
+    sizes = [int(lengths[part[-1]]) for part in parts]
+    mix = fractional(sizes, [len(part) for part in parts], capacity)
+    held = [int(lengths[x]) for x in left]
+    for times, config in sorted(mix, key=lambda m: (-sum(sizes[i] for i in m[1]), m[1])):
+        for _ in range(int(times + 1e-6)):
+            room, places = capacity, []
+            for n, i in enumerate(reversed(config), 1):
+                limit = room if n == len(config) else min(room, sizes[i])
+                at = bisect_right(held, limit, hi=places[-1] if places else len(held)) - 1
+                if at < 0:
                     break
-                items = [stacks[i].pop() for i in configs[which]]
-                if 2 * sum(int(lengths[x]) for x in items) <= capacity:
-                    stacks[configs[which][0]] += items[::-1]
-                    break
-                made.free.append(capacity)
-                for item in items:
-                    made.place(item, len(made.free) - 1)
-    made.best_fit(order[made.sequence[order] < 0].tolist())
+                places.append(at)
+                room -= held[at]
+            if len(places) < len(config) or room > loose * capacity:
+                break
+            made.free.append(capacity)
+            for at in places:  # they descend, so a place taken moves none of the later ones
+                made.place(left.pop(at), len(made.free) - 1)
+                held.pop(at)
     return made
 
 
-def pack(lengths: np.ndarray, capacity: int, groups: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each length (1 to ``capacity``).
-
-    By ``grouped``, and by best fit alone, the longest first; what takes fewer sequences counts.
-    """
+def pack(lengths: np.ndarray, capacity: int, groups: int = 144, loose: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of each length (1 to ``capacity``): configurations of the long ones by ``configured``, then
+    all others by best fit, the longest first."""
     order = np.argsort(-lengths, kind="stable")
-    plain = Sequences(lengths, capacity)
-    plain.best_fit(order.tolist())
-    if len(plain.free) * capacity - int(lengths.sum()) < capacity:  # no packing has fewer
-        return plain.sequence, plain.offset
-    made = grouped(lengths, capacity, groups, order)
-    best = made if len(made.free) < len(plain.free) else plain
-    return best.sequence, best.offset
+    made = configured(lengths, capacity, groups, loose, order)
+    made.best_fit(order[made.sequence[order] < 0].tolist())
+    return made.sequence, made.offset
 
 
 def _packer(capacity: int, first_id: int) -> Callable[[pd.DataFrame], pd.DataFrame]:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -148,17 +149,33 @@ def test_long_documents_take_few_sequences(low, high, over):
 @given(st.lists(st.integers(17, 64), min_size=1, max_size=5, unique=True), st.data())
 def test_the_mix_of_configurations_is_the_best(sizes, data):
     wanted = [data.draw(st.integers(1, 9)) for _ in sizes]
-    configs = packing.configurations(sizes, 64)
-    mix = packing.fractional(configs, wanted)
+    sizes = sorted(sizes)
+    configs = [c for n in (1, 2, 3) for c in itertools.combinations_with_replacement(range(len(sizes)), n) if sum(sizes[i] for i in c) <= 64]
+    mix = packing.fractional(sizes, wanted, 64)
     for i, n in enumerate(wanted):
-        assert sum(x * configs[k].count(i) for x, k in mix) == pytest.approx(n)
+        assert sum(x * c.count(i) for x, c in mix) == pytest.approx(n)
+    assert all(c in configs for _, c in mix)
     # dual values that no configuration exceeds, and that add up to the same number, prove it
-    base = np.array([[configs[k].count(i) for _, k in mix] for i in range(len(sizes))], float)
+    base = np.array([[c.count(i) for _, c in mix] for i in range(len(sizes))], float)
     price = np.linalg.solve(base.T, np.ones(len(sizes)))
     assert max(sum(price[i] for i in c) for c in configs) <= 1 + 1e-6
     assert sum(x for x, _ in mix) == pytest.approx(float(price @ wanted)) and min(x for x, _ in mix) >= 0
 
 
+@pytest.mark.parametrize(("low", "high", "share"), [(1025, 3000, 0.9), (1025, 4096, 0.4), (1100, 1500, 0.5)])
+def test_sequences_come_from_the_mix_of_configurations(low, high, share):
+    """In the second range a third of the documents are too long for any partner, and stand alone in any packing."""
+    lengths = np.random.default_rng(low + high).integers(low, high + 1, 20_000)
+    order = np.argsort(-lengths, kind="stable")
+    made = packing.configured(lengths, 4096, 144, 0.01, order)
+    placed = np.flatnonzero(made.sequence >= 0)
+    fill = np.bincount(made.sequence[placed], weights=lengths[placed])
+    assert (fill >= 0.99 * 4096).all() and (fill <= 4096).all()
+    sequence, _ = packing.pack(lengths, 4096)
+    assert len(fill) >= share * (int(sequence.max()) + 1)
+    assert (sequence[placed] == made.sequence[placed]).all()
+
+
 def test_every_shard_opens_all_its_part_empty_sequences(spark):
     rng = np.random.default_rng(4)
     rows = [(i, "the " * int(n)) for i, n in enumerate(rng.integers(65, 190, 900))]
