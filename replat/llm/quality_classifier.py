@@ -1,4 +1,4 @@
-"""Compression classifier: dictionaries of good and bad text, calibrated size difference (operator 9)."""
+"""Compression classifier: dictionaries of good and bad text, calibrated size differences (operator 9)."""
 
 from __future__ import annotations
 
@@ -18,9 +18,9 @@ from replat.llm.common import keyed_text
 class Fit:
     """Bounds of the labelled sample and of the dictionaries; scoring has no bound.
 
-    ``per_class`` texts of each class make its dictionary, ``calibration`` other texts set the score.
-    Only labelled texts of at most ``longest`` bytes are learned from; of each, a dictionary takes at most
-    ``pieces`` pieces.
+    ``per_class`` texts of each class make its dictionaries, one of ``dictionary`` and one of
+    ``small`` bytes; ``calibration`` other texts set the score. Only labelled texts of at most ``longest`` bytes are
+    learned from; of each, a dictionary takes at most ``pieces`` pieces.
     """
 
     per_class: int = 600
@@ -28,15 +28,17 @@ class Fit:
     longest: int = 65_536
     pieces: int = 8
     dictionary: int = 112_640
+    small: int = 16_384
     piece: int = 1024
-    level: int = 1
+    level: int = 3
     ridge: float = 0.01
 
 
 @dataclass(frozen=True)
 class Model:
-    good: bytes
-    bad: bytes
+    """``dictionaries``: pairs, of good and of bad text. ``constant``: the score where there is nothing to tell by."""
+
+    dictionaries: tuple[tuple[bytes, bytes], ...]
     weights: tuple[float, ...]
     piece: int
     level: int
@@ -52,25 +54,35 @@ def pieces(text: bytes, size: int) -> list[bytes]:
 
 
 class Sizes:
-    """Compressed bytes of whole texts, piece by piece, under either dictionary."""
+    """Compressed bytes of whole texts, piece by piece, under each dictionary and without one."""
 
     def __init__(self, model: Model):
+        plain = {"level": model.level, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+
         def compressor(content: bytes) -> zstandard.ZstdCompressor:
             held = zstandard.ZstdCompressionDict(content)
             held.precompute_compress(level=model.level)
-            plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-            return zstandard.ZstdCompressor(level=model.level, dict_data=held, **plain)
+            return zstandard.ZstdCompressor(dict_data=held, **plain)
 
         self.piece = model.piece
-        self.both = compressor(model.good), compressor(model.bad)
+        self.pairs = [(compressor(good), compressor(bad)) for good, bad in model.dictionaries]
+        self.plain = zstandard.ZstdCompressor(**plain)
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """The normalised size difference, the compressed share of the text, its length, and products."""
+        """Differences of sizes over their sums: good from bad, both from no dictionary, and these from the text as it is."""
         cut = [pieces(t, self.piece) for t in texts]
-        good, bad = (np.array([sum([len(c.compress(p)) for p in ps]) for ps in cut], float) for c in self.both)
-        size = np.array([len(t) + 1.0 for t in texts])
-        gap, share, length = (bad - good) / (bad + good), np.minimum(good, bad) / size, np.log(size)
-        columns = [np.ones(len(texts)), gap, share, length, gap * length, share**2, length**2, gap * share, np.minimum(share, 0.2)]
+
+        def size(c: zstandard.ZstdCompressor) -> np.ndarray:
+            return np.array([sum([len(c.compress(p)) for p in ps]) for ps in cut], float)
+
+        def gap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return (b - a) / (b + a)
+
+        whole, plain = np.array([len(t) + 1.0 for t in texts]), size(self.plain)
+        columns = [np.ones(len(texts)), gap(plain, whole)]
+        for n, pair in enumerate(self.pairs):
+            good, bad = size(pair[0]), size(pair[1])
+            columns += [gap(good, bad), gap(good, plain), gap(bad, plain)] + [gap(good, whole)] * (n == 0)
         return np.stack(columns, axis=1)
 
 
@@ -102,27 +114,22 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> list[tuple[bytes, in
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        .filter("quality in (0, 1) and doc_id is not null")
+        .filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"))
     )
-    usable = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= fit.longest) & ~held_out(F.col("doc_id")))
-    hashed = usable.select("doc_id", F.xxhash64("text").alias("hash"))
-    distinct = hashed.join(known, "doc_id").groupBy("hash").agg(F.min(F.struct("doc_id", "quality")).alias("row"))
+    usable = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= fit.longest))
+    usable = usable.withColumn("hash", F.xxhash64("text"))
+    # narrow rows meet the labels; the texts of those chosen are fetched in the same job
+    distinct = usable.select("doc_id", "hash").join(known, "doc_id").groupBy("hash").agg(F.min(F.struct("doc_id", "quality")).alias("row"))
     order = distinct.select(F.xxhash64("hash").alias("at"), "hash", "row.doc_id", "row.quality")
-    chosen: dict[tuple[int, int], tuple[int, int]] = {}
     # dictionaries from one end of the order, the calibration from the other, in the classes' true shares
     first, last = ("at", "doc_id"), (F.desc("at"), F.desc("doc_id"))
-    parts = ((order.filter("quality = 1"), fit.per_class, first), (order.filter("quality = 0"), fit.per_class, first), (order, fit.calibration, last))
-    for part, n, by in parts:
-        for r in part.orderBy(*by).limit(n).collect():
-            chosen.setdefault((r["doc_id"], r["hash"]), (r["at"], r["quality"]))
-    spark = docs.sparkSession
-    ids = spark.createDataFrame(list(chosen), "doc_id long, hash long")  # bounded by the fit
-    found = usable.withColumn("hash", F.xxhash64("text")).join(F.broadcast(ids), ["doc_id", "hash"])
-    texts = {(r["doc_id"], r["hash"]): r["text"] for r in found.collect()}
-    rows = sorted((at, i, q) for i, (at, q) in chosen.items() if i in texts)
-    return [(texts[i].encode(), q) for _, i, q in rows]
+    good, bad = (order.filter(F.col("quality") == q).orderBy(*first).limit(fit.per_class) for q in (1, 0))
+    chosen = good.union(bad).union(order.orderBy(*last).limit(fit.calibration)).distinct()
+    found = usable.join(F.broadcast(chosen), ["doc_id", "hash"]).select("at", "doc_id", "hash", "quality", "text")
+    rows = {(r["at"], r["doc_id"], r["hash"], r["quality"]): r["text"] for r in found.collect()}  # bounded by the fit
+    return [(rows[k].encode(), k[3]) for k in sorted(rows)]
 
 
 def trained(rows: list[tuple[bytes, int]], fit: Fit) -> Model:
@@ -130,18 +137,19 @@ def trained(rows: list[tuple[bytes, int]], fit: Fit) -> Model:
     of = {q: [t for t, label in rows if label == q] for q in (0, 1)}
     # a class needs texts for its dictionary; with few of them half are left for the calibration
     use = {q: min(fit.per_class, (len(t) + 1) // 2) for q, t in of.items()}
-    constant = Model(b"", b"", (), fit.piece, fit.level, (len(of[1]) + 1) / (len(of[0]) + len(of[1]) + 2))
+    constant = Model((), (), fit.piece, fit.level, (len(of[1]) + 1) / (len(of[0]) + len(of[1]) + 2))
     if min(map(len, of.values())) < 8:
         return constant
 
-    def dictionary(texts: list[bytes]) -> bytes:
+    def dictionary(texts: list[bytes], size: int) -> bytes:
         parts = [p for t in texts for p in pieces(t, fit.piece)[: fit.pieces]]
         try:
-            return zstandard.train_dictionary(fit.dictionary, parts).as_bytes()
+            return zstandard.train_dictionary(size, parts).as_bytes()
         except zstandard.ZstdError:  # too little text to train on: the text itself is the dictionary
-            return b"".join(parts)[-fit.dictionary :]
+            return b"".join(parts)[-size:]
 
-    model = Model(dictionary(of[1][: use[1]]), dictionary(of[0][: use[0]]), (), fit.piece, fit.level)
+    made = tuple((dictionary(of[1][: use[1]], size), dictionary(of[0][: use[0]], size)) for size in (fit.dictionary, fit.small))
+    model = Model(made, (), fit.piece, fit.level)
     seen = {q: set(of[q][: use[q]]) for q in (0, 1)}
     rest = [(t, q) for t, q in rows if t not in seen[q]]
     rest = rest[-fit.calibration :]
@@ -149,7 +157,7 @@ def trained(rows: list[tuple[bytes, int]], fit: Fit) -> Model:
     if len(set(y)) < 2:
         return constant
     weights = fit_logistic(Sizes(model).features([t for t, _ in rest]), y, fit.ridge)
-    return Model(model.good, model.bad, tuple(weights.tolist()), fit.piece, fit.level)
+    return Model(made, tuple(weights.tolist()), fit.piece, fit.level)
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -152,3 +152,32 @@ def test_calibration_has_both_classes_when_the_bounds_bind(spark):
     out = {r["row"]["doc_id"]: r["score"] for r in quality_classifier.scored(samples.docs(spark, rows), model).collect()}
     truth = {r["doc_id"]: r["quality"] for r in labels.collect()}
     assert sum((out[k] >= 0.7) == (q == 1) for k, q in truth.items()) >= 0.95 * len(truth)
+
+
+def test_classifier_scores_long_texts_repeated_rows_and_rows_without_keys(spark):
+    rows, labels = labelled(spark)
+    long = "\n".join(t for _, t in rows if t) * 3
+    long = (long * (70_000 // len(long) + 1))[:90_000]
+    odd = [(None, rows[0][1]), (None, None), (9_000_001, long), (9_000_001, long), (9_000_002, "")]
+    known = labels.union(spark.createDataFrame([(9_000_001, 0, 0)], labels.schema))
+    fit = quality_classifier.Fit()
+    docs = samples.docs(spark, rows + odd)
+    chosen = quality_classifier.sample(quality_classifier.keyed_text(docs), known, fit)
+    assert max(len(t) for t, _ in chosen) <= fit.longest < len(long) and len({t for t, _ in chosen}) == len(chosen)
+    out = quality_classifier.quality_scores(docs, known).collect()
+    assert len(out) == len(rows) + len(odd) and all(0 <= r["score"] <= 1 for r in out)
+    scores = {}
+    for r in out:
+        scores.setdefault(r["doc_id"], []).append(r["score"])
+    assert scores[9_000_001][0] == scores[9_000_001][1] and scores[rows[0][0]][0] in scores[None]
+    assert not any(r["held_out"] for r in out if r["doc_id"] is None)
+
+
+def test_the_score_comes_from_size_differences(spark):
+    """Every column but the constant lies between -1 and 1, and turns round when good and bad text change places."""
+    model = quality_classifier.Model(((b"good words here " * 60, b"bad spam spam " * 60),), (), 1024, 3)
+    other = quality_classifier.Model(tuple((b, g) for g, b in model.dictionaries), (), 1024, 3)
+    texts = [b"good words here and good words there", b"spam spam bad spam", b"", b"good words " * 900]
+    x, y = (quality_classifier.Sizes(m).features(texts) for m in (model, other))
+    assert (abs(x[:, 1:]) <= 1).all() and (x[:, 2] == -y[:, 2]).all()
+    assert x[0, 2] > 0 > x[1, 2]
