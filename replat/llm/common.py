@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +28,32 @@ def keyed_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def _worker_state() -> dict[str, Any]:
+    """What the Python worker keeps from task to task."""
+    return sys.modules.setdefault("replat_worker_state", types.ModuleType("replat_worker_state")).__dict__
+
+
 def once(name: str, make: Callable[[], Any]) -> Any:
     """A value made once per Python worker (a vocabulary, a cache), whatever task asks first."""
-    state = sys.modules.setdefault("replat_worker_state", types.ModuleType("replat_worker_state"))
-    if name not in state.__dict__:
-        state.__dict__[name] = make()
-    return state.__dict__[name]
+    state = _worker_state()
+    if name not in state:
+        state[name] = make()
+    return state[name]
+
+
+def new_task(operator: str) -> None:
+    """For the first line of an operator's tasks: workers outlive stages and share the executor's memory, so what other
+    operators keep by ``once`` goes, and so does memory that earlier tasks have freed but not given back."""
+    state = _worker_state()
+    if state.get("operator") != operator:
+        for name in [n for n in state if not n.startswith("__")]:  # the module's own names stay
+            del state[name]
+        state["operator"] = operator
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import in_blocks, once, partitions, slices, staged
+from replat.llm.common import in_blocks, new_task, once, partitions, slices, staged
 from replat.llm.components import components
 from replat.llm.edits import FIRST_KEY, KEY, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, found_elsewhere, mix, sent
@@ -90,6 +90,7 @@ def names_of(schema: str) -> list[str]:
 
 
 def _first_pass(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    new_task("jaccard_join")
     for batch in slices(batches):
         docs, versions = (np.array(batch.column(c).to_pylist(), np.int64) for c in KEY)
         texts = batch.column("text").to_pylist()
@@ -160,6 +161,7 @@ def documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    new_task("jaccard_join")
     for batch in slices(batches):
         texts = [t or "" for t in unpacked(batch.column("text"))]
         out = []
@@ -243,6 +245,7 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
 
 def _signed(buckets: int, across: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sends signatures to their buckets, with what each document there is told apart by."""
+    new_task("jaccard_join")
     compress = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         docs, labels, reaches = (np.array(batch.column(c).to_pylist(), np.int64) for c in ("doc", "label", "reach"))
@@ -273,6 +276,7 @@ def _pairs(across: bool, parts_out: int):
     signature; once components are known, all pairs ``across`` two of them that sketches don't rule out."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        new_task("jaccard_join")
         expand = zstandard.ZstdDecompressor().decompress
         held = [np.frombuffer(b"".join(map(expand, rows[c])), np.int64) for c in ("docs", "labels", "sizes", "reaches")]
         sketches = np.frombuffer(b"".join(map(expand, rows["sketches"])), np.uint32).reshape(len(held[0]), -1)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import slices, staged
+from replat.llm.common import new_task, slices, staged
 from replat.llm.edits import KEY, edited, keyed
 
 WORD = re.compile("[^\x20\x09-\x0d]")
@@ -63,6 +63,7 @@ def line_ids(docs: DataFrame, least: int, by_words: bool, key: str = "doc_id", t
         return sum(1 for _ in islice(PIECE.finditer(line), least)) if by_words else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new_task("line_runs")
         for batch in slices(batches, 500):
             rows = []
             for doc, version, whole in zip(*(batch.column(c).to_pylist() for c in (*KEY, "text")), strict=True):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from replat.llm.common import in_blocks, keyed_text, once, staged
+from replat.llm.common import in_blocks, keyed_text, new_task, once, staged
 from replat.llm.edits import FIRST_KEY
 from replat.llm.token_counts import byte_characters
 
@@ -23,7 +23,7 @@ from replat.llm.token_counts import byte_characters
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: Separators that str.split() knows and the vocabulary does not.
 CONTROL = regex.compile(r"[\x1c-\x1f]")
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Before these characters, lower-casing is all that the vocabulary's normaliser does.
 ODD = regex.compile(r"[^\x00-\u024f]")
 LETTERS = dict(enumerate(byte_characters()))
@@ -82,6 +82,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, closing: int) -> Dat
     """Cuts every document's ids, closed by one id, into pieces of at most ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new_task("packing")
         codec: WordCodec = once(f"words:{vocabulary}", lambda: WordCodec(vocabulary))
         end = pack_ids([closing])
         for batch in batches:
@@ -238,6 +239,7 @@ def pack(lengths: np.ndarray, capacity: int, groups: int = 144, loose: float = 0
 
 def _packer(capacity: int, first_id: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        new_task("packing")
         rows = rows.sort_values(["doc_id", "piece", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
         lengths = rows["length"].to_numpy()
         sequence, offset = pack(lengths, capacity)

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import keyed_text
+from replat.llm.common import keyed_text, new_task
 
 
 @dataclass(frozen=True)
@@ -165,6 +165,7 @@ def scored(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new_task("quality_classifier")
         sizes = Sizes(model) if model.constant is None else None
         weights = np.array(model.weights)
         for batch in batches:

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from replat.llm.common import once, partitions, slices, staged
+from replat.llm.common import new_task, once, partitions, slices, staged
 from replat.llm.edits import KEY, edited, keyed, packed, unpacked
 from replat.llm.shared_tokens import SENT, bucket_of, in_other_content, mix, sent
 
@@ -150,6 +150,7 @@ def blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 def _fingerprints(buckets: int, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sends each document's anchor hashes to their buckets."""
+    new_task("suffix_dedup")
     for batch in slices(batches):
         versions = np.array(batch.column("version").to_pylist(), np.int64)
         texts = [t.encode() for t in batch.column("text").to_pylist()]
@@ -324,6 +325,7 @@ def same_strings(content: np.ndarray, a: np.ndarray, b: np.ndarray, length: int)
 
 def _copies(length: int) -> Any:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        new_task("suffix_dedup")
         found = [expanded(rows, "sure").reshape(-1, 4)]
         docs, counts, versions, firsts, sizes, shifts = (expanded(rows, c) for c in ("docs", "counts", "versions", "firsts", "sizes", "shifts"))
         content = expanded(rows, "content")

@@ -6,7 +6,7 @@ import pytest
 import samples
 
 import corpus_pipeline
-from replat.llm import queries
+from replat.llm import common, line_runs, packing, queries
 from replat.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +77,37 @@ def test_registered_queries_have_the_columns_of_their_contract(spark):
         assert set(want[name].split()) <= set(out.columns)
         if name not in fewer:
             assert out.count() == table(spark, FOLDER, sizes.get(name, "documents")).count()
+
+
+def test_a_worker_keeps_what_its_operator_made_and_nothing_of_others():
+    state = common._worker_state()
+    before = dict(state)
+    try:
+        common.new_task("one")
+        common.once("cache", dict)["word"] = 1
+        common.new_task("one")
+        assert common.once("cache", dict) == {"word": 1}
+        common.new_task("two")
+        assert common.once("cache", dict) == {}
+    finally:
+        state.clear()
+        state.update(before)
+
+
+def test_a_stage_leaves_nothing_to_the_workers_of_the_next(spark):
+    docs = samples.docs(spark, samples.mixed_rows(60)).repartition(8)
+    packing.pieces(docs, queries.tokenizer("word_bpe_49k.json"), 4096, 1).collect()
+    line_runs.line_ids(docs, 3, True, "doc_id", "text").collect()
+
+    def kept(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for batch in batches:
+            names = ",".join(f"{k}={v}" if k == "operator" else k for k, v in vars(sys.modules["replat_worker_state"]).items() if k[:2] != "__") if "replat_worker_state" in sys.modules else ""
+            yield pa.RecordBatch.from_arrays([pa.array([names] * batch.num_rows)], ["names"])
+
+    found = {r["names"] for r in spark.range(0, 8, 1, 8).mapInArrow(kept, "names string").collect()}
+    assert "operator=line_runs" in found
+    assert not any("line_runs" in names and "words:" in names for names in found)

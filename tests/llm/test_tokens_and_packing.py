@@ -185,3 +185,14 @@ def test_every_shard_opens_all_its_part_empty_sequences(spark):
     assert out["sequence_id"].nunique() <= 1.02 * best_fit_decreasing(lengths, 256)
     for _, part in out.sort_values("offset").groupby("sequence_id"):
         assert part["offset"].tolist() == [0, *np.cumsum(part["length"])[:-1].tolist()]
+
+
+def test_a_worker_remembers_a_bounded_number_of_words():
+    library, codec, most = Tokenizer.from_file(WORDS), packing.WordCodec(WORDS), 0
+    for block in range(14):
+        text = " ".join(f"word{i}" for i in range(block * 40_000, (block + 1) * 40_000))
+        codec.encode([text])
+        most = max(most, len(codec.words))
+    assert 100_000 < most < 500_000
+    text = "word1 again, word559999!"
+    assert codec.encode([text]) == [packing.pack_ids(library.encode(text, add_special_tokens=False).ids)]
