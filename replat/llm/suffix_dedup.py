@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 from typing import Any
 
 import numpy as np
@@ -61,18 +62,22 @@ class Prefixes:
         with np.errstate(over="ignore"):
             return (self.sums[at + length] - self.sums[at]) * self.shift[at]
 
-    def extension(self, a: np.ndarray, b: np.ndarray, longest: int) -> np.ndarray:
-        """How many bytes the strings at ``a`` and ``b`` have in common, ``longest`` at most: binary search."""
-        low = np.zeros(len(a), np.int64)
-        low[self.pieces(a, longest) == self.pieces(b, longest)] = longest
-        todo = np.flatnonzero(low < longest)
-        known, bound = np.zeros(len(todo), np.int64), np.full(len(todo), longest, np.int64)
+    def extension(self, a: np.ndarray, b: np.ndarray, longest: np.ndarray, before: bool = False) -> np.ndarray:
+        """How many bytes from ``a`` and ``b`` on, or before them, are the same, ``longest`` at most: binary search."""
+
+        def equal(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+            return self.pieces(a - n, n) == self.pieces(b - n, n) if before else self.pieces(a, n) == self.pieces(b, n)
+
+        out = longest.copy()
+        todo = np.flatnonzero(~equal(a, b, longest))
+        a, b = a[todo], b[todo]
+        known, bound = np.zeros(len(todo), np.int64), longest[todo]
         while (bound - known > 1).any():
             middle = (known + bound) // 2
-            same = self.pieces(a[todo], middle) == self.pieces(b[todo], middle)
+            same = equal(a, b, middle)
             known, bound = np.where(same, middle, known), np.where(same, bound, middle)
-        low[todo] = known
-        return low
+        out[todo] = known
+        return out
 
 
 @dataclass
@@ -280,47 +285,88 @@ def merge_sorted(order: np.ndarray, group: np.ndarray, less: Any) -> np.ndarray:
     return order
 
 
-def suffix_classes(content: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
-    """A number for each string of ``length`` bytes at ``at``: equal for equal strings of one group.
+def suffix_order(
+    content: np.ndarray, at: np.ndarray, sizes: np.ndarray, group: np.ndarray, before: bool = False, prefixes: Prefixes | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The strings of ``sizes`` bytes from ``at`` on in order, group by group, and how many bytes each has in
+    common with the one before it (-1 for a group's first).
 
-    Strings of one group with one hash are held against the first of them byte by byte, and that one is sorted
-    among the group's by hash comparison. If one pair differs, the strings are told apart by their bytes instead.
+    With ``before``, strings end at ``at`` and are read backwards. They are sorted by hash comparison; then each is
+    held against the one before it byte by byte. If that finds one pair out of order, they are sorted by their bytes.
     """
-    prefixes = Prefixes(content)
-
-    def less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        a, b = at[a], at[b]
-        same = prefixes.extension(a, b, length)
-        differ = same < length
-        step = np.where(differ, same, 0)
-        return differ & (content[a + step] < content[b + step])
-
-    with np.errstate(over="ignore"):
-        hashes = mix(prefixes.pieces(at, length) + group.astype(np.uint64) * BASE)
-    order = np.argsort(hashes)
-    starts = np.append(True, hashes[order[1:]] != hashes[order[:-1]])
-    distinct = order[starts]
-    number = np.cumsum(starts) - 1
-    if not same_strings(content, at[order], at[distinct[number]], length) or (group[order] != group[distinct[number]]).any():
-        strings = [content[i : i + length].tobytes() for i in at.tolist()]
-        numbers: dict[tuple[int, bytes], int] = {}
-        return np.array([numbers.setdefault((g, s), len(numbers)) for g, s in zip(group.tolist(), strings, strict=True)])
-    by_group = np.argsort(group[distinct], kind="stable")
-    ranked = merge_sorted(distinct[by_group], group[distinct[by_group]], less)
-    rank = np.empty(len(at), np.int64)
-    rank[ranked] = np.arange(len(ranked))
-    classes = np.empty(len(at), np.int64)
-    classes[order] = rank[distinct[number]]
+    prefixes = prefixes or Prefixes(content)
+
+    def byte(items: np.ndarray, k: np.ndarray | int) -> np.ndarray:
+        return content[at[items] - 1 - k if before else at[items] + k]
+
+    def compare(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes in common, and whether ``a`` is less."""
+        shorter = np.minimum(sizes[a], sizes[b])
+        same = prefixes.extension(at[a], at[b], shorter, before)
+        out = sizes[a] < sizes[b]
+        differ = np.flatnonzero(same < shorter)
+        a, b, k = a[differ], b[differ], same[differ]
+        out[differ] = byte(a, k) < byte(b, k)
+        return same, out
+
+    by_group = np.argsort(group, kind="stable")
+    order = merge_sorted(by_group, group[by_group], lambda a, b: compare(a, b)[1])
+    common = np.full(len(order), -1)
+    follows = np.flatnonzero(group[order[1:]] == group[order[:-1]])
+    a, b = order[follows], order[follows + 1]
+    same, less = compare(a, b)
+    common[follows + 1] = same
+    right = bool((less | ((same == sizes[a]) & (same == sizes[b]))).all())
+    for k in range(same.max(initial=0)):
+        reach = same > k
+        if not reach.all():
+            a, b, same = a[reach], b[reach], same[reach]
+        right = right and bool((byte(a, k) == byte(b, k)).all())
+    if right:
+        return order, common
+    strings = [content[i - n : i][::-1].tobytes() if before else content[i : i + n].tobytes() for i, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+    order = np.array(sorted(range(len(at)), key=lambda i: (group[i], strings[i])))
+    pairs = zip(order[:-1].tolist(), order[1:].tolist(), strict=True)
+    return order, np.array([-1] + [len(commonprefix([strings[i], strings[j]])) if group[i] == group[j] else -1 for i, j in pairs])
+
+
+def classes_at(order: np.ndarray, common: np.ndarray, length: int) -> np.ndarray:
+    """A number for each string of ``suffix_order``: equal for those of one group with the same first ``length`` bytes."""
+    classes = np.empty(len(order), np.int64)
+    classes[order] = np.cumsum(common < length) - 1
     return classes
 
 
-def same_strings(content: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> bool:
-    """Whether the strings of ``length`` bytes at ``a`` equal those at ``b``; read in words of 8 bytes if they have as many."""
-    width = 8 if length >= 8 else 1
-    words = np.ndarray(max(len(content) - width + 1, 0), f"<u{width}", content, strides=(1,))
-    other = np.flatnonzero(a != b)
-    a, b = a[other], b[other]
-    return all((words[a + k] == words[b + k]).all() for k in [*range(0, length - width, width), length - width])
+def suffix_classes(content: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """A number for each string of ``length`` bytes at ``at``: equal for equal strings of one group."""
+    return classes_at(*suffix_order(content, at, np.full(len(at), length), group), length)
+
+
+def copied_strings(
+    content: np.ndarray, begin: np.ndarray, sizes: np.ndarray, shifts: np.ndarray, anchor: np.ndarray, docs: np.ndarray, length: int
+) -> np.ndarray:
+    """Which strings of ``length`` bytes a smaller key has too: a row for each surrounding, a column for each start in it.
+
+    Strings of one anchor are equal if it stands at the same place in them, with the same bytes before it and from
+    it on. So what stands on either side of an anchor is sorted once for all strings over it, which are runs of
+    common beginnings in both orders.
+    """
+    prefixes, place = Prefixes(content), begin + shifts
+    after = suffix_order(content, place, sizes - shifts, anchor, prefixes=prefixes)
+    before = suffix_order(content, place, shifts, anchor, before=True, prefixes=prefixes)
+    out = np.zeros((len(docs), length - GRAM + 1), bool)
+    for shift in range(length - GRAM + 1):
+        some = np.flatnonzero((shifts >= shift) & (shifts - shift + length <= sizes))
+        if not len(some):
+            continue
+        classes = (classes_at(*after, length - shift) * len(docs) + classes_at(*before, shift))[some]
+        order = np.argsort(classes)
+        starts = np.append(True, classes[order[1:]] != classes[order[:-1]])
+        some = some[order]
+        least = np.minimum.reduceat(docs[some], np.flatnonzero(starts))
+        some = some[least[np.cumsum(starts) - 1] < docs[some]]
+        out[some, shifts[some] - shift] = True
+    return out
 
 
 def _copies(length: int) -> Any:
@@ -343,28 +389,17 @@ def _copies(length: int) -> Any:
             while to < len(order) and marks[order[to]] == marks[order[to - 1]]:
                 to += 1
             part, at = order[at:to], to
-            strings = sizes[part] - length + 1
-            item = np.repeat(np.arange(len(part)), strings)
-            step = np.arange(len(item)) - np.repeat(np.cumsum(strings) - strings, strings)
-            # strings of one anchor are equal only if the anchor stands at the same place in them
-            anchor = np.cumsum(np.append(0, np.diff(marks[part]) != 0))[item]
-            group = anchor * length + (shifts[part][item] - step)
+            anchor = np.cumsum(np.append(0, np.diff(marks[part]) != 0))
             local = np.cumsum(sizes[part]) - sizes[part]
             piece = np.concatenate([content[b : b + s] for b, s in zip(begin[part].tolist(), sizes[part].tolist(), strict=True)])
-            classes = suffix_classes(piece, local[item] + step, group, length)
-            doc = docs[part][item]
-            least = np.full(classes.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, classes, doc)
-            copy = np.flatnonzero(least[classes] < doc)
-            if not len(copy):
-                continue
-            begins = np.append(True, (item[copy[1:]] != item[copy[:-1]]) | (np.diff(copy) != 1))
-            first, last = copy[begins], copy[np.append(begins[1:], True)]
-            which = part[item[first]]
+            copy = copied_strings(piece, local, sizes[part], shifts[part], anchor, docs[part], length)
+            edges = np.diff(np.pad(copy, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            (item, first), last = np.nonzero(edges > 0), np.nonzero(edges < 0)[1] - 1
+            which = part[item]
             run_of = np.repeat(np.arange(len(first)), counts[which])
             nth = np.arange(len(run_of)) - np.repeat(np.cumsum(counts[which]) - counts[which], counts[which])
             place = places[which][run_of] + nth
-            found.append(np.stack([docs[which][run_of], versions[place], firsts[place] + step[first][run_of], firsts[place] + step[last][run_of]], axis=1))
+            found.append(np.stack([docs[which][run_of], versions[place], firsts[place] + first[run_of], firsts[place] + last[run_of]], axis=1))
         every = np.concatenate(found)
         every = every[np.lexsort((every[:, 2], every[:, 1], every[:, 0]))]
         starts = np.flatnonzero(np.append(True, (np.diff(every[:, :2], axis=0) != 0).any(axis=1))) if len(every) else np.empty(0, np.int64)

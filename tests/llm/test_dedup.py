@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import samples
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -199,6 +202,48 @@ def test_hash_collisions_are_caught(monkeypatch):
     assert classes[0] == classes[2] and len(set(classes.tolist())) == 3
 
 
+@pytest.mark.parametrize("collide", [False, True])
+@settings(max_examples=60, deadline=None)
+@given(content=st.text("ab", min_size=1, max_size=60), places=st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(0, 2)), min_size=1, max_size=25))
+def test_suffixes_are_in_order_to_either_side(collide, content, places):
+    raw, n = content.encode(), len(content)
+    at, sizes, group = (np.array(x) for x in zip(*[(i % n, min(k, n - i % n), g) for i, k, g in places], strict=True))
+    array = np.frombuffer(raw, np.uint8)
+    with pytest.MonkeyPatch.context() as patch:
+        if collide:
+            patch.setattr(suffix_dedup.Prefixes, "pieces", lambda self, at, length: np.zeros(len(at), np.uint64))
+        after = suffix_dedup.suffix_order(array, at, sizes, group)
+        before = suffix_dedup.suffix_order(array[::-1], n - at, sizes, group, before=True)
+    strings = [raw[i : i + k] for i, k in zip(at.tolist(), sizes.tolist(), strict=True)]
+    want = sorted(range(len(at)), key=lambda i: (group[i], strings[i]))
+    for order, common in (after, before):
+        assert [(group[i], strings[i]) for i in order] == [(group[i], strings[i]) for i in want]
+        pairs = zip(order[:-1], order[1:], strict=True)
+        assert common.tolist() == [-1] + [len(os.path.commonprefix([strings[i], strings[j]])) if group[i] == group[j] else -1 for i, j in pairs]
+
+
+def test_copies_come_from_sorting_what_surrounds_an_anchor(monkeypatch):
+    line = "a line of some length that many of the documents have"
+    texts = [f"{i:040d} {line}{' twice' * (i % 3)} {i * 7919:040d}".encode() for i in range(40)]
+    marks = [suffix_dedup.anchored([t], 50).mark for t in texts]
+    batch = pa.RecordBatch.from_pydict({
+        "doc": list(range(40)), "version": list(range(40)), "text": [zstandard.compress(t) for t in texts],
+        "tokens": [np.unique(m & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for m in marks],
+    })
+    rows = pa.Table.from_batches(suffix_dedup._snippets(1, 50, iter([batch]))).to_pandas()
+    items, inner = [], suffix_dedup.merge_sorted
+    monkeypatch.setattr(suffix_dedup, "merge_sorted", lambda order, *rest: items.append(len(order)) or inner(order, *rest))
+    out = suffix_dedup._copies(50)(rows)
+    found = {(doc, i) for doc, ranges in zip(out["doc"], out["ranges"], strict=True) for a, b in ranges.reshape(-1, 2) for i in range(a, b + 1)}
+    least = {}
+    for doc, t in enumerate(texts):
+        for i in range(len(t) - 49):
+            least.setdefault(t[i : i + 50], doc)
+    assert found == {(doc, i) for doc, t in enumerate(texts) for i in range(len(t) - 49) if least[t[i : i + 50]] < doc}
+    # once for each side, not once for each string over the anchor
+    assert 0 < sum(items) <= 2 * len(suffix_dedup.expanded(rows, "sizes"))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=60))
 def test_mergesort_within_groups(items):
