@@ -56,14 +56,15 @@ def new_task(operator: str) -> None:
         trim(0)
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, **options: Any) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends, and lost executors lose nothing.
 
-    Staged tables are compressed columns; like checkpoint files they stay until the folder is cleared.
+    Staged tables are compressed columns; like checkpoint files they stay until the folder is cleared. ``options`` are
+    the writer's.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,8 +12,13 @@ from pyspark.sql import functions as F
 from replat.llm.common import staged
 
 
-def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of one partition as (node, smallest node it is tied to here)."""
+#: Nodes that a task holds at a time, about.
+HELD = 300_000
+
+
+def _forest(parts: Iterator[pd.DataFrame], held: int = HELD) -> Iterator[pd.DataFrame]:
+    """Links of one partition as (node, smallest node it is tied to here); where it has many nodes, one
+    forest after another."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -21,13 +26,19 @@ def _forest(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             parent[x] = x = parent.setdefault(parent[x], parent[x])
         return x
 
+    def forest() -> pd.DataFrame:
+        found = np.array([(x, r) for x in parent if (r := root(x)) != x], np.int64).reshape(-1, 2)
+        return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
+
     for part in parts:
         for a, b in zip(part["a"].tolist(), part["b"].tolist(), strict=True):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    found = np.array([(x, r) for x in parent if (r := root(x)) != x], np.int64).reshape(-1, 2)
-    yield pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
+        if len(parent) > held:
+            yield forest()
+            parent.clear()
+    yield forest()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -363,6 +363,81 @@ def test_graph_finds_neighbours():
     assert (ids[:, 0] == best).mean() >= 0.97
 
 
+def test_no_value_holds_a_whole_graph(spark, monkeypatch):
+    """A graph is kept in rows of a bounded number of vectors, whatever their number in its shard."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(500, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(1000 + i, (v + 0.02).tolist()) for i, v in enumerate(base[:100])]
+    rows += [(2000 + i, rng.normal(size=3).tolist()) for i in range(40)]
+    kept, stage = [], vector_links.staged
+    monkeypatch.setattr(vector_links, "staged", lambda df, **options: kept.append(stage(df, **options)) or kept[-1])
+    out = vector_links.vector_links(vectors(spark, rows), vector_links.Search(shards=2, shard_rows=100, block_rows=20, beam=150)).collect()
+    binary = [(df, name) for df in kept for name, kind in df.dtypes if kind == "binary"]
+    assert binary and max(df.selectExpr(f"max(octet_length({name}))").first()[0] for df, name in binary) < 8_000
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out}
+    wanted = {}
+    for size in (16, 3):
+        ids = [k for k, v in rows if len(v) == size]
+        x = np.array([np.array(v, np.float32) for _, v in rows if len(v) == size], np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        linked = x @ x.T >= 0.95
+        np.fill_diagonal(linked, False)
+        root = samples.union_find([(ids[a], ids[b]) for a, b in zip(*np.nonzero(linked), strict=True)])
+        wanted |= {k: (int(n), root(k)) for k, n in zip(ids, linked.sum(axis=1), strict=True)}
+    assert got == wanted
+
+
+def test_shards_are_bounded_by_bytes():
+    search = vector_links.Search()
+    assert search.shards_of(50_000, 256) == search.shards
+    for rows, size in ((15_000_000, 256), (2_000_000, 3072), (1_000_000, 8)):
+        assert -(-rows // search.shards_of(rows, size)) <= min(search.shard_rows, -(-search.shard_bytes // size))
+
+
+def test_any_length_in_either_precision(spark):
+    """Vectors too large or small to be squared in their own type, and such in double precision."""
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(60, 8))
+    for kind, top, low in (("float", 1e37, 1e-37), ("double", 1e300, 1e-300)):
+        rows = [(3 * i + j, (v * by).tolist()) for i, v in enumerate(base) for j, by in enumerate((1.0, top, low))]
+        table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        got = {r["vec_id"]: r for r in vector_links.vector_links(table, vector_links.Search(shards=2)).collect()}
+        x = base / np.linalg.norm(base, axis=1, keepdims=True)
+        near = (x @ x.T >= 0.95).sum(axis=1)
+        assert all(got[3 * i + j]["n_links"] == 3 * near[i] - 1 for i in range(60) for j in range(3))
+
+
+def test_search_finds_no_node_twice():
+    x = vector_links.unit(__import__("pandas").Series(list(np.random.default_rng(2).normal(size=(400, 6)))))
+    graph = vector_links.Builder(x.copy(), vector_links.Search(threshold=0.999)).build()
+    ids, _ = graph.search(x[:50].astype(np.float32), 40)
+    assert all(len(set(row[row >= 0].tolist())) == (row >= 0).sum() for row in ids)
+
+
+def test_members_go_behind_nodes():
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 12))
+    x = np.concatenate([base, base[rng.integers(0, 300, 900)] + rng.normal(size=(900, 12)) * 0.02])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True))[rng.permutation(1200)].astype(np.float32)
+    builder = vector_links.Builder(x.copy(), vector_links.Search())
+    m = builder.build().size
+    assert m < 400 and (np.sort(builder.order) == np.arange(1200)).all() and (builder.all == x[builder.order]).all()
+    assert (builder.node_of[:m] == np.arange(m)).all()
+    assert (np.einsum("nd,nd->n", builder.all, builder.all[builder.node_of]) >= np.cos(vector_links.Search().radius) - 1e-5).all()
+
+
+def test_forests_one_after_another_connect_the_same():
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    parts = [pd.DataFrame(rng.integers(0, 400, (25, 2)), columns=["a", "b"]) for _ in range(20)]
+    made = list(components._forest(iter(parts), held=40))
+    links = [(a, b) for p in parts for a, b in p.to_numpy().tolist()]
+    one, other = samples.union_find(links), samples.union_find([(a, b) for p in made for a, b in p.to_numpy().tolist()])
+    nodes = {x for link in links for x in link}
+    assert len(made) > 3 and max(map(len, made)) <= 100 and all(one(x) == other(x) for x in nodes)
+
+
 def test_tasks_need_no_copy_of_the_package(tmp_path):
     """What goes to workers holds the code it calls: it runs where the package can't be imported."""
     import pickle
