@@ -39,7 +39,7 @@ class Search:
     threshold: float = 0.95
     shards: int = 6
     shard_rows: int = 500_000
-    shard_bytes: int = 64_000_000
+    shard_bytes: int = 48_000_000
     block_rows: int = 20_000
     block_bytes: int = 8_000_000
     degree: int = 16
@@ -350,32 +350,30 @@ SCHEMA = pa.schema(
 def _indexed(search: Search) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The graphs of vectors that come by size and shard."""
 
-    def built(of: tuple[int, int], held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        ids, copies = (np.concatenate([x[i] for x in held]) for i in range(2))
-        vectors = np.empty((len(ids), of[0]), held[0][2].dtype)
-        at = len(ids)
-        while held:  # each piece goes as soon as it is copied
-            piece = held.pop()[2]
-            vectors[at - len(piece) : at] = piece
-            at -= len(piece)
-        yield from stored(*of, ids, copies, vectors, search)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_task("op4")
-        of, held = None, []
+        of, n = None, 0
+        ids, copies, vectors = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 1), np.float32)
         for batch in batches:
-            size, shard, ids, copies = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("size", "shard", "rep", "copies"))
+            size, shard, *columns = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("size", "shard", "rep", "copies"))
             starts = np.flatnonzero((np.diff(size, prepend=-1) != 0) | (np.diff(shard, prepend=-1) != 0))
             for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(size)], strict=True):
-                here = int(size[i]), int(shard[i])
-                if here != of and held:
-                    yield from built(of, held)
-                    held = []
-                of = here
                 values = batch.column("embedding").slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
-                held.append((ids[i:j].copy(), copies[i:j].copy(), scaled(values.reshape(j - i, -1))))
-        if held:
-            yield from built(of, held)
+                here = int(size[i]), int(shard[i])
+                if here != of:
+                    if of:
+                        yield from stored(*of, ids[:n], copies[:n], vectors[:n], search)
+                    of, n = here, 0
+                    ids, copies, vectors = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, here[0]), values.dtype)
+                if n + j - i > len(ids):
+                    more = (n + j - i) * 5 // 4
+                    for held in (ids, copies, vectors):  # grows where it stands
+                        held.resize((more, *held.shape[1:]), refcheck=False)
+                ids[n : n + j - i], copies[n : n + j - i] = (x[i:j] for x in columns)
+                vectors[n : n + j - i] = scaled(values.reshape(j - i, -1))
+                n += j - i
+        if of:
+            yield from stored(*of, ids[:n], copies[:n], vectors[:n], search)
 
     return run
 
