@@ -408,9 +408,10 @@ def test_any_length_in_either_precision(spark):
 
 
 def test_search_finds_no_node_twice():
-    x = vector_links.unit(__import__("pandas").Series(list(np.random.default_rng(2).normal(size=(400, 6)))))
-    graph = vector_links.Builder(x.copy(), vector_links.Search(threshold=0.999)).build()
-    ids, _ = graph.search(x[:50].astype(np.float32), 40)
+    x = vector_links.unit(__import__("pandas").Series(list(np.random.default_rng(2).normal(size=(1500, 6)))))
+    graph = vector_links.Builder(x.copy(), vector_links.Search(threshold=0.9999)).build()
+    queries = x[np.argsort(-(x @ x[0]))[:400]].astype(np.float32)  # those around the first node
+    ids, _ = graph.search(queries, 40)
     assert all(len(set(row[row >= 0].tolist())) == (row >= 0).sum() for row in ids)
 
 
